@@ -45,7 +45,7 @@ def _orders(df: DataFrame) -> DataFrame:
         .agg(
             F.sum(REVENUE).alias("_revenue"),
             F.sum("Quantity").alias("_items"),
-            F.sum(F.col("UnitPrice")).cast("double").alias("_price_sum"),
+            F.sum("UnitPrice").alias("_price_sum"),
             F.count("UnitPrice").alias("_price_count"),
             F.max("UnitPrice").alias("_price_max"),
             F.min(DATE).alias("_first"),
@@ -55,9 +55,12 @@ def _orders(df: DataFrame) -> DataFrame:
 
 
 def _order_value_aggregates() -> list:
-    order_value = F.when(F.col(INVOICE).isNotNull(), F.coalesce(F.col("_revenue").cast("double"), F.lit(0.0)))
+    """Mean from the sum in its own type, so that decimal money does not depend on the order of rows."""
+    has_invoice = F.col(INVOICE).isNotNull()
+    total = F.coalesce(F.sum(F.when(has_invoice, F.col("_revenue"))).cast("double"), F.lit(0.0))
+    order_value = F.when(has_invoice, F.coalesce(F.col("_revenue").cast("double"), F.lit(0.0)))
     return [
-        F.avg(order_value).alias("avg_order_value"),
+        F.try_divide(total, F.count(INVOICE).cast("double")).alias("avg_order_value"),
         F.coalesce(F.stddev_samp(order_value), F.lit(0.0)).alias("std_order_value"),
     ]
 
@@ -83,7 +86,9 @@ def behavioral_features(df: DataFrame) -> DataFrame:
             F.count(INVOICE).alias("total_orders"),
             F.coalesce(F.sum("_items"), F.lit(0)).alias("total_items"),
             *_order_value_aggregates(),
-            (F.sum("_price_sum") / F.sum("_price_count")).alias("avg_unit_price"),
+            F.try_divide(F.sum("_price_sum").cast("double"), F.sum("_price_count").cast("double")).alias(
+                "avg_unit_price"
+            ),
             F.max("_price_max").cast("double").alias("max_unit_price"),
             F.min("_first").alias("_first"),
             F.max("_last").alias("_last"),

@@ -89,3 +89,9 @@ def rfm_heatmap(scored: DataFrame, quantiles: int = 5) -> DataFrame:
     return pivoted.select(
         "R_Score", *[F.col(str(f)).alias(f"F{f}") for f in range(1, quantiles + 1)]
     ).orderBy("R_Score")
+
+
+def share_of_total(customers: DataFrame, group: str, value: str) -> DataFrame:
+    """Each group's percentage of the whole sum; the window holds one row per group."""
+    sums = _known(customers, group).groupBy(group).agg(F.sum(value).alias("_sum"))
+    return sums.select(group, (F.col("_sum") / F.sum("_sum").over(Window.partitionBy()) * 100).alias("share"))
