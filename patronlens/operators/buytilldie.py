@@ -14,13 +14,13 @@ from itertools import combinations
 from math import lgamma, log
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patronlens.functions.gamma import ln_gamma
 from patronlens.functions.hypergeometric import expected_purchases
 from patronlens.schema import CUSTOMER, DATE, REVENUE
+from patronlens.session import for_iteration, materialize
 
 BGNBD = ("r", "alpha", "a", "b")
 GAMMA_GAMMA = ("p", "q", "v")
@@ -211,7 +211,7 @@ def _fit(
     max_iter: int,
     tolerance: float,
 ) -> Fit:
-    kept = data.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = for_iteration(data)
     rows = kept.count()
     if rows == 0:
         raise ValueError("no customers to fit")
@@ -323,7 +323,7 @@ def with_lifetime_value(
 
 def lifetime_value(df: DataFrame, observation_end: datetime | None = None) -> tuple[DataFrame, Fit, Fit]:
     """Summarise, fit both models and score every customer."""
-    summary = rfm_t_summary(df, observation_end)
+    summary = materialize(rfm_t_summary(df, observation_end))
     purchases = fit_bgnbd(summary)
     spend = fit_gamma_gamma(summary)
     return with_lifetime_value(summary, purchases.params, spend.params), purchases, spend

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from functools import reduce
 from math import sqrt
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
@@ -23,6 +22,7 @@ from patronlens.operators import metrics
 from patronlens.operators.churn import with_churn_scores
 from patronlens.operators.ltv import with_ltv_scores
 from patronlens.schema import CUSTOMER
+from patronlens.session import for_iteration
 from patronlens.sources.runlog import RunLog, save_model
 
 SEED = 42
@@ -150,7 +150,7 @@ class Training:
 
 
 def _fit_all(pipelines: dict[str, Pipeline], train: DataFrame) -> dict[str, PipelineModel]:
-    kept = train.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = for_iteration(train)
     models = {name: pipeline.fit(kept) for name, pipeline in pipelines.items()}
     kept.unpersist()
     return models

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -50,3 +51,12 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to reliable storage and cut its lineage."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def for_iteration(df: DataFrame) -> DataFrame:
+    """``df`` made ready for many passes: lineage cut first, then kept in storage.
+
+    Without the cut, every job of an iterative fit carries the whole plan that
+    led to the rows, which costs more than a pass over them.
+    """
+    return materialize(df).persist(StorageLevel.MEMORY_AND_DISK)

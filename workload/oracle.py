@@ -160,6 +160,13 @@ SELECT CustomerID, (Recency - avg(Recency) OVER ()) / stddev_pop(Recency) OVER (
        (Frequency - avg(Frequency) OVER ()) / stddev_pop(Frequency) OVER () AS Frequency,
        (Monetary - avg(Monetary) OVER ()) / stddev_pop(Monetary) OVER () AS Monetary
 FROM rfm""",
+    "pairs": """
+SELECT p.CustomerID AS u, q.CustomerID AS v FROM scaled p JOIN scaled q
+ON (p.Recency - q.Recency) * (p.Recency - q.Recency) + (p.Frequency - q.Frequency) * (p.Frequency - q.Frequency)
+   + (p.Monetary - q.Monetary) * (p.Monetary - q.Monetary) <= 25e-2""",
+    "cores": "SELECT u AS id FROM pairs GROUP BY u HAVING count(*) >= 5",
+    "core_edges": """
+SELECT u, v FROM pairs WHERE u IN (SELECT id FROM cores) AND v IN (SELECT id FROM cores) AND u <> v""",
     "clustered": "SELECT *, CAST(Frequency % 5 AS INT) AS KMeans_Cluster, CAST(Frequency % 7 - 1 AS INT) AS DBSCAN_Cluster FROM rfm",
     "day_sums": """
 SELECT CustomerID, InvoiceDate::DATE AS d, sum(Revenue) AS spent FROM clean GROUP BY CustomerID, d""",
@@ -177,7 +184,7 @@ FROM summary, (SELECT unnest([30, 60, 90, 120, 150, 180, 210, 240, 270, 300, 330
 SELECT CustomerID, x, monetary_value, h,
   (8e-1 + 3 + x - 1) / (8e-1 - 1)
   * (1 - exp((12e-1 + x) * ln((200 + age) / (200 + age + h)))
-       * list_sum(list_transform(range(0, 600), j -> exp(
+       * list_sum(list_transform(range(0, 600), lambda j: exp(
            lgamma(12e-1 + x + j) - lgamma(12e-1 + x) + lgamma(3 + x + j) - lgamma(3 + x)
            - lgamma(8e-1 + 3 + x - 1 + j) + lgamma(8e-1 + 3 + x - 1) - lgamma(j + 1)
            + j * ln(h / (200 + age + h))))))
@@ -379,6 +386,17 @@ FROM (SELECT Country AS model, avg(CAST(Churned AS DOUBLE)) AS auc_roc, row_numb
       FROM homes JOIN labels_90 USING (CustomerID) GROUP BY Country)
 WHERE auc_roc > 0 ORDER BY auc_roc DESC, position LIMIT 1""",
     "C1_standardize": f"SELECT CustomerID, {rounded('Recency Frequency Monetary', 6)} FROM scaled",
+    "C4_dbscan_core": "SELECT CustomerID, CustomerID IN (SELECT id FROM cores) AS Is_Core FROM rfm",
+    "C4_dbscan_outliers": """
+WITH RECURSIVE component(id, label) USING KEY (id) AS (
+  SELECT id, id FROM cores
+  UNION
+  SELECT e.v, min(c.label) FROM component c JOIN core_edges e ON e.u = c.id
+  JOIN recurring.component old ON old.id = e.v WHERE c.label < old.label GROUP BY e.v),
+numbered AS (SELECT id, dense_rank() OVER (ORDER BY label) - 1 AS n FROM component),
+reached AS (SELECT v AS id, min(n) AS n FROM pairs JOIN numbered ON u = id GROUP BY v)
+SELECT CustomerID, CAST(coalesce(m.n, r.n, -1) AS INT) AS DBSCAN_Cluster
+FROM rfm LEFT JOIN numbered m ON m.id = CustomerID LEFT JOIN reached r ON r.id = CustomerID""",
     "R1_cohort_assign": """
 SELECT CustomerID, CohortMonth, Period, round(revenue, 2) AS Revenue, orders AS Orders FROM placed WHERE Period < 12""",
     "R2_cohort_retention": """
@@ -512,8 +530,8 @@ def oracles() -> dict[str, str]:
 def merge_with(body: str) -> str:
     """A body that starts with its own WITH list joins it to the shared one."""
     text = body.strip()
-    if text.upper().startswith("WITH "):
-        whole = query(text)
-        head, own = whole[: whole.index(text)].rstrip(), text[5:]
-        return f"{head}, {own}" if head else text
+    for opening in ("WITH RECURSIVE ", "WITH "):
+        if text.startswith(opening):
+            shared = query(text).removesuffix(text).strip().removeprefix("WITH ")
+            return f"{opening}{shared}, {text.removeprefix(opening)}" if shared else text
     return query(text)

@@ -15,6 +15,7 @@ from patronlens.operators import (
     clustering,
     cohorts,
     dashboard,
+    density,
     estimators,
     features,
     importance,
@@ -640,16 +641,21 @@ def stratified_split(spark, folder):
     return _split_sides(*splits.stratified_split(churn.churn_labels(inputs.clean(spark, folder)), "Churned"))
 
 
+# The library's defaults are the full 200 or 300 boosting rounds, each a chain of
+# jobs; the registered queries boost for fewer rounds.
+SIZES = estimators.TreeSizes(ltv_boost_rounds=40, ltv_sampled_rounds=40, churn_boost_rounds=40)
+
+
 def _ltv_model(name):
     def query(spark, folder):
-        return lifetime.fit_value_models(inputs.all_features(spark, folder), (name,)).predictions
+        return lifetime.fit_value_models(inputs.all_features(spark, folder), (name,), SIZES).predictions
 
     return query
 
 
 def _churn_model(name):
     def query(spark, folder):
-        return retention.fit_churn_models(inputs.clean(spark, folder), names=(name,)).predictions
+        return retention.fit_churn_models(inputs.clean(spark, folder), names=(name,), sizes=SIZES).predictions
 
     return query
 
@@ -665,14 +671,12 @@ register("M4c_churn_boosted")(_churn_model("SampledBoosting"))
 
 @register("M6_ltv_leaderboard")
 def ltv_leaderboard(spark, folder):
-    fast = ("Ridge", "RandomForest")
-    return lifetime.fit_value_models(inputs.all_features(spark, folder), fast).leaderboard
+    return lifetime.fit_value_models(inputs.all_features(spark, folder), sizes=SIZES).leaderboard
 
 
 @register("M6_churn_leaderboard")
 def churn_leaderboard(spark, folder):
-    fast = ("LogisticRegression", "RandomForest")
-    return retention.fit_churn_models(inputs.clean(spark, folder), names=fast).leaderboard
+    return retention.fit_churn_models(inputs.clean(spark, folder), sizes=SIZES).leaderboard
 
 
 @register("M13_risk_tiers_fitted")
@@ -726,3 +730,13 @@ def model_artifact(spark, folder):
     runlog.save_model(training.models["Ridge"], path)
     scored = estimators.predict_ltv_segments(made, runlog.load_model(path))
     return scored.select(CUSTOMER, "Predicted_LTV_Log", "LTV_Tier")
+
+
+@register("C4_dbscan_core")
+def dbscan_core(spark, folder):
+    return density.dbscan_core(inputs.customer_rfm(spark, folder)).select(CUSTOMER, "Is_Core")
+
+
+@register("C4_dbscan_outliers")
+def dbscan_outliers(spark, folder):
+    return density.dbscan_outliers(inputs.customer_rfm(spark, folder)).select(CUSTOMER, "DBSCAN_Cluster")
