@@ -54,7 +54,7 @@ def differences(spark_df, relation) -> str | None:
     return None
 
 
-KINDS = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+KINDS = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
 
 def type_differences(spark_df, relation) -> list[str]:
