@@ -196,23 +196,37 @@ def _edges(grid: _Grid, points: DataFrame, cells: DataFrame) -> DataFrame:
 def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Smallest vertex id of each vertex's component: (v, label).
 
-    Each round takes the smallest label among neighbours, then the label of
-    that label, so the number of rounds grows with the logarithm of the length
-    of a chain rather than with the length.
+    Randomised contraction (Boegeholz, Brand and Todor, 2019): in each round
+    every vertex joins the one of lowest hash among itself and its neighbours,
+    with a new hash each time. The vertices left shrink by a constant factor
+    per round whatever the shape of the graph, long chains included.
     """
-    both = materialize(edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
-    labels = materialize(vertices.select("v", F.col("v").alias("label")))
-    while True:
-        lowest = both.join(labels, "v").groupBy("u").agg(F.min("label").alias("_low"))
-        hooked = labels.join(lowest.withColumnRenamed("u", "v"), "v", "left").select(
-            "v", F.col("label").alias("_old"), F.least("label", F.coalesce("_low", "label")).alias("label")
+    both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    left = materialize(both.filter(F.col("u") != F.col("v")).distinct())
+    held = vertices.select("v", F.col("v").alias("label"))
+    turn = 0
+    while not left.isEmpty():
+
+        def priority(name: str, seed: int = turn) -> Column:
+            return F.struct(F.xxhash64(F.col(name), F.lit(seed)).alias("h"), F.col(name).alias("id"))
+
+        lowest = left.groupBy("u").agg(F.min(priority("v")).alias("_low"))
+        step = materialize(lowest.select("u", F.least("_low", priority("u"))["id"].alias("to")))
+        held = materialize(
+            held.join(step.select(F.col("u").alias("label"), "to"), "label", "left").select(
+                "v", F.coalesce("to", "label").alias("label")
+            )
+        )
+        left = materialize(
+            left.join(step.select("u", F.col("to").alias("_u")), "u")
+            .join(step.select(F.col("u").alias("v"), F.col("to").alias("_v")), "v")
+            .filter(F.col("_u") != F.col("_v"))
+            .select(F.col("_u").alias("u"), F.col("_v").alias("v"))
+            .distinct()
         )
-        hooked = materialize(hooked)
-        jump = hooked.select(F.col("v").alias("label"), F.col("label").alias("_next"))
-        moved = materialize(hooked.join(jump, "label").select("v", "_old", F.col("_next").alias("label")))
-        labels = moved.select("v", "label")
-        if moved.filter(F.col("label") != F.col("_old")).isEmpty():
-            return labels
+        turn += 1
+    smallest = held.groupBy("label").agg(F.min("v").alias("_smallest"))
+    return materialize(held.join(smallest, "label").select("v", F.col("_smallest").alias("label")))
 
 
 def _core_points(grid: _Grid, points: DataFrame, cells: DataFrame, min_samples: int) -> DataFrame:

@@ -20,7 +20,6 @@ def local_session(cores: str | int = "*", app: str = "patronlens", partitions: i
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
@@ -37,7 +36,6 @@ def shared_folder(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="patronlens-")
-    if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
 
@@ -48,9 +46,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to reliable storage and cut its lineage."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the shared folder and read it back, which cuts its lineage.
+
+    A table rather than ``checkpoint()``: it is columnar, later steps read only
+    the columns they use, its size is known to the planner, and it does not
+    carry the constraints of the plan that made it. Those add up from round to
+    round in an iterative operator until planning takes longer than the work.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def for_iteration(df: DataFrame) -> DataFrame:
