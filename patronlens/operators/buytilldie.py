@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from patronlens.functions.gamma import ln_gamma
 from patronlens.functions.hypergeometric import expected_purchases
+from patronlens.operators.rfm import latest
 from patronlens.schema import CUSTOMER, DATE, REVENUE
 from patronlens.session import for_iteration, materialize
 
@@ -35,16 +36,11 @@ def rfm_t_summary(df: DataFrame, observation_end: datetime | None = None) -> Dat
     spend is left out of the mean, which is 0 without a repeat.
     """
     day = F.col(DATE).cast("date")
-    if observation_end is None:
-        end = df.agg(F.max(day).alias("end")).scalar()
-    else:
+    if observation_end is not None:
         end = F.lit(observation_end).cast("date")
-    days = (
-        df.filter(F.col(CUSTOMER).isNotNull() & (day <= end))
-        .groupBy(CUSTOMER, day.alias("_day"))
-        .agg(F.sum(REVENUE).alias("_spent"))
-    )
-    return (
+        df = df.filter(day <= end)
+    days = df.groupBy(CUSTOMER, day.alias("_day")).agg(F.sum(REVENUE).alias("_spent"))
+    customers = (
         days.groupBy(CUSTOMER)
         .agg(
             (F.count(F.lit(1)) - 1).alias("frequency"),
@@ -53,6 +49,12 @@ def rfm_t_summary(df: DataFrame, observation_end: datetime | None = None) -> Dat
             F.sum("_spent").alias("_total"),
             F.min_by("_spent", "_day").alias("_opening"),
         )
+    )
+    if observation_end is None:
+        customers = materialize(customers)
+        end = latest(customers)
+    return (
+        customers.filter(F.col(CUSTOMER).isNotNull() & F.col("_first").isNotNull())
         .select(
             CUSTOMER,
             "frequency",

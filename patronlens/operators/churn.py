@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from patronlens.functions.binning import fixed_bins, order_of
 from patronlens.functions.timing import plus_days
 from patronlens.operators.features import feature_matrix
-from patronlens.operators.rfm import last_date
+from patronlens.operators.rfm import latest
 from patronlens.schema import CUSTOMER, DATE
+from patronlens.session import materialize
 
 # Model inputs, tier edges and tier order.
 CHURN_FEATURES = (
@@ -36,12 +37,10 @@ RISK_ORDER = ("Critical", "High", "Medium", "Low")
 
 def churn_labels(df: DataFrame, churn_days: int = 90) -> DataFrame:
     """1 when the last purchase lies strictly before the cutoff, ``churn_days`` before the last date."""
-    cutoff = plus_days(last_date(df), -churn_days)
-    return (
-        df.filter(F.col(CUSTOMER).isNotNull())
-        .groupBy(CUSTOMER)
-        .agg(F.max(DATE).alias("_last"))
-        .select(CUSTOMER, (F.col("_last") < cutoff).cast("int").alias("Churned"))
+    customers = materialize(df.groupBy(CUSTOMER).agg(F.max(DATE).alias("_last")))
+    cutoff = plus_days(latest(customers), -churn_days)
+    return customers.filter(F.col(CUSTOMER).isNotNull()).select(
+        CUSTOMER, (F.col("_last") < cutoff).cast("int").alias("Churned")
     )
 
 

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from patronlens.functions.rounding import at_least, zero_if_missing
-from patronlens.functions.timing import whole_days
-from patronlens.operators.rfm import compute_rfm, snapshot_after
+from patronlens.functions.timing import plus_days, whole_days
+from patronlens.operators.rfm import compute_rfm, latest
 from patronlens.schema import CUSTOMER, DATE, INVOICE, REVENUE, STOCK
+from patronlens.session import materialize
 
 BEHAVIORAL_FEATURES = (
     "total_revenue",
@@ -40,8 +41,7 @@ BEHAVIORAL_FEATURES = (
 def _orders(df: DataFrame) -> DataFrame:
     """One row per customer and invoice; lines without an invoice share a null one."""
     return (
-        df.filter(F.col(CUSTOMER).isNotNull())
-        .groupBy(CUSTOMER, INVOICE)
+        df.groupBy(CUSTOMER, INVOICE)
         .agg(
             F.sum(REVENUE).alias("_revenue"),
             F.sum("Quantity").alias("_items"),
@@ -67,7 +67,8 @@ def _order_value_aggregates() -> list:
 
 def order_values(df: DataFrame) -> DataFrame:
     """Mean and sample deviation of the revenue per invoice (deviation 0 for one invoice)."""
-    return _orders(df).groupBy(CUSTOMER).agg(*_order_value_aggregates())
+    known = df.filter(F.col(CUSTOMER).isNotNull())
+    return _orders(known).groupBy(CUSTOMER).agg(*_order_value_aggregates())
 
 
 def behavioral_features(df: DataFrame) -> DataFrame:
@@ -75,11 +76,12 @@ def behavioral_features(df: DataFrame) -> DataFrame:
 
     Two aggregations: one through the invoice grain, which already gives the
     distinct invoices, and one for the remaining distinct counts. Both end
-    partitioned by customer, so the join adds no shuffle.
+    partitioned by customer, so the join adds no shuffle. Its result is written
+    once, because the snapshot, one day after the last transaction of all, is
+    read off it rather than off the lines.
     """
-    known = df.filter(F.col(CUSTOMER).isNotNull())
     through_orders = (
-        _orders(known)
+        _orders(df)
         .groupBy(CUSTOMER)
         .agg(
             F.coalesce(F.sum("_revenue").cast("double"), F.lit(0.0)).alias("total_revenue"),
@@ -94,13 +96,15 @@ def behavioral_features(df: DataFrame) -> DataFrame:
             F.max("_last").alias("_last"),
         )
     )
-    distinct_counts = known.groupBy(CUSTOMER).agg(
+    distinct_counts = df.groupBy(CUSTOMER).agg(
         F.count_distinct(STOCK).alias("unique_products"),
         F.count_distinct(F.substring(STOCK, 1, 2)).alias("unique_categories"),
         F.count_distinct("Country").alias("total_countries"),
     )
-    snapshot = snapshot_after(df)
-    spans = through_orders.join(distinct_counts, CUSTOMER).select(
+    # A null customer only matters to the last date.
+    joined = materialize(through_orders.join(distinct_counts, CUSTOMER, "left"))
+    snapshot = plus_days(latest(joined), 1)
+    spans = joined.filter(F.col(CUSTOMER).isNotNull()).select(
         "*",
         whole_days(F.col("_first"), snapshot).alias("customer_age_days"),
         whole_days(F.col("_last"), snapshot).alias("recency_days"),

@@ -11,6 +11,7 @@ from patronlens.functions.binning import bin_of_rank, bin_of_value, even_probabi
 from patronlens.functions.timing import plus_days, whole_days
 from patronlens.operators.ranking import global_rank
 from patronlens.schema import CUSTOMER, DATE, INVOICE, REVENUE
+from patronlens.session import materialize
 
 # Segment of each (R_Score, F_Score) pair.
 SEGMENTS = {
@@ -40,28 +41,30 @@ SEGMENTS = {
 OTHER_SEGMENT = "Need Attention"
 
 
-def last_date(df: DataFrame) -> Column:
-    """Latest transaction date as a scalar subquery, so the plan stays lazy."""
-    return df.agg(F.max(DATE).alias("last")).scalar()
-
-
-def snapshot_after(df: DataFrame) -> Column:
-    """One day after the latest transaction."""
-    return df.agg(plus_days(F.max(DATE), 1).alias("snapshot")).scalar()
+def latest(customers: DataFrame, column: str = "_last") -> Column:
+    """Latest date over a customer table, as a scalar subquery."""
+    return customers.agg(F.max(column).alias("latest")).scalar()
 
 
 def compute_rfm(df: DataFrame, snapshot: datetime | None = None) -> DataFrame:
-    """Per customer: whole days since the last purchase, distinct invoices, revenue."""
-    moment = snapshot_after(df) if snapshot is None else F.lit(snapshot).cast(df.schema[DATE].dataType)
-    return (
-        df.filter(F.col(CUSTOMER).isNotNull())
-        .groupBy(CUSTOMER)
-        .agg(
-            F.max(DATE).alias("_last"),
-            F.count_distinct(INVOICE).alias("Frequency"),
-            F.coalesce(F.sum(REVENUE).cast("double"), F.lit(0.0)).alias("Monetary"),
-        )
-        .select(CUSTOMER, whole_days(F.col("_last"), moment).alias("Recency"), "Frequency", "Monetary")
+    """Per customer: whole days since the last purchase, distinct invoices, revenue.
+
+    The default snapshot, one day after the last transaction of all, is read
+    off the customer table, which is written for that: the lines are scanned
+    once. With a given snapshot nothing is written.
+    """
+    customers = df.groupBy(CUSTOMER).agg(
+        F.max(DATE).alias("_last"),
+        F.count_distinct(INVOICE).alias("Frequency"),
+        F.coalesce(F.sum(REVENUE).cast("double"), F.lit(0.0)).alias("Monetary"),
+    )
+    if snapshot is None:
+        customers = materialize(customers)
+        moment = plus_days(latest(customers), 1)
+    else:
+        moment = F.lit(snapshot).cast(df.schema[DATE].dataType)
+    return customers.filter(F.col(CUSTOMER).isNotNull()).select(
+        CUSTOMER, whole_days(F.col("_last"), moment).alias("Recency"), "Frequency", "Monetary"
     )
 
 
