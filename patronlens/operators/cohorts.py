@@ -20,7 +20,7 @@ def _customer_months(df: DataFrame) -> DataFrame:
     months = (
         df.filter(F.col(CUSTOMER).isNotNull() & F.col(DATE).isNotNull())
         .groupBy(CUSTOMER, month_of(F.col(DATE)).alias("_month"))
-        .agg(F.sum(REVENUE).cast("double").alias("Revenue"), F.count_distinct(INVOICE).alias("Orders"))
+        .agg(F.sum(REVENUE).alias("Revenue"), F.count_distinct(INVOICE).alias("Orders"))
     )
     cohort = F.min("_month").over(Window.partitionBy(CUSTOMER))
     return months.withColumn("CohortMonth", cohort).withColumn(
@@ -33,7 +33,7 @@ def cohort_assign(df: DataFrame, periods: int = PERIODS) -> DataFrame:
     return (
         _customer_months(df)
         .filter(F.col("Period") < periods)
-        .select(CUSTOMER, "CohortMonth", "Period", "Revenue", "Orders")
+        .select(CUSTOMER, "CohortMonth", "Period", F.col("Revenue").cast("double").alias("Revenue"), "Orders")
     )
 
 
@@ -76,7 +76,7 @@ def _cohort_periods(df: DataFrame, periods: int) -> DataFrame:
         "Period",
         "CohortSize",
         F.coalesce("_cell._active", F.lit(0)).alias("Active"),
-        F.coalesce("_cell._revenue", F.lit(0.0)).alias("Revenue"),
+        F.coalesce("_cell._revenue", F.lit(0)).alias("Revenue"),
         F.coalesce("_cell._orders", F.lit(0)).alias("Orders"),
     )
 
@@ -118,14 +118,15 @@ def cohort_revenue(df: DataFrame, periods: int = PERIODS) -> DataFrame:
         .orderBy("Period")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    cumulative = F.sum("Revenue").over(so_far)
+    # Money keeps its own type until the end, so decimal sums are exact.
+    cumulative = F.sum("Revenue").over(so_far).cast("double")
     return (
         _cohort_periods(df, periods)
         .select(
             "CohortMonth",
             "Period",
             "CohortSize",
-            "Revenue",
+            F.col("Revenue").cast("double").alias("Revenue"),
             cumulative.alias("CumulativeRevenue"),
             (cumulative / F.col("CohortSize")).alias("CumulativePerCustomer"),
         )

@@ -137,7 +137,7 @@ FROM curve_rows WINDOW w AS (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PREC
 SELECT CAST(tp AS DOUBLE) / (tp + fp) AS precision, CAST(tp AS DOUBLE) / all_pos AS recall, threshold FROM curve""",
     "value_scores": "SELECT ln(1 + Monetary) AS y, ln(1 + Predicted_LTV) AS prediction FROM rules",
     "months": """
-SELECT CustomerID, date_trunc('month', InvoiceDate)::DATE AS m, CAST(sum(Revenue) AS DOUBLE) AS revenue,
+SELECT CustomerID, date_trunc('month', InvoiceDate)::DATE AS m, sum(Revenue) AS revenue,
        count(DISTINCT InvoiceNo) AS orders
 FROM clean GROUP BY CustomerID, m""",
     "placed": """
@@ -398,16 +398,16 @@ reached AS (SELECT v AS id, min(n) AS n FROM pairs JOIN numbered ON u = id GROUP
 SELECT CustomerID, CAST(coalesce(m.n, r.n, -1) AS INT) AS DBSCAN_Cluster
 FROM rfm LEFT JOIN numbered m ON m.id = CustomerID LEFT JOIN reached r ON r.id = CustomerID""",
     "R1_cohort_assign": """
-SELECT CustomerID, CohortMonth, Period, round(revenue, 2) AS Revenue, orders AS Orders FROM placed WHERE Period < 12""",
+SELECT CustomerID, CohortMonth, Period, round(CAST(revenue AS DOUBLE), 2) AS Revenue, orders AS Orders FROM placed WHERE Period < 12""",
     "R2_cohort_retention": """
 SELECT CohortMonth, Period, CohortSize, Active, round(Active / CohortSize, 6) AS Retention FROM cohorts""",
     "R3_retention_matrix": "SELECT strftime(CohortMonth, '%b %Y') AS Cohort, CohortMonth, "
     + ", ".join(f"round(max(Active / CohortSize) FILTER (Period = {p}), 6) AS Month_{p}" for p in range(12))
     + " FROM cohorts GROUP BY CohortMonth",
     "R4_cohort_revenue": """
-SELECT CohortMonth, Period, CohortSize, round(Revenue, 2) AS Revenue, round(c, 2) AS CumulativeRevenue,
+SELECT CohortMonth, Period, CohortSize, round(CAST(Revenue AS DOUBLE), 2) AS Revenue, round(c, 2) AS CumulativeRevenue,
        round(c / CohortSize, 4) AS CumulativePerCustomer
-FROM (SELECT *, sum(Revenue) OVER (PARTITION BY CohortMonth ORDER BY Period) AS c FROM cohorts)""",
+FROM (SELECT *, CAST(sum(Revenue) OVER (PARTITION BY CohortMonth ORDER BY Period) AS DOUBLE) AS c FROM cohorts)""",
     "R5_engagement_curve": """
 SELECT Period, count(*) AS Cohorts, sum(CohortSize)::BIGINT AS Customers, sum(Active)::BIGINT AS Active,
        round(sum(Active) / sum(CohortSize), 6) AS Retention, round(sum(Orders) / sum(Active), 6) AS OrdersPerActive
