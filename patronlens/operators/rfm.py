@@ -94,9 +94,8 @@ def quantile_bin_value(
     edges = df.agg(F.percentile(value, F.array(*map(F.lit, probabilities))).alias("edges")).scalar()
     number = F.col(value).cast("double")
     if duplicates == "collapse":
-        distinct = F.array_distinct(edges)
-        inner = F.slice(distinct, F.lit(2), F.greatest(F.size(distinct) - 2, F.lit(0)))
-        low = (F.lit(1) + F.size(F.filter(inner, lambda edge: edge < number))).cast("int")
+        above = [((edges[i] > edges[i - 1]) & (number > edges[i])).cast("int") for i in range(1, bins)]
+        low = sum(above, F.lit(1))
     else:
         repeated = F.size(F.array_distinct(edges)) < bins + 1
         error = F.raise_error(F.lit(f"quantile edges of {value} are not distinct"))
