@@ -7,14 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import decontam, packing, pii, quality, sharding, simhash
+from patronlens.llm import decontam, packing, pii, quality, sharding, simhash, tokencount, warc
 from patronlens.llm.common import table
+from patronlens.session import scratch_path
 
 #: Production parameters.
 KEY = "patronlens"
 HELD_OUT_THRESHOLD = 0.3
 
 
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return tokencount.count_tokens(table(spark, folder, "documents"), limit=2048)
+
+
 def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), 2048)
 
@@ -38,6 +43,13 @@ def op6_hilbert_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_warc_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """Write the archives, then read them back."""
+    path = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, folder, "pages"), path)
+    return warc.read_records(spark, path)
+
+
 def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = quality.fit_quality(docs, table(spark, folder, "labels"))
@@ -59,9 +71,11 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op2_token_counts,
         op4_best_fit_packing,
         op5_benchmark_decontamination,
         op6_hilbert_sharding,
+        op7_warc_chunks,
         op8_quality_classifier,
         op9_pii_surrogates,
         op10_simhash_near_dedup,
