@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import decontam, packing, pii, quality, sharding, simhash, tokencount, warc
+from patronlens.llm import ann, decontam, packing, pii, quality, secrets, sharding, simhash, tokencount, warc
 from patronlens.llm.common import table
 from patronlens.session import scratch_path
 
@@ -16,10 +16,19 @@ KEY = "patronlens"
 HELD_OUT_THRESHOLD = 0.3
 
 
+def op1_rp_forest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.nearest(table(spark, folder, "embeddings"), "id % 50 = 0", k=5)
+
+
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, folder, "documents"), limit=2048)
 
 
+def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Candidates that the forest takes for secrets."""
+    return secrets.scan(table(spark, folder, "documents"), path_col="source")
+
+
 def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), 2048)
 
@@ -71,7 +80,9 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_rp_forest_neighbours,
         op2_token_counts,
+        op3_secret_scan,
         op4_best_fit_packing,
         op5_benchmark_decontamination,
         op6_hilbert_sharding,
