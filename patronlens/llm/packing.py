@@ -61,10 +61,10 @@ class _Shelf:
                 for pair in self.pairs(gap - size, size):
                     yield size, *pair
 
-    def fill(self, size: int, gap: int) -> tuple[Pattern, int] | None:
+    def fill(self, size: int, gap: int, searches: tuple[str, ...]) -> tuple[Pattern, int] | None:
         """The first combination of lengths up to ``size`` that completes one ``size`` exactly, and how often."""
-        for search in (self.single, self.pairs, self.triples):
-            for parts in search(gap, size):
+        for search in searches:
+            for parts in getattr(self, search)(gap, size):
                 if times := self.times((size, *parts)):
                     return (size, *parts), times
         return None
@@ -74,14 +74,22 @@ class _Shelf:
             self.left[size] -= times
 
 
+#: Orders in which combinations are looked up; the plan of fewest sequences is taken, the first in a tie.
+ORDERS = (("single", "pairs", "triples"), ("single", "triples", "pairs"), ("pairs", "single", "triples"))
+
+
 def plan(counts: np.ndarray, capacity: int) -> list[tuple[Pattern, int]]:
     """Patterns of lengths that sum to ``capacity`` at most, with multiplicities that use up ``counts`` (by length)."""
+    return min((_planned(counts, capacity, order) for order in ORDERS), key=lambda p: sum(n for _, n in p))
+
+
+def _planned(counts: np.ndarray, capacity: int, searches: tuple[str, ...]) -> list[tuple[Pattern, int]]:
     shelf, found = _Shelf(counts), []
     if shelf.left[capacity]:
         found.append(((capacity,), int(shelf.left[capacity])))
         shelf.left[capacity] = 0
     for size in range(capacity - 1, 0, -1):
-        while shelf.left[size] and (hit := shelf.fill(size, capacity - size)):
+        while shelf.left[size] and (hit := shelf.fill(size, capacity - size, searches)):
             shelf.take(*hit)
             found.append(hit)
     return found + _best_fit(shelf, capacity)
