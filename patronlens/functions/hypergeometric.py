@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -10,21 +11,74 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_TERMS = 20_000
-TOLERANCE = 1e-13
+#: Beyond this argument the series is taken around one instead of around zero.
+NEAR_ONE = 0.9
+#: Terms after which a row that has not converged is an error; nothing is cut off silently.
+MAX_TERMS = 20_000_000
+TOLERANCE = 1e-14
+#: The expansion around one loses digits where c - a - b is this close to a whole number.
+WHOLE = 1e-3
 
 
-def hyp2f1(a: float, b: float, c: np.ndarray, z: np.ndarray) -> np.ndarray:
-    """Gauss series for small fixed a and b, c > 0 and 0 <= z < 1."""
-    term = np.ones_like(z)
+def _series(a: np.ndarray, b: np.ndarray, c: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """Gauss series; each row stops by itself, so its value does not depend on its batch."""
     total = np.ones_like(z)
+    live = np.arange(len(z))
+    a, b, c, z, term, part = a.copy(), b.copy(), c.copy(), z.copy(), np.ones_like(z), np.ones_like(z)
     for j in range(MAX_TERMS):
-        term = term * ((a + j) * (b + j) / ((c + j) * (1.0 + j))) * z
-        total += term
-        # z bounds the ratio of later terms, so this bounds what is left out.
-        if np.all(np.abs(term) <= TOLERANCE * np.abs(total) * (1.0 - z)):
-            break
-    return total
+        if not len(live):
+            return total
+        ratio = (a + j) * (b + j) / ((c + j) * (1.0 + j)) * z
+        term = term * ratio
+        part = part + term
+        # Once terms shrink, the largest later ratio bounds what is left out.
+        later = np.maximum(np.abs(ratio), z)
+        done = (term == 0) | (later < 1) & (np.abs(term) * later <= TOLERANCE * np.abs(part) * (1.0 - later))
+        if done.any():
+            total[live[done]] = part[done]
+            keep = ~done
+            live, a, b, c, z, term, part = (v[keep] for v in (live, a, b, c, z, term, part))
+    raise ArithmeticError(f"the series of {len(live)} rows has not converged after {MAX_TERMS} terms")
+
+
+def _gamma(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log of the absolute value of the gamma function and its sign; infinite at the poles."""
+    pole = (x <= 0) & (x == np.floor(x))
+    logs = np.array([math.inf if at else math.lgamma(v) for v, at in zip(x.tolist(), pole.tolist(), strict=True)])
+    return logs, np.where((x < 0) & (np.floor(x) % 2 != 0), -1.0, 1.0)
+
+
+def _ratio(above: list[np.ndarray], below: list[np.ndarray]) -> np.ndarray:
+    """Product of gamma values over another; zero where one below has a pole."""
+    logs, sign = np.zeros_like(above[0]), np.ones_like(above[0])
+    for x in above:
+        value, its = _gamma(x)
+        logs, sign = logs + value, sign * its
+    for x in below:
+        value, its = _gamma(x)
+        logs, sign = logs - value, sign * its
+    return sign * np.exp(logs)
+
+
+def hyp2f1(a: float, b: float, c: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """Gauss hypergeometric function for small fixed a and b, c > 0 and 0 <= z < 1.
+
+    Near one the series at 1 - z takes over (the connection formula); where its
+    gamma values nearly cancel, the slower series at z runs until it has converged.
+    """
+    shape = np.broadcast_shapes(np.shape(c), np.shape(z))
+    c, z = (np.broadcast_to(np.asarray(v, float), shape).ravel() for v in (c, z))
+    a, b = np.full_like(z, a), np.full_like(z, b)
+    gap = c - a - b
+    near = (z > NEAR_ONE) & (np.abs(gap - np.round(gap)) > WHOLE)
+    out = np.empty_like(z)
+    out[~near] = _series(a[~near], b[~near], c[~near], z[~near])
+    if near.any():
+        a, b, c, z, gap = (v[near] for v in (a, b, c, z, gap))
+        one = _ratio([c, gap], [c - a, c - b]) * _series(a, b, 1.0 - gap, 1.0 - z)
+        two = _ratio([c, -gap], [a, b]) * (1.0 - z) ** gap * _series(c - a, c - b, 1.0 + gap, 1.0 - z)
+        out[near] = one + two
+    return out.reshape(shape)
 
 
 def purchases_until(params: dict[str, float], horizons: Sequence[float], x, t_x, age) -> np.ndarray:

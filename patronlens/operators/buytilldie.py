@@ -7,6 +7,7 @@ reach the driver.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -23,9 +24,13 @@ from patronlens.operators.rfm import latest
 from patronlens.schema import CUSTOMER, DATE, REVENUE
 from patronlens.session import for_iteration, materialize
 
+logger = logging.getLogger(__name__)
+
 BGNBD = ("r", "alpha", "a", "b")
 GAMMA_GAMMA = ("p", "q", "v")
 PENALTY = 0.01
+#: Logs of parameters are searched between minus and plus this.
+LOG_RANGE = 50.0
 DAYS_PER_MONTH = 30
 
 
@@ -157,6 +162,7 @@ class Fit:
     rows: int
     gradient: list[float]
     iterations: int
+    converged: bool = True
 
     @property
     def log_likelihood(self) -> float:
@@ -226,7 +232,7 @@ def _fit(
         return np.array([found[i] for i in range(len(vectors))], dtype=float)
 
     def objective(logs: np.ndarray) -> np.ndarray:
-        natural = np.exp(np.clip(logs, -50.0, 50.0))
+        natural = np.exp(np.clip(logs, -LOG_RANGE, LOG_RANGE))
         weight = logs if penalize_logs else natural
         return -score(natural) + penalty * np.sum(weight**2, axis=1)
 
@@ -235,7 +241,11 @@ def _fit(
     mean = float(score(natural[None, :])[0])
     kept.unpersist()
     params = dict(zip(names, map(float, natural), strict=True))
-    return Fit(params, mean, rows, [float(g) for g in gradient], iterations)
+    # A search that ran out of rounds or of shorter steps, or left the range of the logs, has not arrived.
+    converged = bool(np.max(np.abs(gradient)) < max(tolerance, 1e-4) and np.max(np.abs(theta)) < LOG_RANGE)
+    if not converged:
+        logger.warning("fit of %s did not converge: gradient %s", ", ".join(names), gradient)
+    return Fit(params, mean, rows, [float(g) for g in gradient], iterations, converged)
 
 
 def fit_bgnbd(
@@ -282,9 +292,14 @@ def fit_gamma_gamma(
 
 
 def expected_avg_profit(x: Column, spend: Column, params: dict[str, float]) -> Column:
-    """Expected spend per purchase given the past mean."""
+    """Expected spend per purchase given the past mean.
+
+    Null where the model has no mean, that is for p * x + q <= 1: with q <= 1 these
+    are the customers without a repeat purchase.
+    """
     p, q, v = (params[n] for n in GAMMA_GAMMA)
-    return F.lit(p) * (F.lit(v) + x * spend) / (F.lit(p) * x + F.lit(q - 1.0))
+    below = F.lit(p) * x + F.lit(q - 1.0)
+    return F.when(below > 0, F.lit(p) * (F.lit(v) + x * spend) / F.when(below > 0, below))
 
 
 def with_expected_purchases(summary: DataFrame, bgnbd: dict[str, float], days: int = 365) -> DataFrame:

@@ -13,6 +13,7 @@ from patronlens.schema import CUSTOMER, INVOICE, REVENUE, STOCK
 # Stock codes that are not products.
 NON_PRODUCT_CODES = ("POST", "D", "M", "BANK CHARGES", "PADS", "DOT")
 CANCELLATION_PREFIX = "C"
+NUMERIC_ID = r"^\s*([+-]?)(\d+)(?:\.\d*)?\s*$"
 
 
 def _is_cancelled() -> Column:
@@ -48,11 +49,15 @@ def drop_null_customers(df: DataFrame) -> DataFrame:
 
 
 def normalize_customer_id(df: DataFrame) -> DataFrame:
-    """Numeric-looking ids become integer text, all others stay as they are."""
+    """Ids written as plain decimal numbers become integer text, all others stay as they are.
+
+    The fraction is cut as text, so nothing is rounded; an exponent is not a plain number.
+    """
     text = F.col(CUSTOMER).cast("string")
-    number = text.try_cast(T.DecimalType(38, 6))
-    whole = F.when(number >= 0, F.floor(number)).otherwise(F.ceil(number))
-    return df.withColumn(CUSTOMER, F.coalesce(whole.try_cast("bigint").cast("string"), text))
+    sign = F.when(F.regexp_extract(text, NUMERIC_ID, 1) == "-", "-").otherwise("")
+    digits = F.regexp_replace(F.regexp_extract(text, NUMERIC_ID, 2), r"^0+(?=\d)", "")
+    whole = F.when(digits == "0", "0").otherwise(F.concat(sign, digits))
+    return df.withColumn(CUSTOMER, F.when(text.rlike(NUMERIC_ID), whole).otherwise(text))
 
 
 def positive_lines(df: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from patronlens.operators.ranking import is_number
 from patronlens.schema import CUSTOMER, DATE
 
 
@@ -64,7 +65,7 @@ def histogram(customers: DataFrame, value: str, bins: int, by: Sequence[str] = (
     Bins are 0-based; empty bins are left out. A single distinct value falls
     into bin 0.
     """
-    known = customers.filter(F.col(value).isNotNull())
+    known = customers.filter(is_number(customers, value))
     span = known.agg(
         F.struct(F.min(value).cast("double").alias("low"), F.max(value).cast("double").alias("high")).alias("span")
     ).scalar()

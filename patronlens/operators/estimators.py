@@ -168,8 +168,9 @@ def _log_runs(
     for row in board:
         last = models[row["model"]].stages[-1]
         params = {p.name: v for p, v in last.extractParamMap().items()}
-        run = log.append(experiment, row["model"], params, {m: row[m] for m in names})
-        save_model(models[run], f"{log.path.rstrip('/')}-models/{experiment}/{run}")
+        # A run of its own for each training, so that later ones never touch it.
+        run = log.append(experiment, None, {"model": row["model"], **params}, {m: row[m] for m in names})
+        save_model(models[row["model"]], f"{log.path.rstrip('/')}-models/{experiment}/{run}")
 
 
 def train_ltv_models(

@@ -9,7 +9,7 @@ from patronlens.functions.binning import order_of
 from patronlens.functions.rounding import round_even
 from patronlens.operators.churn import _counts_in_order
 from patronlens.operators.features import feature_matrix
-from patronlens.operators.ranking import exact_quantiles
+from patronlens.operators.ranking import exact_quantiles, is_number
 from patronlens.schema import CUSTOMER
 
 # Model inputs and tier order.
@@ -101,10 +101,10 @@ def ltv_tier_counts(scored: DataFrame) -> DataFrame:
 
 
 def ltv_describe(df: DataFrame, value: str = "LTV_12m") -> DataFrame:
-    """Count, mean, sample deviation, minimum, exact quartiles and maximum, to 2 digits."""
+    """Count, mean, sample deviation, minimum, exact quartiles and maximum, to 2 digits, without NaN."""
     quartiles = exact_quantiles(df, value, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, CUSTOMER)
     row = quartiles.select(F.struct("p25", "p50", "p75").alias("q")).scalar()
-    stats = df.agg(
+    stats = df.filter(is_number(df, value)).agg(
         F.count(value).alias("count"),
         F.avg(value).alias("mean"),
         F.stddev_samp(value).alias("std"),

@@ -3,8 +3,8 @@
 A window without partition keys would pull the whole table into one task. Here
 the rows are range-sorted by a unique composite key, so a value shared by a
 third of the rows is still spread over many partitions; each row's position
-inside its partition is then frozen by a checkpoint, and only one count per
-partition is needed to make the positions global. The checkpoint matters: range
+inside its partition is then frozen in a written table, and only one count per
+partition is needed to make the positions global. The table matters: range
 bounds are sampled again whenever a plan is run again, so positions from two
 runs must never be mixed.
 """
@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from patronlens.session import materialize
 
@@ -91,6 +92,14 @@ def running_totals(
     )
 
 
+def is_number(df: DataFrame, value: str) -> Column:
+    """Neither null nor NaN."""
+    known = F.col(value).isNotNull()
+    if isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType)):
+        known = known & ~F.isnan(value)
+    return known
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
@@ -100,10 +109,10 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact linearly interpolated quantiles, one row per group (one row without ``by``).
 
-    Reads order statistics off the ranked table instead of keeping every value
+    NaN counts as missing. Reads order statistics off the ranked table instead of keeping every value
     of a group in one task. ``unique`` breaks ties so that equal values spread.
     """
-    wanted = df.select(*by, value, unique).filter(F.col(value).isNotNull())
+    wanted = df.select(*by, value, unique).filter(is_number(df, value))
     for key in by:
         wanted = wanted.filter(F.col(key).isNotNull())
     ranked = global_rank(wanted, [*by, value, unique], "_rank", "_n")

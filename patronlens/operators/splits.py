@@ -40,6 +40,7 @@ def stratified_split(
     spare = wanted - F.sum("_base").over(Window.partitionBy())
     turn = F.row_number().over(Window.orderBy(F.desc(F.col("_share") - F.col("_base")), label))
     quotas = shares.select(label, "_first", (F.col("_base") + (turn <= spare).cast("int")).alias("_quota"))
-    placed = ranked.join(quotas, label)
+    # A label of a classifier has few values; a bounded side, and the rows stay where they are.
+    placed = ranked.join(F.broadcast(quotas), label)
     tested = F.col("_rank") - F.col("_first") < F.col("_quota")
     return placed.filter(~tested).select(df.columns), placed.filter(tested).select(df.columns)

@@ -26,6 +26,14 @@ TRANSACTIONS = T.StructType(
     ]
 )
 
+#: Types of columns read from text: wide enough for fractions of a cent and for very large orders.
+LOADED = T.StructType(
+    [
+        T.StructField(f.name, {"Quantity": T.LongType(), "UnitPrice": T.DecimalType(28, 10)}.get(f.name, f.dataType))
+        for f in TRANSACTIONS.fields
+    ]
+)
+
 RUN_LOG = T.StructType(
     [
         T.StructField("experiment", T.StringType(), False),

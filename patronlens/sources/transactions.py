@@ -5,11 +5,11 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patronlens.schema import CUSTOMER, DATE, TRANSACTIONS
+from patronlens.schema import CUSTOMER, LOADED
 
 ENCODING = "ISO-8859-1"
 # Date patterns of retail exports next to ISO dates.
@@ -18,45 +18,65 @@ DATE_PATTERNS = ("M/d/yyyy H:mm", "M/d/yy H:mm", "d-M-yyyy H:mm")
 log = logging.getLogger(__name__)
 
 
-def _parsed_date(patterns: Sequence[str]):
-    text = F.col(DATE)
+def _date_from(text: Column, patterns: Sequence[str]) -> Column:
+    """Local time without a zone, so that no clock change moves it."""
     parsed = [text.try_cast("timestamp_ntz")]
-    parsed += [F.try_to_timestamp(text, F.lit(p)).cast("timestamp_ntz") for p in patterns]
+    for pattern in patterns:
+        options = {"timestampNTZFormat": pattern, "sep": "\x01"}
+        parsed.append(F.from_csv(text, F.lit("v timestamp_ntz"), options)["v"])
     return F.coalesce(*parsed)
 
 
+def _typed(name: str, kind: T.DataType, patterns: Sequence[str]) -> Column:
+    """A text column as ``kind``; null where it cannot be read."""
+    text = F.trim(F.col(f"`{name}`"))
+    if isinstance(kind, T.StringType):
+        return F.col(f"`{name}`")
+    if isinstance(kind, T.TimestampNTZType):
+        return _date_from(text, patterns)
+    if isinstance(kind, T.IntegralType):
+        # Whole numbers may be written with a fraction of zeros.
+        number = text.try_cast(T.DecimalType(38, 10))
+        return F.when(number == F.floor(number), number.try_cast(kind))
+    return text.try_cast(kind)
+
+
+def _text_rows(spark: SparkSession, path: str) -> DataFrame:
+    """All cells as text. A file whose header names other columns than the first one's is an error."""
+    return spark.read.option("header", True).option("encoding", ENCODING).option("enforceSchema", False).csv(path)
+
+
+def _format_of(path: str, format: str | None) -> str:
+    kind = format or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
+    if kind not in ("csv", "parquet"):
+        raise ValueError(f"format must be 'csv' or 'parquet', not {kind!r}")
+    return kind
+
+
 def load_transactions(
     spark: SparkSession,
     path: str,
-    schema: T.StructType = TRANSACTIONS,
+    schema: T.StructType = LOADED,
     date_patterns: Sequence[str] = DATE_PATTERNS,
     count_rows: bool = False,
+    format: str | None = None,
 ) -> DataFrame:
     """Transactions from a Latin-1 CSV with a header, or from a parquet path.
 
-    Columns are taken by the name in the header, in any order; columns the
-    schema does not know are ignored and columns the file lacks are null. The
-    schema is explicit, so nothing is scanned to infer types. ``count_rows``
-    logs the number of rows, at the price of one scan.
+    Without ``format`` (csv or parquet) the end of the path decides. Columns are taken
+    by the name in the header, in any order; columns the schema does not know are
+    ignored and columns the file lacks are null. Every column is read as text and then
+    typed: prices keep ten decimals, quantities may end in ``.0``, and a cell that cannot
+    be read is null, which ``unreadable_cells`` counts. ``count_rows`` logs the
+    number of rows, at the price of one scan.
     """
-    if path.rstrip("/").endswith(".parquet"):
+    if _format_of(path, format) == "parquet":
         df = spark.read.parquet(path)
     else:
-        reader = spark.read.option("header", True).option("encoding", ENCODING)
-        header = reader.csv(path).columns
-        typed = {f.name: f for f in schema.fields}
-        as_text = T.StructType(
-            [
-                typed[name] if name in typed and name != DATE else T.StructField(name, T.StringType())
-                for name in header
-            ]
-        )
-        raw = reader.schema(as_text).option("mode", "PERMISSIVE").csv(path)
+        raw = _text_rows(spark, path)
         df = raw.select(
             *[
-                (_parsed_date(date_patterns).alias(f.name) if f.name == DATE else F.col(f.name))
-                if f.name in header
-                else F.lit(None).cast(f.dataType).alias(f.name)
+                (_typed(f.name, f.dataType, date_patterns) if f.name in raw.columns else F.lit(None).cast(f.dataType)).alias(f.name)
                 for f in schema.fields
             ]
         )
@@ -65,6 +85,24 @@ def load_transactions(
     return df
 
 
+def unreadable_cells(
+    spark: SparkSession, path: str, schema: T.StructType = LOADED, date_patterns: Sequence[str] = DATE_PATTERNS
+) -> DataFrame:
+    """Per typed column of a CSV: cells that hold text, and those of them that cannot be read."""
+    raw = _text_rows(spark, path)
+    kinds = [f for f in schema.fields if f.name in raw.columns and not isinstance(f.dataType, T.StringType)]
+    filled = {f.name: F.coalesce(F.trim(f"`{f.name}`") != "", F.lit(False)) for f in kinds}
+    counts = raw.agg(
+        *[F.count_if(filled[f.name]).alias(f"_filled_{f.name}") for f in kinds],
+        *[F.count_if(filled[f.name] & _typed(f.name, f.dataType, date_patterns).isNull()).alias(f"_bad_{f.name}") for f in kinds],
+    )
+    rows = [
+        F.struct(F.lit(f.name).alias("column"), F.col(f"_filled_{f.name}").alias("filled"), F.col(f"_bad_{f.name}").alias("unreadable"))
+        for f in kinds
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def write_transactions(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """CSV with a header and no row numbers, in as many files as there are partitions."""
     df.write.mode(mode).option("header", True).option("encoding", ENCODING).csv(path)

@@ -8,9 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from patronlens.functions.binning import bin_of_rank
+from patronlens.functions.hypergeometric import hyp2f1, purchases_until
 from patronlens.functions.rounding import round_even
 from patronlens.functions.timing import whole_days
-from patronlens.operators import churn, cleaning, clustering, dashboard, ltv, rfm, segments
+from patronlens.operators import buytilldie, churn, cleaning, clustering, dashboard, ltv, rfm, segments
+from patronlens.sources import transactions
 from tests.sample import frame, line
 
 
@@ -33,6 +35,47 @@ def test_ids(spark):
     assert ids(cleaning.normalize_customer_id(df), "CustomerID") == ["12345", "C0001", "12345", "-7", ""]
 
 
+def test_ids_are_cut_as_text_and_never_merged(spark):
+    long = "1234567890123456789012345678901234567890"
+    given = ("1E5", "100000", "12.9999999", "-0.5", "007", " 5 ", "+3.", long, "1,5", None)
+    df = frame(spark, [line(i, "1") for i in given])
+    want = ["1E5", "100000", "12", "0", "7", "5", "3", long, "1,5", None]
+    assert ids(cleaning.normalize_customer_id(df), "CustomerID") == want
+
+
+def test_nan_is_missing(spark):
+    nan = float("nan")
+    rows = [(str(i), v) for i, v in enumerate([1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, nan])]
+    df = spark.createDataFrame(rows, "CustomerID string, Predicted_LTV double")
+    assert ltv.ltv_describe(df, "Predicted_LTV").first()[:4] == (7, 4.0, 2.16, 1.0)
+    tiers = {r.CustomerID: r.LTV_Tier for r in ltv.quantile_tiers(df).collect()}
+    assert tiers["7"] is None and tiers["3"] == "Silver"
+    assert sum(r.customers for r in dashboard.histogram(df, "Predicted_LTV", 3).collect()) == 7
+
+
+def test_profit_is_null_where_there_is_no_mean(spark):
+    df = spark.createDataFrame([(0, 0.0), (1, 10.0)], "x int, m double")
+    params = {"p": 2.0, "q": 0.5, "v": 3.0}
+    got = [r[0] for r in df.select(buytilldie.expected_avg_profit(F.col("x"), F.col("m"), params)).collect()]
+    assert got[0] is None and got[1] > 0
+
+
+def test_hypergeometric_near_one():
+    assert hyp2f1(1.2, -0.2, np.array([0.3]), np.array([0.9999]))[0] == pytest.approx(-457.66620979, rel=1e-9)
+    params = dict(r=0.2, alpha=0.01, a=0.5, b=1.0)
+    alone = purchases_until(params, [365], [0], [0], [0])[0, 0]
+    assert alone == pytest.approx(94.83369461, rel=1e-8)
+    assert purchases_until(params, [365], [0, 40], [0, 100], [0, 3000])[0, 0] == alone
+
+
+def test_parquet_by_format_and_csv_columns_by_name(spark, tmp_path):
+    df = frame(spark, [line("1", "5")])
+    df.write.parquet(f"{tmp_path}/plain")
+    assert transactions.load_transactions(spark, f"{tmp_path}/plain", format="parquet").collect() == df.collect()
+    with pytest.raises(ValueError, match="format"):
+        transactions.load_transactions(spark, f"{tmp_path}/plain", format="orc")
+
+
 def test_positive_lines_drop_null_and_nan(spark):
     df = spark.createDataFrame(
         [(0, 1.0), (-1, 1.0), (None, 1.0), (1, float("nan")), (1, 0.0), (2, 3.0)], "Quantity int, UnitPrice double"

@@ -256,7 +256,18 @@ WINDOW w AS (PARTITION BY CustomerID)"""
 
 
 BODIES: dict[str, str] = {
-    "S1_load_transactions": f"SELECT {TX_COLUMNS}, Description FROM tx",
+    "S1_load_transactions": f"SELECT {TX_COLUMNS.replace('Quantity', 'Quantity::BIGINT AS Quantity')}, Description FROM tx",
+    "S1_load_messy": """
+SELECT CASE o_custkey % 4 WHEN 1 THEN concat(o_custkey, 'E2') WHEN 3 THEN concat(o_custkey, 'C') ELSE o_custkey::VARCHAR END AS CustomerID,
+       o_orderkey::VARCHAR AS InvoiceNo, l_linenumber::VARCHAR AS StockCode,
+       CASE l_linenumber % 4 WHEN 2 THEN l_quantity::BIGINT * 1000000000 WHEN 3 THEN NULL ELSE l_quantity::BIGINT END AS Quantity,
+       CASE WHEN l_linenumber % 3 < 2 THEN o_orderdate END AS InvoiceDate,
+       CAST(concat(trunc(l_extendedprice)::BIGINT, '.00', l_linenumber) AS DOUBLE) AS UnitPrice
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "S1_unreadable_cells": """
+SELECT 'Quantity' AS "column", count(*) AS filled, count(*) FILTER (l_linenumber % 4 = 3) AS unreadable FROM lineitem
+UNION ALL SELECT 'InvoiceDate', count(*), count(*) FILTER (l_linenumber % 3 = 2) FROM lineitem
+UNION ALL SELECT 'UnitPrice', count(*), 0 FROM lineitem""",
     "S2_write_transactions": """
 SELECT Country, count(*) AS lines, count(CustomerID) AS known, sum(Quantity)::BIGINT AS items,
        CAST(sum(Quantity * UnitPrice) AS DOUBLE) AS amount FROM tx GROUP BY Country""",
@@ -281,7 +292,7 @@ SELECT count(*) AS rows_in, count(*) FILTER (c) AS removed_cancelled,
 FROM (SELECT *, starts_with(InvoiceNo, 'C') AS c, Quantity > 0 AND UnitPrice > 0 AS p FROM tx)""",
     "F9_segment_country_filter": """
 SELECT CustomerID, Segment, Country FROM segmented JOIN homes USING (CustomerID)
-WHERE Segment IN ('Champions', 'At Risk', 'Lost') AND Country IN ('FRANCE', 'INDIA', 'CHINA', 'UNITED STATES')""",
+WHERE Segment IN ('Champions', 'At Risk', 'Lost') AND Country IN ('NATION_0', 'NATION_7', 'NATION_12', 'NATION_23')""",
     "F10_feature_matrix": f"""
 SELECT CustomerID, {rounded('total_orders unique_products customer_age_days product_diversity_ratio', 6)}
 FROM (SELECT CustomerID, total_orders::DOUBLE AS total_orders, unique_products::DOUBLE AS unique_products,

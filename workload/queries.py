@@ -74,6 +74,39 @@ def load_transactions(spark, folder):
     return _lines(transactions.load_transactions(spark, path), "Description")
 
 
+def _messy_file(spark, folder) -> str:
+    """A CSV as exports have them: numbers, ids and dates in several spellings, some unreadable."""
+    lines = table(spark, folder, "lineitem").join(
+        table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
+    )
+    rows = lines.selectExpr(
+        "concat(o_custkey, CASE o_custkey % 4 WHEN 0 THEN '.0' WHEN 1 THEN 'E2' WHEN 2 THEN '.99' ELSE 'C' END) AS CustomerID",
+        "CAST(o_orderkey AS STRING) AS InvoiceNo",
+        "CAST(l_linenumber AS STRING) AS StockCode",
+        "CASE l_linenumber % 4 WHEN 0 THEN concat(CAST(l_quantity AS INT), '.0') WHEN 1 THEN concat(CAST(l_quantity AS INT))"
+        " WHEN 2 THEN concat(CAST(l_quantity AS INT), '000000000') ELSE 'n/a' END AS Quantity",
+        "CASE l_linenumber % 3 WHEN 0 THEN date_format(o_orderdate, 'M/d/yyyy H:mm')"
+        " WHEN 1 THEN date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') ELSE '31/12/2010 10:00' END AS InvoiceDate",
+        "concat(CAST(l_extendedprice AS BIGINT), '.00', l_linenumber) AS UnitPrice",
+    )
+    path = scratch_path(spark, "messy-csv")
+    rows.write.option("header", True).option("encoding", transactions.ENCODING).csv(path)
+    return path
+
+
+@register("S1_load_messy")
+def load_messy(spark, folder):
+    loaded = transactions.load_transactions(spark, _messy_file(spark, folder), format="csv")
+    return cleaning.normalize_customer_id(loaded).select(
+        CUSTOMER, "InvoiceNo", "StockCode", "Quantity", "InvoiceDate", F.col("UnitPrice").cast("double").alias("UnitPrice")
+    )
+
+
+@register("S1_unreadable_cells")
+def unreadable_cells(spark, folder):
+    return transactions.unreadable_cells(spark, _messy_file(spark, folder))
+
+
 @register("S2_write_transactions")
 def write_transactions(spark, folder):
     path = scratch_path(spark, "transactions-csv")
@@ -151,7 +184,7 @@ def segment_country_filter(spark, folder):
         dashboard.home_country(lines), CUSTOMER
     )
     kept = dashboard.segment_country_filter(
-        customers, ["Champions", "At Risk", "Lost"], ["FRANCE", "INDIA", "CHINA", "UNITED STATES"]
+        customers, ["Champions", "At Risk", "Lost"], ["NATION_0", "NATION_7", "NATION_12", "NATION_23"]
     )
     return kept.select(CUSTOMER, "Segment", "Country")
 
