@@ -93,4 +93,15 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+#: The other operators use hashes, tokens, models or searches that DuckDB lacks; the tests hold brute force against them.
+ORACLES: dict[str, str] = {
+    "op7_warc_chunks": """
+WITH hashed AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+     named AS (SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr(
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                      CAST(1 + ((CAST('0x' || substr(h, (i // 4) * 5 + 1, 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31) AS INT),
+                      1)), '') AS payload_digest FROM hashed),
+     firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS f FROM named)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> f THEN f END AS refers_to FROM firsts""",
+}
