@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patronlens.functions.binning import fixed_bins, order_of
+from patronlens.functions.binning import fixed_bins
 from patronlens.functions.timing import plus_days
 from patronlens.operators.features import feature_matrix
 from patronlens.operators.rfm import latest
@@ -56,13 +56,15 @@ def features_with_labels(features: DataFrame, labels: DataFrame) -> DataFrame:
     return features.join(labels, CUSTOMER, "inner")
 
 
-def churn_dataset(features: DataFrame, labels: DataFrame, exclude_leaky: bool = False) -> DataFrame:
+def churn_dataset(features: DataFrame, labels: DataFrame | None = None, exclude_leaky: bool = False) -> DataFrame:
     """Customer, model inputs and label, before the split.
 
-    Recency decides the label; ``exclude_leaky`` leaves it out.
+    Without ``labels`` the features must hold ``Churned`` themselves. Recency decides the
+    label; ``exclude_leaky`` leaves it out.
     """
     wanted = [c for c in CHURN_FEATURES if not (exclude_leaky and c in LEAKY_CHURN_FEATURES)]
-    return feature_matrix(features_with_labels(features, labels), wanted, (CUSTOMER, "Churned"))
+    labelled = features if labels is None else features_with_labels(features, labels)
+    return feature_matrix(labelled, wanted, (CUSTOMER, "Churned"))
 
 
 def risk_tier(probability: Column, include_lowest: bool = False) -> Column:
@@ -104,6 +106,3 @@ def top_at_risk(customers: DataFrame, limit: int = 20) -> DataFrame:
         .limit(limit)
     )
 
-
-def risk_order(tier: Column) -> Column:
-    return order_of(tier, RISK_ORDER)

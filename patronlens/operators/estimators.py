@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from math import sqrt
+from math import ceil, sqrt
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
@@ -22,7 +23,7 @@ from patronlens.operators import metrics
 from patronlens.operators.churn import with_churn_scores
 from patronlens.operators.ltv import with_ltv_scores
 from patronlens.schema import CUSTOMER
-from patronlens.session import for_iteration
+from patronlens.session import materialize
 from patronlens.sources.runlog import RunLog, save_model
 
 SEED = 42
@@ -149,8 +150,14 @@ class Training:
     best: str
 
 
+#: Training rows that are worth a task of their own; boosting runs a job per round and level.
+ROWS_PER_TASK = 50_000
+
+
 def _fit_all(pipelines: dict[str, Pipeline], train: DataFrame) -> dict[str, PipelineModel]:
-    kept = for_iteration(train)
+    stored = materialize(train)
+    tasks = max(1, ceil(stored.count() / ROWS_PER_TASK))
+    kept = stored.coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
     models = {name: pipeline.fit(kept) for name, pipeline in pipelines.items()}
     kept.unpersist()
     return models

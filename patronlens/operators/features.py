@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from patronlens.functions.rounding import at_least, zero_if_missing
 from patronlens.functions.timing import plus_days, whole_days
-from patronlens.operators.rfm import compute_rfm, latest
+from patronlens.operators.rfm import latest
 from patronlens.schema import CUSTOMER, DATE, INVOICE, REVENUE, STOCK
 from patronlens.session import materialize
 
@@ -38,22 +38,38 @@ BEHAVIORAL_FEATURES = (
 )
 
 
-def _orders(df: DataFrame) -> DataFrame:
+def _grain(df: DataFrame) -> DataFrame:
+    """One row per customer, invoice, product and country: all that the features read of the lines."""
+    return df.groupBy(CUSTOMER, INVOICE, STOCK, "Country").agg(
+        F.sum(REVENUE).alias("_revenue"),
+        F.sum("Quantity").alias("_items"),
+        F.sum("UnitPrice").alias("_price_sum"),
+        F.count("UnitPrice").alias("_price_count"),
+        F.max("UnitPrice").alias("_price_max"),
+        F.min(DATE).alias("_first"),
+        F.max(DATE).alias("_last"),
+    )
+
+
+def _orders(grain: DataFrame) -> DataFrame:
     """One row per customer and invoice; lines without an invoice share a null one."""
-    return (
-        df.groupBy(CUSTOMER, INVOICE)
-        .agg(
-            F.sum(REVENUE).alias("_revenue"),
-            F.sum("Quantity").alias("_items"),
-            F.sum("UnitPrice").alias("_price_sum"),
-            F.count("UnitPrice").alias("_price_count"),
-            F.max("UnitPrice").alias("_price_max"),
-            F.min(DATE).alias("_first"),
-            F.max(DATE).alias("_last"),
-        )
+    sums = [F.sum(c).alias(c) for c in ("_revenue", "_items", "_price_sum", "_price_count")]
+    return grain.groupBy(CUSTOMER, INVOICE).agg(
+        *sums, F.max("_price_max").alias("_price_max"), F.min("_first").alias("_first"), F.max("_last").alias("_last")
     )
 
 
+def _distinct_counts(grain: DataFrame) -> DataFrame:
+    """Distinct products, product categories and countries per customer, rolled up step by step."""
+    products = grain.select(CUSTOMER, STOCK, F.substring(STOCK, 1, 2).alias("_category")).distinct()
+    categories = products.groupBy(CUSTOMER, "_category").agg(F.count(STOCK).alias("_products"))
+    counted = categories.groupBy(CUSTOMER).agg(
+        F.sum("_products").alias("unique_products"), F.count("_category").alias("unique_categories")
+    )
+    countries = grain.select(CUSTOMER, "Country").distinct().groupBy(CUSTOMER)
+    return counted.join(countries.agg(F.count("Country").alias("total_countries")), CUSTOMER)
+
+
 def _order_value_aggregates() -> list:
     """Mean from the sum in its own type, so that decimal money does not depend on the order of rows."""
     has_invoice = F.col(INVOICE).isNotNull()
@@ -68,20 +84,20 @@ def _order_value_aggregates() -> list:
 def order_values(df: DataFrame) -> DataFrame:
     """Mean and sample deviation of the revenue per invoice (deviation 0 for one invoice)."""
     known = df.filter(F.col(CUSTOMER).isNotNull())
-    return _orders(known).groupBy(CUSTOMER).agg(*_order_value_aggregates())
+    orders = known.groupBy(CUSTOMER, INVOICE).agg(F.sum(REVENUE).alias("_revenue"))
+    return orders.groupBy(CUSTOMER).agg(*_order_value_aggregates())
 
 
-def behavioral_features(df: DataFrame) -> DataFrame:
-    """The 21 features per customer.
+def behavioral_features(df: DataFrame, churn_days: int | None = None) -> DataFrame:
+    """The 21 features per customer, and ``Churned`` if ``churn_days`` is given.
 
-    Two aggregations: one through the invoice grain, which already gives the
-    distinct invoices, and one for the remaining distinct counts. Both end
-    partitioned by customer, so the join adds no shuffle. Its result is written
-    once, because the snapshot, one day after the last transaction of all, is
-    read off it rather than off the lines.
+    The lines are read once, into a written grain from which every count and sum is
+    rolled up. The result per customer is written too, because the snapshot, one day
+    after the last transaction of all, and the cutoff are read off it.
     """
+    grain = materialize(_grain(df))
     through_orders = (
-        _orders(df)
+        _orders(grain)
         .groupBy(CUSTOMER)
         .agg(
             F.coalesce(F.sum("_revenue").cast("double"), F.lit(0.0)).alias("total_revenue"),
@@ -96,13 +112,8 @@ def behavioral_features(df: DataFrame) -> DataFrame:
             F.max("_last").alias("_last"),
         )
     )
-    distinct_counts = df.groupBy(CUSTOMER).agg(
-        F.count_distinct(STOCK).alias("unique_products"),
-        F.count_distinct(F.substring(STOCK, 1, 2)).alias("unique_categories"),
-        F.count_distinct("Country").alias("total_countries"),
-    )
     # A null customer only matters to the last date.
-    joined = materialize(through_orders.join(distinct_counts, CUSTOMER, "left"))
+    joined = materialize(through_orders.join(_distinct_counts(grain), CUSTOMER, "left"))
     snapshot = plus_days(latest(joined), 1)
     spans = joined.filter(F.col(CUSTOMER).isNotNull()).select(
         "*",
@@ -123,31 +134,30 @@ def behavioral_features(df: DataFrame) -> DataFrame:
         F.log1p("avg_order_value").alias("log_avg_order_value"),
         F.log1p("total_items").alias("log_total_items"),
     )
-    return derived.select(CUSTOMER, *BEHAVIORAL_FEATURES)
+    label = []
+    if churn_days is not None:
+        label = [(F.col("_last") < plus_days(latest(joined), -churn_days)).cast("int").alias("Churned")]
+    return derived.select(CUSTOMER, *BEHAVIORAL_FEATURES, *label)
 
 
-def customer_features(df: DataFrame) -> DataFrame:
+def customer_features(df: DataFrame, churn_days: int | None = None) -> DataFrame:
     """Recency, frequency and monetary value next to the behavioural features.
 
     Everything but the recency clock is already in the features: the snapshot
     is the same, so the three are column renames and no second aggregation.
     """
-    features = behavioral_features(df)
+    features = behavioral_features(df, churn_days)
+    label = [] if churn_days is None else ["Churned"]
     return features.select(
         CUSTOMER,
         F.col("recency_days").alias("Recency"),
         F.col("total_orders").alias("Frequency"),
         F.col("total_revenue").alias("Monetary"),
         *BEHAVIORAL_FEATURES,
+        *label,
     )
 
 
-def customer_features_at(df: DataFrame, snapshot) -> DataFrame:
-    """The same, with recency measured from a given moment."""
-    rfm = compute_rfm(df, snapshot)
-    return rfm.join(behavioral_features(df), CUSTOMER)
-
-
 def feature_matrix(df: DataFrame, wanted: Sequence[str], keep: Sequence[str] = (CUSTOMER,)) -> DataFrame:
     """The wanted features that exist, as doubles with gaps set to 0."""
     present = [c for c in wanted if c in df.columns]

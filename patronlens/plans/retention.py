@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patronlens.operators.churn import CHURN_FEATURES, churn_dataset, churn_labels
+from patronlens.operators.churn import CHURN_FEATURES, churn_dataset
 from patronlens.operators.estimators import (
     CHURN_LABEL,
     Training,
@@ -29,7 +29,7 @@ def fit_churn_models(
     log: RunLog | None = None,
 ) -> Training:
     """Label, split, fit the named models (all by default) and rank them."""
-    data = churn_dataset(customer_features(lines), churn_labels(lines, churn_days), exclude_leaky)
+    data = churn_dataset(customer_features(lines, churn_days), exclude_leaky=exclude_leaky)
     train, test = stratified_split(data, CHURN_LABEL)
     wanted = [c for c in CHURN_FEATURES if c in data.columns]
     made = churn_pipelines(train, wanted, sizes=sizes)

@@ -470,7 +470,7 @@ def ltv_dataset(spark, folder):
 @register("M2_churn_dataset")
 def churn_dataset(spark, folder):
     lines = inputs.clean(spark, folder)
-    data = churn.churn_dataset(features.customer_features(lines), churn.churn_labels(lines))
+    data = churn.churn_dataset(features.customer_features(lines, 90))
     small = "avg_days_between_orders purchase_frequency_per_month product_diversity_ratio"
     return rounded(data, {4: "Monetary avg_order_value std_order_value", 6: small})
 
@@ -676,19 +676,16 @@ def stratified_split(spark, folder):
 
 # The library's defaults are the full 200 or 300 boosting rounds, each a chain of
 # jobs; the registered queries boost for fewer rounds.
-SIZES = estimators.TreeSizes(ltv_boost_rounds=40, ltv_sampled_rounds=40, churn_boost_rounds=40)
-
-
 def _ltv_model(name):
     def query(spark, folder):
-        return lifetime.fit_value_models(inputs.all_features(spark, folder), (name,), SIZES).predictions
+        return lifetime.fit_value_models(inputs.all_features(spark, folder), (name,)).predictions
 
     return query
 
 
 def _churn_model(name):
     def query(spark, folder):
-        return retention.fit_churn_models(inputs.clean(spark, folder), names=(name,), sizes=SIZES).predictions
+        return retention.fit_churn_models(inputs.clean(spark, folder), names=(name,)).predictions
 
     return query
 
@@ -704,12 +701,12 @@ register("M4c_churn_boosted")(_churn_model("SampledBoosting"))
 
 @register("M6_ltv_leaderboard")
 def ltv_leaderboard(spark, folder):
-    return lifetime.fit_value_models(inputs.all_features(spark, folder), sizes=SIZES).leaderboard
+    return lifetime.fit_value_models(inputs.all_features(spark, folder)).leaderboard
 
 
 @register("M6_churn_leaderboard")
 def churn_leaderboard(spark, folder):
-    return retention.fit_churn_models(inputs.clean(spark, folder), sizes=SIZES).leaderboard
+    return retention.fit_churn_models(inputs.clean(spark, folder)).leaderboard
 
 
 @register("M13_risk_tiers_fitted")
@@ -738,7 +735,7 @@ def feature_importance(spark, folder):
 def feature_attribution(spark, folder):
     lines = inputs.clean(spark, folder)
     training = retention.fit_churn_models(lines, names=("LogisticRegression",))
-    data = churn.churn_dataset(features.customer_features(lines), churn.churn_labels(lines))
+    data = churn.churn_dataset(features.customer_features(lines, 90))
     return importance.feature_attribution(data, training.models["LogisticRegression"])
 
 
