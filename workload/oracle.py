@@ -501,6 +501,17 @@ SELECT CustomerID, round(sum(step * 101e-2 ** (-h / 30)) * any_value(6 * (15000
          AS LTV_12m
 FROM (SELECT *, purchases - lag(purchases, 1, 0) OVER (PARTITION BY CustomerID ORDER BY h) AS step FROM until WHERE h < 365)
 GROUP BY CustomerID""",
+    "W6_random_split": """
+SELECT CustomerID, CAST(row_number() OVER (ORDER BY md5(concat(CustomerID, ':42')), CustomerID)
+                        <= ceil(CAST(0.2 AS DOUBLE) * count(*) OVER ()) AS INT) AS is_test FROM rfm""",
+    "W7_stratified_split": """
+SELECT CustomerID, CAST(r <= quota AS INT) AS is_test
+FROM (SELECT *, row_number() OVER (PARTITION BY Churned ORDER BY md5(concat(CustomerID, ':42')), CustomerID) AS r FROM labels_90)
+JOIN (SELECT Churned, floor(share) + CAST(row_number() OVER (ORDER BY share - floor(share) DESC, Churned)
+                                          <= wanted - sum(floor(share)) OVER () AS INT) AS quota
+      FROM (SELECT Churned, ceil(CAST(0.2 AS DOUBLE) * sum(count(*)) OVER ()) AS wanted,
+                   ceil(CAST(0.2 AS DOUBLE) * sum(count(*)) OVER ()) * count(*) / sum(count(*)) OVER () AS share
+            FROM labels_90 GROUP BY Churned)) USING (Churned)""",
     "S4_run_log": """
 SELECT 'Customer_Segmentation' AS experiment, 'profile' AS run, 'param' AS kind, k AS key, v AS value
 FROM (SELECT count(*) AS n, count(DISTINCT CustomerID) AS u FROM tx),

@@ -674,8 +674,6 @@ def stratified_split(spark, folder):
     return _split_sides(*splits.stratified_split(churn.churn_labels(inputs.clean(spark, folder)), "Churned"))
 
 
-# The library's defaults are the full 200 or 300 boosting rounds, each a chain of
-# jobs; the registered queries boost for fewer rounds.
 def _ltv_model(name):
     def query(spark, folder):
         return lifetime.fit_value_models(inputs.all_features(spark, folder), (name,)).predictions
@@ -712,7 +710,7 @@ def churn_leaderboard(spark, folder):
 @register("M13_risk_tiers_fitted")
 def risk_tiers_fitted(spark, folder):
     lines = inputs.clean(spark, folder)
-    training = retention.fit_churn_models(lines, names=("LogisticRegression",))
+    training = retention.fit_churn_models(lines, names=("LogisticRegression", "RandomForest"))
     scored = retention.risk_tiers(features.customer_features(lines), training)
     return scored.select(CUSTOMER, "Churn_Probability", "Churn_Predicted", "Churn_Risk_Tier")
 
@@ -720,7 +718,7 @@ def risk_tiers_fitted(spark, folder):
 @register("M14_value_tiers_fitted")
 def value_tiers_fitted(spark, folder):
     made = inputs.all_features(spark, folder)
-    training = lifetime.fit_value_models(made, ("Ridge",))
+    training = lifetime.fit_value_models(made, ("Ridge", "RandomForest"))
     scored = lifetime.value_tiers(made, training)
     return scored.select(CUSTOMER, "Predicted_LTV_Log", "Predicted_LTV", "LTV_Tier")
 
@@ -734,9 +732,9 @@ def feature_importance(spark, folder):
 @register("M16_feature_attribution")
 def feature_attribution(spark, folder):
     lines = inputs.clean(spark, folder)
-    training = retention.fit_churn_models(lines, names=("LogisticRegression",))
+    training = retention.fit_churn_models(lines, names=("RandomForest",))
     data = churn.churn_dataset(features.customer_features(lines, 90))
-    return importance.feature_attribution(data, training.models["LogisticRegression"])
+    return importance.feature_attribution(data, training.models["RandomForest"])
 
 
 @register("S4_run_log")
