@@ -106,11 +106,14 @@ def exact_quantiles(
     probabilities: dict[str, float],
     unique: str,
     by: Sequence[str] = (),
+    few_groups: bool = False,
 ) -> DataFrame:
     """Exact linearly interpolated quantiles, one row per group (one row without ``by``).
 
     NaN counts as missing. Reads order statistics off the ranked table instead of keeping every value
     of a group in one task. ``unique`` breaks ties so that equal values spread.
+    ``few_groups`` says that the groups are few by their nature, such as segments: their
+    table is then sent to the rows, which would else meet in one task per group.
     """
     wanted = df.select(*by, value, unique).filter(is_number(df, value))
     for key in by:
@@ -118,7 +121,7 @@ def exact_quantiles(
     ranked = global_rank(wanted, [*by, value, unique], "_rank", "_n")
     if by:
         groups = ranked.groupBy(*by).agg(F.min("_rank").alias("_first"), F.count(F.lit(1)).alias("_n"))
-        ranked = ranked.drop("_n").join(groups, list(by))
+        ranked = ranked.drop("_n").join(F.broadcast(groups) if few_groups else groups, list(by))
         position = F.col("_rank") - F.col("_first")
     else:
         position = F.col("_rank") - 1

@@ -6,10 +6,11 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from patronlens.functions.binning import bin_of_rank, bin_of_value, even_probabilities
 from patronlens.functions.timing import plus_days, whole_days
-from patronlens.operators.ranking import global_rank
+from patronlens.operators.ranking import exact_quantiles, global_rank
 from patronlens.schema import CUSTOMER, DATE, INVOICE, REVENUE
 from patronlens.session import materialize
 
@@ -81,17 +82,23 @@ def quantile_bin_value(
     bins: int = 5,
     reverse: bool = False,
     duplicates: str = "raise",
+    unique: str = CUSTOMER,
 ) -> DataFrame:
     """Quantile bin of the raw value: equal values share a bin.
 
-    Meant for values with few distinct levels, such as days: the exact
-    percentile keeps one count per level. Equal edges raise when a row is
-    scored, or with ``duplicates='collapse'`` merge into one.
+    The edges of a whole-number value such as days, which has few levels, come from one
+    aggregation that keeps a count per level; those of any other value are read off its
+    global order, ties told apart by ``unique``. Equal edges raise when a row is scored, or with
+    ``duplicates='collapse'`` merge into one.
     """
     if duplicates not in ("raise", "collapse"):
         raise ValueError("duplicates must be 'raise' or 'collapse'")
     probabilities = [0.0, *even_probabilities(bins), 1.0]
-    edges = df.agg(F.percentile(value, F.array(*map(F.lit, probabilities))).alias("edges")).scalar()
+    if isinstance(df.schema[value].dataType, T.IntegralType):
+        edges = df.agg(F.percentile(value, F.array(*map(F.lit, probabilities))).alias("edges")).scalar()
+    else:
+        names = {f"_q{i}": p for i, p in enumerate(probabilities)}
+        edges = exact_quantiles(df, value, names, unique).select(F.array(*names).alias("edges")).scalar()
     number = F.col(value).cast("double")
     if duplicates == "collapse":
         above = [((edges[i] > edges[i - 1]) & (number > edges[i])).cast("int") for i in range(1, bins)]

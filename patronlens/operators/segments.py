@@ -68,7 +68,7 @@ def ltv_by_segment(customers: DataFrame, segment: str = "Segment") -> DataFrame:
     """Mean, exact median and sum of the predicted value, by mean descending."""
     known = _known(customers, segment)
     sums = known.groupBy(segment).agg(F.avg("Predicted_LTV").alias("_avg"), F.sum("Predicted_LTV").alias("_sum"))
-    medians = exact_quantiles(known, "Predicted_LTV", {"_median": 0.5}, CUSTOMER, [segment])
+    medians = exact_quantiles(known, "Predicted_LTV", {"_median": 0.5}, CUSTOMER, [segment], few_groups=True)
     return (
         sums.join(medians, segment, "left")
         .select(

@@ -25,10 +25,11 @@ def local_session(cores: str | int = "*", app: str = "patronlens", partitions: i
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
+    """This application's folder below the one that ``spark.checkpoint.dir`` names, which all executors can reach.
 
-    Only a local session may fall back to a temporary folder: on a cluster a
-    machine-local folder would be lost with its machine.
+    It goes when the application ends. Only a local session may do without the
+    setting and gets a temporary folder: on a cluster a machine-local folder would be
+    lost with its machine.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -37,12 +38,22 @@ def shared_folder(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="patronlens-")
         context.setCheckpointDir(folder)
-    return folder
+    own = f"{folder.rstrip('/')}/patronlens-{context.applicationId}"
+    if own not in _own_folders:
+        _own_folders.add(own)
+        path = context._jvm.org.apache.hadoop.fs.Path(own)
+        files = path.getFileSystem(context._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return own
+
+
+_own_folders: set[str] = set()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the application's folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame) -> DataFrame:

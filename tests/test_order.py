@@ -1,11 +1,13 @@
 """Ranks, running totals, quantiles and splits against brute force, with heavy ties."""
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from patronlens.operators import ranking, splits
+from patronlens.operators import ranking, rfm, segments, splits
 
 
 @pytest.fixture(scope="module")
@@ -86,3 +88,27 @@ def test_stratified_split_shares_by_label(skewed):
     sizes, tested = pdf.groupby("grp").size(), test.toPandas().groupby("grp").size()
     for label, size in sizes.items():
         assert abs(tested.get(label, 0) - 0.2 * size) < 1
+
+
+def test_few_groups_meet_without_a_shuffle_on_the_group(spark):
+    """With automatic broadcasts off, no exchange on label or segment carries the customers."""
+    rows = [(str(i), f"s{i % 3}", i % 2, float(i)) for i in range(300)]
+    df = spark.createDataFrame(rows, "CustomerID string, Segment string, Churned int, Predicted_LTV double")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for made in (segments.ltv_by_segment(df), *splits.stratified_split(df, "Churned")):
+            made.collect()
+            plan = made._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan
+            assert not re.search(r"SortMergeJoin \\[(Churned|Segment)#\\d+\\], \\[\\w+#\\d+\\], Inner", plan)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_value_bins_of_fractions_come_from_the_global_order(spark):
+    values = [0.5, 0.5, 0.5, 1.5, 2.5, 3.5, 4.5, 5.5, 6.5, 7.5]
+    df = spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], "CustomerID string, v double")
+    got = {r.CustomerID: r.s for r in rfm.quantile_bin_value(df, "v", "s", 5, duplicates="collapse").collect()}
+    edges = np.quantile(values, [0.2, 0.4, 0.6, 0.8])
+    assert all(got[str(i)] == 1 + sum(v > e for e in edges if e > values[0]) for i, v in enumerate(values))
