@@ -35,8 +35,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination: documents that hold a benchmark item go."""
-    leaks = materialize(decontam.find_leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct())
-    return docs.join(leaks, "doc_id", "left_anti").select(docs.columns)
+    return decontam.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def replace_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

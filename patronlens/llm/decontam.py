@@ -70,6 +70,18 @@ class Walks:
         object.__setattr__(self, "_mix", rng.integers(1, 1 << 62, (self.walks, self.tables, self.samples)) * 2 + 1)
         object.__setattr__(self, "_anchor", rng.integers(0, 1 << 30, (5, 256)))
 
+    def recall(self, mismatch: float, windows: int) -> float:
+        """Chance that a key of one of ``windows`` agrees if each sampled sign differs with chance ``mismatch``."""
+        return 1 - (1 - (1 - mismatch) ** self.samples) ** (self.walks * self.tables * windows)
+
+    @classmethod
+    def for_recall(cls, target: float, mismatch: float = 0.2, windows: int = 4) -> Walks:
+        """The fewest tables that reach ``target``; ``windows`` is the least number of anchors of an item."""
+        tables = 1
+        while cls(tables=tables).recall(mismatch, windows) < target:
+            tables += 1
+        return cls(tables=tables)
+
     def anchor_value(self, signs: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """A hash of the first five signs of each word; ``signs`` ends in zeros."""
         value = np.zeros(len(starts), np.int64)
@@ -260,11 +272,23 @@ def _slices(text: str, overlap: int) -> Iterator[tuple[int, str]]:
         yield at, text[at : at + SLICE + overlap]
 
 
+def _blocks(
+    benchmark: DataFrame, walks: Walks, share: float, block_bytes: int, item_col: str, item_text: str
+) -> Iterator[Items]:
+    """The benchmark in blocks of about ``block_bytes``, one on the driver at a time."""
+    sized = benchmark.select(F.col(item_col).alias("i"), F.col(item_text).cast("string").alias("t")).filter("t is not null")
+    total = sized.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
+    blocks = max(1, math.ceil(total / block_bytes))
+    for block in range(blocks):
+        part = sized.filter(F.pmod(F.xxhash64("t"), F.lit(blocks)) == block)
+        yield Items.of([tuple(r) for r in part.collect()], walks, share)
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
     share: float = 0.9,
-    walks: Walks | None = None,
+    target_recall: float = 0.98,
     block_bytes: int = 4 << 20,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -274,22 +298,17 @@ def find_leaks(
     """(id, item_id, distance, start): items that a document holds but for 1 - ``share`` of their signs.
 
     ``distance`` counts edits between the item and the best part of the document,
-    ``start`` is about where that is in the normal form. Items are read in blocks of
-    about ``block_bytes``, each of which meets all documents, so neither the driver
-    nor a task ever holds more than one block of a larger benchmark. Items without a word,
-    null ones included, match nothing; null and empty texts hold nothing. Repeated
-    rows are reported as often as they occur, repeated items once.
+    ``start`` is about where that is in the normal form. ``target_recall`` decides how often
+    bits are sampled. Items are read in blocks of about ``block_bytes``, each of which
+    meets all documents, so neither the driver nor a task ever holds more than one block of a
+    larger benchmark. Items without a word, null ones included, match nothing; null and
+    empty texts hold nothing. Repeated rows are reported as often as they occur, repeated
+    items once.
     """
-    walks = walks or Walks()
-    sized = benchmark.select(F.col(item_col).alias("i"), F.col(item_text).cast("string").alias("t")).filter("t is not null")
-    total = sized.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
-    blocks = max(1, math.ceil(total / block_bytes))
     kind, item_kind = (d.schema[c].dataType.simpleString() for d, c in ((docs, id_col), (benchmark, item_col)))
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string"))
     out = None
-    for block in range(blocks):
-        part = sized.filter(F.pmod(F.xxhash64("t"), F.lit(blocks)) == block)
-        items = Items.of([tuple(r) for r in part.collect()], walks, share)
+    for items in _blocks(benchmark, Walks.for_recall(target_recall), share, block_bytes, item_col, item_text):
         found = rows.mapInArrow(
             lambda b, items=items: _leaks_of(b, items, id_col, item_col),
             f"`{id_col}` {kind}, `{item_col}` {item_kind}, distance int, start bigint",
@@ -298,51 +317,75 @@ def find_leaks(
     return out
 
 
-def _leaks_of(batches: Iterator[pa.RecordBatch], items: Items, id_col: str, item_col: str) -> Iterator[pa.RecordBatch]:
+def without_leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    share: float = 0.9,
+    target_recall: float = 0.98,
+    block_bytes: int = 4 << 20,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` in which ``find_leaks`` finds nothing, each decided by its own text; no join, no shuffle."""
+    at, schema = docs.columns.index(text_col), docs.schema
+
+    def kept(batches: Iterator[pa.RecordBatch], items: Items) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            leaking = {row for row, _ in _found(text_bytes(batch.column(at)), items)}
+            yield batch.filter(pa.array([row not in leaking for row in range(batch.num_rows)], pa.bool_()))
+
+    for items in _blocks(benchmark, Walks.for_recall(target_recall), share, block_bytes, item_col, item_text):
+        docs = docs.mapInArrow(lambda b, items=items: kept(b, items), schema)
+    return docs
+
+
+def _found(texts: list[bytes | None], items: Items) -> dict[tuple[int, int], tuple[int, int]]:
+    """(row, item) of each leak, with its least distance and start."""
     longest = max(map(len, items.texts), default=0)
     gap = np.zeros(items.walks.steps + 8, np.uint8)
+    best: dict[tuple[int, int], tuple[int, int]] = {}
+
+    def search(pending: list[tuple[int, int, str]]) -> None:
+        parts = [codes(t) for _, _, t in pending]
+        signs = np.concatenate([x for p in parts for x in (p, gap)])
+        edges = np.cumsum([0, *[len(p) + len(gap) for p in parts]])
+        found = items.plausible(signs, items.candidates(signs))
+        # A window belongs to the text that holds its middle: its start may lie before a text.
+        middle = found[:, 1] + np.array([len(items.texts[i]) // 2 for i in found[:, 0]], np.int64)
+        text = np.clip(np.searchsorted(edges, middle, "right") - 1, 0, len(pending) - 1)
+        for n in np.unique(text).tolist():
+            row, at, body = pending[n]
+            mine = found[text == n] - np.array([0, edges[n]])
+            for item, (distance, start) in items.verified(body, mine).items():
+                value = (distance, start + at)
+                best[row, item] = min(best.get((row, item), value), value)
+
+    pending: list[tuple[int, int, str]] = []
+    size = 0
+    for row, raw in enumerate(texts):
+        if raw and items.texts:
+            for at, body in _slices(normal_form(raw.decode()), 3 * longest):
+                pending.append((row, at, body))
+                size += len(body)
+                if size >= SLICE:
+                    search(pending)
+                    pending, size = [], 0
+    if pending:
+        search(pending)
+    return dict(sorted(best.items()))
+
+
+def _leaks_of(batches: Iterator[pa.RecordBatch], items: Items, id_col: str, item_col: str) -> Iterator[pa.RecordBatch]:
     item_ids = pa.array(items.ids) if items.ids else pa.nulls(0, pa.int64())
     for batch in batches:
-        pending: list[tuple[int, int, str]] = []
-        owner, item, distance, start = [], [], [], []
-
-        def flush(pending: list[tuple[int, int, str]], out: tuple = (owner, item, distance, start)) -> None:
-            if not pending:
-                return
-            parts = [codes(t) for _, _, t in pending]
-            signs = np.concatenate([x for p in parts for x in (p, gap)])
-            edges = np.cumsum([0, *[len(p) + len(gap) for p in parts]])
-            found = items.plausible(signs, items.candidates(signs))
-            # A window belongs to the text that holds its middle: its start may lie before a text.
-            middle = found[:, 1] + np.array([len(items.texts[i]) // 2 for i in found[:, 0]], np.int64)
-            text = np.clip(np.searchsorted(edges, middle, "right") - 1, 0, len(pending) - 1)
-            for n in np.unique(text).tolist():
-                row, at, body = pending[n]
-                mine = found[text == n] - np.array([0, edges[n]])
-                for i, (d, s) in sorted(items.verified(body, mine).items()):
-                    for column, value in zip(out, (row, i, d, s + at), strict=True):
-                        column.append(value)
-
-        size = 0
-        for row, raw in enumerate(text_bytes(batch.column(1))):
-            if raw and items.texts:
-                for at, body in _slices(normal_form(raw.decode()), 3 * longest):
-                    pending.append((row, at, body))
-                    size += len(body)
-                    if size >= SLICE:
-                        flush(pending)
-                        pending, size = [], 0
-        flush(pending)
-        best: dict[tuple[int, int], tuple[int, int]] = {}
-        for r, i, d, s in zip(owner, item, distance, start, strict=True):
-            best[r, i] = min(best.get((r, i), (d, s)), (d, s))
-        rows = sorted(best)
+        best = _found(text_bytes(batch.column(1)), items)
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column(0).take(pa.array([r for r, _ in rows], pa.int64())),
-                item_ids.take(pa.array([i for _, i in rows], pa.int64())),
-                pa.array([best[k][0] for k in rows], pa.int32()),
-                pa.array([best[k][1] for k in rows], pa.int64()),
+                batch.column(0).take(pa.array([r for r, _ in best], pa.int64())),
+                item_ids.take(pa.array([i for _, i in best], pa.int64())),
+                pa.array([d for d, _ in best.values()], pa.int32()),
+                pa.array([s for _, s in best.values()], pa.int64()),
             ],
             names=[id_col, item_col, "distance", "start"],
         )

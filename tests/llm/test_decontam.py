@@ -1,7 +1,7 @@
 import random
 
 from patronlens.llm import decontam
-from patronlens.llm.decontam import edit_distance, find_leaks, leaked_documents, normal_form
+from patronlens.llm.decontam import Walks, edit_distance, find_leaks, leaked_documents, normal_form, without_leaks
 
 
 def plain_distance(item, text):
@@ -60,6 +60,14 @@ def test_recall_of_edited_passages_and_no_others(spark, tiny):
         assert plain_distance(item, normal_form(texts[r.doc_id])) <= r.distance <= 0.1 * len(item)
     # In blocks of the benchmark the result is the same.
     assert {(r.doc_id, r.item_id) for r in find_leaks(df, bench, block_bytes=2000).collect()} == got
+    kept = {r.doc_id for r in without_leaks(df, bench, block_bytes=2000).collect()}
+    assert kept == set(texts) - {i for i, _ in got}
+
+
+def test_tables_follow_the_target():
+    few, many = Walks.for_recall(0.8), Walks.for_recall(0.999)
+    assert few.tables < many.tables and few.recall(0.2, 4) >= 0.8 and many.recall(0.2, 4) >= 0.999
+    assert Walks.for_recall(0.98) == Walks()
 
 
 def test_documents_match_exact_search(spark, tiny):
@@ -87,5 +95,8 @@ def test_odd_rows(odd, spark):
         "item_id long, text string",
     )
     assert {(r.doc_id, r.item_id) for r in find_leaks(odd, bench).collect()} == {(5, 1), (6, 1)}
+    kept = without_leaks(odd, bench)
+    assert kept.schema == odd.schema
+    assert sorted(map(str, kept.collect())) == sorted(str(r) for r in odd.collect() if r.doc_id not in (5, 6))
     assert find_leaks(odd.limit(0), bench).collect() == []
     assert find_leaks(odd, bench.limit(0)).collect() == []
