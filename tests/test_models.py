@@ -105,8 +105,10 @@ def test_value_models_log_save_and_score(spark, made):
     assert set(board) == {"Ridge", "RandomForest", "GradientBoosting", "SampledBoosting"}
     assert board[training.best] == min(board.values())
     logged = log.metric_table("LTV_Modeling").filter("key = 'rmse'").collect()
-    assert {r.run: r.value for r in logged} == pytest.approx(board)
-    again = runlog.load_model(f"{log.path}-models/LTV_Modeling/{training.best}")
+    names = {r.run: r.value for r in log.read().filter("kind = 'param' AND key = 'model'").collect()}
+    assert {names[r.run]: r.value for r in logged} == pytest.approx(board)
+    run_of = {name: run for run, name in names.items()}
+    again = runlog.load_model(f"{log.path}-models/LTV_Modeling/{run_of[training.best]}")
     one = estimators.predict_ltv_segments(made, training.models[training.best]).orderBy("CustomerID")
     two = estimators.predict_ltv_segments(made, again).orderBy("CustomerID")
     assert one.select("Predicted_LTV", "LTV_Tier").collect() == two.select("Predicted_LTV", "LTV_Tier").collect()
@@ -115,6 +117,23 @@ def test_value_models_log_save_and_score(spark, made):
     assert importance.feature_importance(spark, training.models["Ridge"]).count() == 0
 
 
+def test_a_second_training_leaves_the_first_run_alone(spark, made):
+    log = runlog.RunLog(spark, scratch_path(spark, "runs"))
+    for _ in range(2):
+        lifetime.fit_value_models(made, ("Ridge",), log=log)
+    runs = [r.run for r in log.read().filter("key = 'model'").collect()]
+    assert len(set(runs)) == 2
+    assert log.metric_table("LTV_Modeling").filter("key = 'rmse'").count() == 2
+    assert all(runlog.load_model(f"{log.path}-models/LTV_Modeling/{run}") for run in runs)
+
+
+def test_fits_say_whether_they_converged(spark, lines):
+    summary = buytilldie.rfm_t_summary(lines)
+    whole, cut = buytilldie.fit_bgnbd(summary), buytilldie.fit_bgnbd(summary, max_iter=1)
+    assert whole.converged and max(map(abs, whole.gradient)) < 1e-4
+    assert not cut.converged
+
+
 def test_churn_models_and_attribution(spark, lines, made):
     training = retention.fit_churn_models(lines, sizes=SMALL)
     board = {r.model: r.auc_roc for r in training.leaderboard.collect()}
