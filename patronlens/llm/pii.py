@@ -48,7 +48,7 @@ MENTION = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: A text that holds a mention holds this; it is cheap to look for.
 HINT = rf"[0-9@]|{_TITLE}\.? \p{{Lu}}"
 #: After so many collisions in a row a surrogate grows by one sign a time, for formats that hold few values.
-TIGHT = 8
+TIGHT = 3
 
 
 def holds_mention(text: str | Column) -> Column:
