@@ -6,7 +6,9 @@ are then dropped down its trees, which get so deep that a leaf holds about ``lea
 rows of the whole table. A query walks all trees through one priority queue: the branch
 that its own side of the splits crossed least comes next, whichever tree it is in. Visits
 meet the rows of their leaves in a join, and the candidates are ranked by their exact
-cosine.
+cosine. How many leaves a query visits is measured on the table itself: true neighbours of
+sampled queries, found by brute force over all rows, tell after how many visits the wanted
+share of them is met. Where that would read more rows than there are, all rows are read.
 
 Equal vectors are one row of the index with the few smallest of their ids, as no
 answer can hold more of them. So neither copies nor their queries crowd a leaf.
@@ -15,6 +17,7 @@ answer can hold more of them. So neither copies nor their queries crowd a leaf.
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,6 +31,10 @@ from patronlens.session import materialize
 
 #: Sample rows below which a fitted node is not split by a median of its own.
 LEAST_SAMPLE = 8
+#: Rows of a leaf where every query reads all rows.
+SCAN_LEAF = 4096
+#: Queries that meet a leaf in one group at a time, on average.
+GROUP_QUERIES = 8192
 
 
 @dataclass(frozen=True)
@@ -86,9 +93,36 @@ class Forest:
             out[:, t] = code
         return out
 
+    def costs(self, unit: np.ndarray) -> np.ndarray:
+        """What the queue pays to reach each leaf of each tree: (trees, leaves)."""
+        along = self.directions @ unit
+        cost, code = np.zeros((len(along), 1)), np.arange(1)
+        for level in range(self.depth):
+            if level < self.fitted:
+                cuts = self.thresholds[:, (1 << level) - 1 + code]
+            else:
+                cuts = self.deeper[:, code >> (level - self.fitted), level - self.fitted]
+            margin = along[:, level, None] - cuts
+            square = margin * margin
+            below = np.stack([cost + np.where(margin > 0, square, 0.0), cost + np.where(margin > 0, 0.0, square)], axis=2)
+            cost, code = below.reshape(len(along), -1), np.arange(2 << level)
+        return cost
+
+    def visits_for(self, target: float, asked: list[np.ndarray], nearest: list[np.ndarray]) -> int:
+        """The fewest visits after which a share ``target`` of the ``nearest`` units of the ``asked`` ones is met."""
+        needed = []
+        for unit, wanted in zip(asked, nearest, strict=True):
+            cost = self.costs(unit)
+            reached = cost[np.arange(len(cost)), self.leaves(wanted)].min(axis=1)
+            needed += np.searchsorted(np.sort(cost, axis=None), reached, "right").tolist()
+        return max(len(self.directions), sorted(needed)[math.ceil(target * len(needed)) - 1] if needed else 0)
+
     def visits(self, unit: np.ndarray, probes: int) -> list[tuple[int, int]]:
         """The first ``probes`` (tree, leaf) of the shared queue, nearest first."""
         along = self.directions @ unit
+        if probes * 32 > len(along) << self.depth:
+            order = np.argsort(self.costs(unit), axis=None, kind="stable")[:probes]
+            return list(zip(*(n.tolist() for n in np.divmod(order, 1 << self.depth)), strict=True))
         queue: list[tuple[float, int, int, int]] = [(0.0, t, 0, 0) for t in range(len(along))]
         found = []
         while queue and len(found) < probes:
@@ -139,14 +173,46 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.filter(F.size(vector) == (most["n"] if most else 0)).select(F.col(id_col).alias("id"), vector.alias("v")).distinct()
 
 
+def true_neighbours(classes: DataFrame, asked: np.ndarray, k: int) -> list[np.ndarray]:
+    """The ``k`` nearest other vectors of each of a few ``asked`` ones, by brute force over all rows."""
+    units = units_of(asked)
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, score = np.zeros((len(units), 0, units.shape[1])), np.zeros((len(units), 0))
+        for batch in batches:
+            many = _matrix(batch.column(0))
+            for at in range(0, len(many), SCAN_LEAF):
+                part = many[at : at + SCAN_LEAF]
+                close = units @ units_of(part).T
+                top = np.argsort(-close, axis=1)[:, : k + 1]
+                held = np.concatenate([held, part[top]], axis=1)
+                score = np.concatenate([score, np.take_along_axis(close, top, 1)], axis=1)
+                top = np.argsort(-score, axis=1)[:, : k + 1]
+                held, score = np.take_along_axis(held, top[:, :, None], 1), np.take_along_axis(score, top, 1)
+        owner = np.repeat(np.arange(len(units)), score.shape[1])
+        rows = held.reshape(-1, units.shape[1])
+        yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(score.ravel()), pa.array(list(rows), pa.list_(pa.float64()))], ["q", "score", "v"])
+
+    found = classes.select("v").mapInArrow(best, "q bigint, score double, v array<double>")
+    order = Window.partitionBy("q").orderBy(F.desc("score"), "v")
+    found = found.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k + 1)
+    near: list[list] = [[] for _ in asked]
+    for row in found.orderBy("q", "_n").collect():
+        near[row["q"]].append(row["v"])
+    # The vector itself is one of the rows.
+    return [units_of(m[(m != one).any(axis=1)][:k]) for one, m in zip(asked, (np.array(n, np.float64) for n in near), strict=True)]
+
+
 def nearest(
     vectors: DataFrame,
     is_query: str,
     k: int = 5,
     trees: int = 8,
     leaf: int = 128,
-    probes: int = 384,
+    probes: int | None = None,
     sample_rows: int = 16_384,
+    target_recall: float = 0.95,
+    sample_queries: int = 128,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
 ) -> DataFrame:
@@ -154,8 +220,10 @@ def nearest(
 
     Nearness is the cosine in double precision, ties go to the smaller id; a row is no
     neighbour of itself. ``sample_rows`` bounds the vectors that the forest is fitted on; every
-    row is indexed. Equal (id, vector) rows count once. A query with fewer than ``k``
-    other rows gets them all.
+    row is indexed. A query visits ``probes`` leaves; by default as many as ``sample_queries`` of
+    the queries need to meet ``target_recall`` of their true neighbours, or all rows where that is
+    less to read. Equal (id, vector) rows count once. A query with fewer than ``k`` other rows
+    gets them all.
     """
     rows = usable(vectors, id_col, vector_col)
     place = F.row_number().over(Window.partitionBy("v").orderBy("id"))
@@ -165,10 +233,21 @@ def nearest(
     total = classes.count()
     sample = classes.orderBy(F.xxhash64("rep", "v"), "v").limit(sample_rows).select("v").collect()
     points = np.array([r["v"] for r in sample], np.float64)
-    forest = Forest.fit(units_of(points) if total else np.zeros((0, 1)), total, trees, leaf)
+    points = units_of(points) if total else np.zeros((0, 1))
+    forest = Forest.fit(points, total, trees, leaf)
 
     asked = rows.filter(is_query).join(classes.select("v", F.md5(F.col("v").cast("string").cast("binary")).alias("cls")), "v")
     asked = materialize(asked.select(F.col("id").alias("query_id"), "cls", "v"))
+    searched = materialize(asked.select("cls", "v").distinct())
+    if probes is None:
+        some = searched.orderBy(F.xxhash64("v", F.lit(11)), "v").limit(sample_queries).select("v").collect()
+        some = np.array([r["v"] for r in some], np.float64)
+        probes = forest.visits_for(target_recall, list(units_of(some)), true_neighbours(classes, some, k)) if len(some) else trees
+        if probes >= 1 << forest.depth:
+            forest = Forest.fit(points, total, 1, SCAN_LEAF)
+            probes = 1 << forest.depth
+    # Where many queries visit a leaf they meet it in several groups.
+    groups = max(1, math.ceil(searched.count() * probes / (len(forest.directions) << forest.depth) / GROUP_QUERIES))
     kind = classes.schema["v"].dataType.simpleString()
     id_kind = rows.schema["id"].dataType.simpleString()
 
@@ -176,10 +255,10 @@ def nearest(
         for batch in batches:
             if batch.num_rows:
                 leaves = forest.leaves(units_of(_matrix(batch.column(1))))
-                for t in range(leaves.shape[1]):
-                    tree = pa.array(np.full(batch.num_rows, t, np.int32))
+                for t, group in itertools.product(range(leaves.shape[1]), range(groups)):
+                    tree, part = (pa.array(np.full(batch.num_rows, n, np.int32)) for n in (t, group))
                     yield pa.RecordBatch.from_arrays(
-                        [tree, pa.array(leaves[:, t]), batch.column(0), batch.column(1)], ["tree", "leaf", "ids", "v"]
+                        [tree, part, pa.array(leaves[:, t]), batch.column(0), batch.column(1)], ["tree", "part", "leaf", "ids", "v"]
                     )
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,9 +266,10 @@ def nearest(
             for row, unit in enumerate(units_of(_matrix(batch.column(1))) if batch.num_rows else ()):
                 tree, leaf_of = np.array(forest.visits(unit, probes), np.int64).reshape(-1, 2).T
                 owner = pa.array(np.full(len(tree), row))
+                part = pa.array(np.full(len(tree), int(batch.column(0)[row].as_py()[:8], 16) % groups, np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(tree.astype(np.int32)), pa.array(leaf_of), batch.column(0).take(owner), batch.column(1).take(owner)],
-                    ["tree", "leaf", "cls", "v"],
+                    [pa.array(tree.astype(np.int32)), part, pa.array(leaf_of), batch.column(0).take(owner), batch.column(1).take(owner)],
+                    ["tree", "part", "leaf", "cls", "v"],
                 )
 
     def rank(visits: pa.Table, held: pa.Table) -> pa.Table:
@@ -197,11 +277,14 @@ def nearest(
         owner, row, score = [], [], []
         if visits.num_rows and held.num_rows:
             asked_of, many = _matrix(visits["v"]), _matrix(held["v"])
-            close = units_of(asked_of) @ units_of(many).T
-            keep = min(k + 1, close.shape[1])
-            # The product only preselects, with room for its rounding; scores are taken anew.
-            floor = np.partition(close, close.shape[1] - keep, axis=1)[:, -keep] - 1e-9
-            owner, row = np.nonzero(close >= floor[:, None])
+            units, keep = units_of(many), min(k + 1, len(many))
+            for at in range(0, len(asked_of), 512):
+                close = units_of(asked_of[at : at + 512]) @ units.T
+                # The product only preselects, with room for its rounding; scores are taken anew.
+                floor = np.partition(close, close.shape[1] - keep, axis=1)[:, -keep] - 1e-9
+                some, rows_of = np.nonzero(close >= floor[:, None])
+                owner += (some + at).tolist()
+                row += rows_of.tolist()
             score = cosines(asked_of[owner], many[row])
         return pa.table(
             {
@@ -211,10 +294,9 @@ def nearest(
             }
         )
 
-    searched = asked.select("cls", "v").distinct()
-    visits = searched.mapInArrow(visit, f"tree int, leaf bigint, cls string, v {kind}")
-    held = classes.select("ids", "v").mapInArrow(index, f"tree int, leaf bigint, ids array<{id_kind}>, v {kind}")
-    ranked = visits.groupBy("tree", "leaf").cogroup(held.groupBy("tree", "leaf"))
+    visits = searched.mapInArrow(visit, f"tree int, part int, leaf bigint, cls string, v {kind}")
+    held = classes.select("ids", "v").mapInArrow(index, f"tree int, part int, leaf bigint, ids array<{id_kind}>, v {kind}")
+    ranked = visits.groupBy("tree", "part", "leaf").cogroup(held.groupBy("tree", "part", "leaf"))
     hits = ranked.applyInArrow(rank, f"cls string, ids array<{id_kind}>, score double")
     # A row found by several trees counts once.
     hits = hits.groupBy("cls", "ids").agg(F.max("score").alias("score"))

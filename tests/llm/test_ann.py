@@ -58,3 +58,44 @@ def test_deeper_trees_than_the_sample(spark):
         assert set(enumerate(leaves[i].tolist())) <= set(visits[: len(visits)])
         assert visits[0] in set(enumerate(leaves[i].tolist()))
         assert len(visits) == len(set(visits)) == 3 * 2**9
+
+
+def test_visits_follow_the_table(spark):
+    """Many leaves a query: a fixed number of visits would miss the neighbours."""
+    rng = np.random.default_rng(4)
+    rows = [(i, v) for i, v in enumerate(rng.standard_normal((6000, 32)).tolist())]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    units = np.array([v for _, v in rows])
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    found = {}
+    for r in ann.nearest(df, "vec_id % 100 = 0", leaf=4).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = [len(found[q] & set(np.argsort(-(units @ units[q]))[1:6].tolist())) for q in range(0, 6000, 100)]
+    assert sum(hits) >= 0.9 * 5 * len(hits)
+
+
+def test_the_forest_meets_its_target_where_it_reads_less_than_all():
+    rng = np.random.default_rng(5)
+    points = ann.units_of(rng.standard_normal((60, 16))[rng.integers(0, 60, 8000)] + 0.3 * rng.standard_normal((8000, 16)))
+    forest = ann.Forest.fit(points[:4000], len(points), 8, 16)
+    close = points @ points.T
+    near = [points[np.argsort(-close[q])[1:6]] for q in range(200)]
+    probes = forest.visits_for(0.95, list(points[:100]), near[:100])
+    assert probes < 1 << forest.depth
+    met = [
+        any((t, n) in seen for t, n in enumerate(of.tolist()))
+        for q in range(100, 200)
+        for seen in [set(forest.visits(points[q], probes))]
+        for of in forest.leaves(near[q])
+    ]
+    assert np.mean(met) >= 0.9
+
+
+def test_queue_and_sorted_costs_agree():
+    rng = np.random.default_rng(6)
+    points = ann.units_of(rng.standard_normal((2000, 8)))
+    forest = ann.Forest.fit(points[:300], 2000, 4, 8)
+    costs = forest.costs(points[0])
+    few = forest.visits(points[0], 30)
+    assert [costs[v] for v in few] == sorted(costs.ravel())[:30]
+    assert len(set(forest.visits(points[0], 900))) == 900
