@@ -10,11 +10,16 @@ that an item and a document that quotes it choose the same ones. Each meeting of
 places an item-sized window on the document, and the exact edit distance between
 the item and that window decides.
 
+Items too short for whole walks, or with too few anchors (one word, a script without blanks), are
+looked up exactly: of an item cut into one piece more than it may have edits, a document that
+holds it has one piece unchanged, and all places of all documents are compared with all pieces.
+
 Texts are compared in a normal form: lower case, words joined by one blank.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,6 +33,10 @@ from patronlens.llm.common import text_bytes
 
 #: Characters of normal text that a task embeds at a time.
 SLICE = 1 << 21
+#: Candidates of pieces that are checked at a time.
+PIECE_ROWS = 1 << 20
+#: Odd factor of the hash of a piece.
+PIECE_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _WORD_SIGNS = np.array([chr(c).isalnum() for c in range(0x10000)])
 
 
@@ -106,6 +115,18 @@ class Walks:
             yield from (k ^ k >> np.uint64(29) for k in keys)
 
 
+def piece_hashes(signs: np.ndarray, lengths: list[int]) -> dict[int, np.ndarray]:
+    """For each length the hash of the signs from each place on."""
+    out, hashes = {}, np.zeros(len(signs), np.uint64)
+    for length in range(1, max(lengths, default=0) + 1):
+        if length > len(signs):
+            break
+        hashes = hashes[: len(signs) - length + 1] * PIECE_FACTOR + signs[length - 1 :]
+        if length in lengths:
+            out[length] = hashes ^ hashes >> np.uint64(31)
+    return out
+
+
 def word_starts(signs: np.ndarray) -> np.ndarray:
     """Places after a blank or a zero."""
     before = np.r_[np.uint8(0), signs[:-1]]
@@ -154,6 +175,8 @@ class Items:
     keys: list[np.ndarray]
     owner: list[np.ndarray]
     place: list[np.ndarray]
+    #: By length of a piece: sorted hashes, and the item and place of each.
+    pieces: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
     walks: Walks
     share: float
 
@@ -161,12 +184,20 @@ class Items:
     def of(cls, rows: list[tuple], walks: Walks, share: float) -> Items:
         found = sorted({(i, t) for i, raw in rows if (t := normal_form(raw or ""))}, key=lambda r: (r[0] is None, r))
         pad, owner, place, parts, at = np.zeros(walks.steps + 8, np.uint8), [], [], [], 0
-        starts_all, forced = [], []
+        starts_all, forced, cut = [], [], {}
         for n, (_, text) in enumerate(found):
             signs = np.r_[codes(text), pad]
             starts = word_starts(signs)
             value = walks.anchor_value(signs, starts)
             chosen = starts[value % walks.every == 0]
+            # A walk reads about half as many signs as it has steps, two thirds at most but for rare ones.
+            if np.count_nonzero(starts <= min(len(text) // 2, len(text) - walks.steps * 2 // 3)) < 4:
+                count = math.floor((1 - share) * len(text)) + 1
+                ends = np.linspace(0, len(text), count + 1).astype(int).tolist()
+                for a, b in zip(ends, ends[1:], strict=False):
+                    if a < b:
+                        cut.setdefault(b - a, []).append((int(piece_hashes(signs[a:b], [b - a])[b - a][0]), n, a))
+                continue
             # Windows near the end of an item would be cut short: an item needs anchors in its first half too.
             if np.count_nonzero(chosen <= len(text) // 2) < 4:
                 chosen = starts[starts <= len(text) // 2] if len(starts) > 1 else starts
@@ -189,7 +220,11 @@ class Items:
             by_owner.append(owners[order])
             by_place.append(places[order])
         forced = np.unique(np.concatenate(forced)) if forced else none
-        return cls([i for i, _ in found], [t for _, t in found], forced, keys, by_owner, by_place, walks, share)
+        pieces = {}
+        for length, of in cut.items():
+            key, item, start = (np.array(c, d) for c, d in zip(zip(*sorted(of), strict=True), (np.uint64, np.int64, np.int64), strict=True))
+            pieces[length] = (key, item, start)
+        return cls([i for i, _ in found], [t for _, t in found], forced, keys, by_owner, by_place, pieces, walks, share)
 
     def most(self, item: int) -> int:
         return math.floor((1 - self.share) * len(self.texts[item]))
@@ -215,6 +250,24 @@ class Items:
             found.append(np.stack([owner[at], starts[row] - place[at]], axis=1))
         return np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
 
+    def held_pieces(self, signs: np.ndarray) -> Iterator[np.ndarray]:
+        """Rows (item, start) of item-sized windows of ``signs`` that hold a piece of an item unchanged, part by part."""
+        for length, hashes in piece_hashes(signs, sorted(self.pieces)).items():
+            table, owner, place = self.pieces[length]
+            mask = np.uint64((1 << 22) - 1)
+            bitmap = np.zeros(1 << 22, bool)
+            bitmap[table & mask] = True
+            maybe = np.flatnonzero(bitmap[hashes & mask])
+            low, high = np.searchsorted(table, hashes[maybe], "left"), np.searchsorted(table, hashes[maybe], "right")
+            many = high - low
+            maybe, low, many = maybe[many > 0], low[many > 0], many[many > 0]
+            parts = np.flatnonzero(np.diff((np.cumsum(many) - many) // PIECE_ROWS)) + 1
+            for at, some, first in zip(*(np.split(x, parts) for x in (maybe, many, low)), strict=True):
+                row = np.repeat(at, some)
+                of = np.repeat(first - (np.cumsum(some) - some), some) + np.arange(some.sum())
+                if len(row):
+                    yield np.unique(np.stack([owner[of], row - place[of]], axis=1), axis=0)
+
     def plausible(self, signs: np.ndarray, candidates: np.ndarray) -> np.ndarray:
         """The candidates whose codes are within the bound of an item; a lower bound of the distance decides.
 
@@ -350,7 +403,8 @@ def _found(texts: list[bytes | None], items: Items) -> dict[tuple[int, int], tup
         parts = [codes(t) for _, _, t in pending]
         signs = np.concatenate([x for p in parts for x in (p, gap)])
         edges = np.cumsum([0, *[len(p) + len(gap) for p in parts]])
-        found = items.plausible(signs, items.candidates(signs))
+        found = [items.plausible(signs, c) for c in itertools.chain([items.candidates(signs)], items.held_pieces(signs))]
+        found = np.concatenate(found)
         # A window belongs to the text that holds its middle: its start may lie before a text.
         middle = found[:, 1] + np.array([len(items.texts[i]) // 2 for i in found[:, 0]], np.int64)
         text = np.clip(np.searchsorted(edges, middle, "right") - 1, 0, len(pending) - 1)

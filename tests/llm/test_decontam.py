@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from patronlens.llm import decontam
 from patronlens.llm.decontam import Walks, edit_distance, find_leaks, leaked_documents, normal_form, without_leaks
 
@@ -100,3 +102,22 @@ def test_odd_rows(odd, spark):
     assert sorted(map(str, kept.collect())) == sorted(str(r) for r in odd.collect() if r.doc_id not in (5, 6))
     assert find_leaks(odd.limit(0), bench).collect() == []
     assert find_leaks(odd, bench.limit(0)).collect() == []
+
+
+def test_short_and_unspaced_quotes_are_found(spark):
+    rng = np.random.default_rng(12)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, 9))) for _ in range(400)]
+    spaced = lambda size: " ".join(rng.choice(words, size))[:size].strip()
+    unspaced = lambda size: "".join(map(chr, rng.integers(0x4E00, 0x9FA0, size)))
+    items = ["What is the capital of France?"]
+    items += [make(size) for make in (spaced, unspaced) for size in (10, 15, 20, 25, 30, 35, 40, 50, 60, 120) for _ in range(4)]
+    docs = []
+    for i, item in enumerate(items):
+        make, glue = (unspaced, "") if ord(item[1]) > 0x4E00 else (spaced, " ")
+        changed = item[: len(item) // 2] + "x" + item[len(item) // 2 + 1 :] if len(item) > 20 else item
+        docs += [(i, glue.join([make(300), quote, make(300)])) for quote in (item, changed)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = [(r.doc_id, r.item_id) for r in decontam.find_leaks(df, bench).collect()]
+    assert sum(found.count((i, i)) for i in range(len(items))) >= 2 * len(items) - 1
+    assert decontam.without_leaks(df, bench).count() <= 1
