@@ -29,17 +29,30 @@ GIVEN = {
     ("greek", "f"): ("Άννα", "Δάφνη", "Ελένη", "Ζωή", "Ιωάννα", "Κατερίνα", "Μαρία", "Σοφία"),
 }
 ALPHABETS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
+#: Letters of scripts without capitals; those of any other script become Latin.
+CASELESS = {
+    r"\p{IsHan}": "安白成大方高国海和江金林明平青山石天文新",
+    r"\p{IsArabic}": "ابتجحدرزسشصطعفقكلمنهوي",
+    r"\p{IsHebrew}": "אבגדהוזחטיכלמנסעפצקרשת",
+    r"\p{IsHangul}": "가나다라마바사아자차카타파하",
+    r"\p{IsDevanagari}": "कखगघचछजझटठडढतथदधनपफबभमयरलवसह",
+}
 SCRIPTS = {"latin": r"\p{IsLatin}", "cyrillic": r"\p{IsCyrillic}", "greek": r"\p{IsGreek}"}
 
 _TITLE = "(?:" + "|".join(sorted(MALE_TITLES + FEMALE_TITLES, key=len, reverse=True)) + ")"
 _WORD = r"\p{Lu}\p{Ll}++"
+#: National numbers of 9 to 11 digits that begin with 0, parted by one kind of sign.
+_NATIONAL = "|".join(
+    rf"(?<![\p{{N}}.+\-])0(?=(?:{sep}?\d){{8,10}}(?!{sep}?\d))\d{{1,4}}(?:{sep}\d{{2,7}}){{1,4}}(?!\d)" for sep in (" ", "[.]", "-")
+)
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 #: One alternative per type, tried in this order.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]++(?:\.[\p{L}\p{N}\-]++)+",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
-    "phone": r"(?<![\p{N}+])\+\d{1,3}(?:[ .\-]?(?:\(\d{1,4}\)|\d{2,4})){2,5}(?!\d)|(?<!\d)(?:\(\d{3}\) ?|\d{3}[.\-])\d{3}[.\-]\d{4}(?!\d)",
+    "phone": r"(?<![\p{N}+])\+\d{1,3}(?:[ .\-]?(?:\(\d{1,4}\)|\d{2,4})){2,5}(?!\d)|(?<!\d)(?:\(\d{3}\) ?|\d{3}[ .\-])\d{3}[ .\-]\d{4}(?!\d)|"
+    + _NATIONAL,
     "ssn": r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)",
     "card": r"(?<!\d)(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){3})(?!\d)",
     "name": rf"(?<!\p{{L}}){_TITLE}\.? {_WORD}(?: {_WORD})?",
@@ -91,7 +104,7 @@ def _draw(hashes: Column, place: Column | int, size: Column | int) -> Column:
 
 
 def _like(text: Column, hashes: Column) -> Column:
-    """``text`` with each letter and digit redrawn within its script and case; other signs stay."""
+    """``text`` with each letter and digit redrawn within its script and case, Latin for rarer scripts; other signs stay."""
 
     def redraw(sign: Column, place: Column) -> Column:
         out = F.when(sign.rlike(r"^[0-9]$"), _draw(hashes, place, 10).cast("string"))
@@ -99,7 +112,12 @@ def _like(text: Column, hashes: Column) -> Column:
             drawn = F.substr(F.lit(letters), _draw(hashes, place, len(letters)) + 1, F.lit(1))
             out = out.when(sign.rlike(rf"^(?=\p{{Lu}}){SCRIPTS[script]}$"), F.upper(drawn))
             out = out.when(sign.rlike(rf"^(?=\p{{L}}){SCRIPTS[script]}$"), drawn)
-        return out.otherwise(sign)
+        for script, letters in CASELESS.items():
+            drawn = F.substr(F.lit(letters), _draw(hashes, place, len(letters)) + 1, F.lit(1))
+            out = out.when(sign.rlike(rf"^(?=\p{{L}}){script}$"), drawn)
+        drawn = F.substr(F.lit(ALPHABETS["latin"]), _draw(hashes, place, 26) + 1, F.lit(1))
+        out = out.when(sign.rlike(r"^\p{Lu}$"), F.upper(drawn)).when(sign.rlike(r"^\p{L}$"), drawn)
+        return out.when(sign.rlike(r"^\p{N}$"), _draw(hashes, place, 10).cast("string")).otherwise(sign)
 
     return F.array_join(F.transform(F.split(text, ""), redraw), "")
 

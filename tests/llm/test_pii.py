@@ -83,3 +83,19 @@ def test_odd_rows(odd):
     assert all(r.fp == "clash" and r._key == "clash" for r in rows)
     assert replace_personal_data(odd.limit(0), "k").collect() == []
     assert replace_personal_data(odd.withColumn("text", F.lit(None).cast("string")), "k").count() == odd.count()
+
+
+def test_addresses_of_any_script_are_redrawn_whole(spark):
+    locals_ = ["王小明", "محمد", "שלום", "김철수", "ჯონი", "राम", "๑๒๓ก", "١٢٣"]
+    for one, new in zip(locals_, replaced(spark, [f"to {one}@mail.com now" for one in locals_]), strict=True):
+        kept = re.fullmatch(r"to (\S+)@[a-z]{4}\.com now", new)[1]
+        assert len(kept) == len(one) and kept != one
+        assert one in ("محمد", "שלום", "김철수", "राम") or not set(one) & set(kept) - set("明")
+
+
+def test_national_phone_formats(spark):
+    phones = ["555 123 4567", "(555) 123 4567", "07911 123456", "06 12 34 56 78", "06.12.34.56.78", "030-1234567"]
+    for old, new in zip(phones, replaced(spark, [f"call {p}, ok" for p in phones]), strict=True):
+        assert new != f"call {old}, ok" and re.sub(r"\d", "#", new) == re.sub(r"\d", "#", f"call {old}, ok")
+    plain = ["on 01.02.2024 10 of us", "01-02-2024", "part 000 12", "0.123456789"]
+    assert replaced(spark, plain) == plain
