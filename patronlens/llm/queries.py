@@ -2,13 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import ann, decontam, packing, pii, quality, secrets, sharding, simhash, tokencount, warc
-from patronlens.llm.common import table
+from patronlens.llm import (
+    ann,
+    decontam,
+    hardneg,
+    packing,
+    periodic,
+    pii,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    tokencount,
+    warc,
+    winnow,
+)
+from patronlens.llm.common import table, text_bytes
 from patronlens.session import scratch_path
 
 #: Production parameters.
@@ -77,6 +93,52 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def _planted_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts whose id says so repeat their words from some place on, as the query prescribes."""
+    for batch in batches:
+        texts = text_bytes(batch.column(1))
+        for row, (doc_id, text) in enumerate(zip(batch.column(0).to_pylist(), texts, strict=True)):
+            hashed = None if doc_id is None else zlib.crc32(str(doc_id).encode())
+            words = text.split() if text and hashed is not None and hashed % 10 == 0 else []
+            if words:
+                n, g = len(words), hashed // 10
+                at = g % n
+                period = 1 + (n - at) // (3 + g % 8)
+                again = -(-(n - at) // period)
+                texts[row] = b" ".join((words[:at] + words[at : at + period] * again)[:n])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary()).cast(pa.string())], ["doc_id", "text"])
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of the documents, with repeats planted where the id asks for it, as digests."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = periodic.periodic_runs(docs.mapInArrow(_planted_repeats, docs.schema))
+    ranked = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), -r["start"], -r["period"]))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = found.select("*", F.array_max(ranked).alias("_best"), F.array_join(line, "").alias("_lines"))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("_best.col2")).alias("start"),
+        F.col("_best.length").alias("length"),
+        (-F.col("_best.col3")).alias("period"),
+        F.expr("1000 * _best.length div -_best.col3").alias("exponent_milli"),
+        F.sha2("_lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, with the labels of every seventh one shifted."""
+    rows = table(spark, folder, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(rows.select("vec_id", shifted.alias("label"), "embedding"), "id % 100 = 0")
+
+
+def op13_winnowed_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return winnow.compare_with_edits(table(spark, folder, "documents"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -90,6 +152,9 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_classifier,
         op9_pii_surrogates,
         op10_simhash_near_dedup,
+        op11_periodic_runs,
+        op12_hard_negatives,
+        op13_winnowed_fingerprints,
     )
 }
 
