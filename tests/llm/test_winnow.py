@@ -24,11 +24,12 @@ def plain(text, k=GRAM, window=WINDOW):
         return []
     if len(kept) < k:
         return [(kept[0][0], mixed((sum((c + 1) * pow(winnow.BASE, j, M + 1) for j, (_, c) in enumerate(kept)) + len(kept)) & M))]
-    grams = [mixed(sum((c + 1) * pow(winnow.BASE, j, M + 1) for j, (_, c) in enumerate(kept[n : n + k])) & M) for n in range(len(kept) - k + 1)]
+    power = [pow(winnow.BASE, j, M + 1) for j in range(k)]
+    grams = [mixed(sum((c + 1) * b for (_, c), b in zip(kept[n : n + k], power)) & M) for n in range(len(kept) - k + 1)]
     chosen = set()
     for at in range(max(1, len(grams) - window + 1)):
-        part = grams[at : at + window]
-        chosen.add(at + max(n for n, g in enumerate(part) if g == min(part)))
+        part = grams[at : at + window][::-1]
+        chosen.add(at + len(part) - 1 - part.index(min(part)))
     return [(kept[n][0], grams[n]) for n in sorted(chosen)]
 
 
