@@ -22,8 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from patronlens.llm.common import SLICE_BYTES
 
+#: Signs that are worked on at once, beyond one text: each takes about a hundred bytes of sums, hashes and places.
+AT_ONCE = 1 << 19
 #: Signs of a gram, and grams of a window: every shared stretch of 59 signs is met.
 GRAM, WINDOW = 20, 40
 # Fixed values of the hash: an odd multiplier, its inverse modulo 2^64, and the mixing multipliers.
@@ -155,7 +156,7 @@ def _sliced(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[str]]]:
     for text in batch.column(1):
         texts.append(text.as_py() or "")
         size += len(texts[-1])
-        if size >= SLICE_BYTES:
+        if size >= AT_ONCE:
             yield batch.column(0).slice(first, len(texts)), texts
             first, size, texts = first + len(texts), 0, []
     if texts:
@@ -249,7 +250,7 @@ def compare_with_edits(
                 for part, extra, id_, text in zip(*columns, strict=True):
                     held.append((part, extra, id_, text or ""))
                     size += len(held[-1][3])
-                    if size >= SLICE_BYTES and len(held) > 1:
+                    if size >= AT_ONCE and len(held) > 1:
                         yield compared(held)
                         held, size = held[-1:], len(held[-1][3])
         if len(held) > 1:

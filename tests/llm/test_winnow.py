@@ -99,8 +99,8 @@ def test_odd_rows(odd, spark, monkeypatch):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     alone = [r for r in rows if r[0] is not None and len(r[1] or "") < 9999]
     one_of_each = odd.filter("doc_id < 5 OR doc_id = 7")
-    for limit in (winnow.SLICE_BYTES, 10):
-        monkeypatch.setattr(winnow, "SLICE_BYTES", limit)
+    for limit in (winnow.AT_ONCE, 10):
+        monkeypatch.setattr(winnow, "AT_ONCE", limit)
         got = sorted(tuple(r) for r in compare_with_edits(one_of_each).collect())
         assert got == sorted(brute(alone))
         assert compare_with_edits(odd).count() == len(rows)
