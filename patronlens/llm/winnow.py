@@ -66,13 +66,42 @@ def winnow(texts: list[str], k: int = GRAM, window: int = WINDOW) -> list[tuple[
     """(positions, hashes) of each text, by position.
 
     A text of fewer than ``k`` signs is one gram, one of fewer than ``window`` grams one
-    window; a text without signs has no fingerprint.
+    window; a text without signs has no fingerprint. Long texts are worked on piece by piece.
     """
+    short = _winnow([t if len(t) <= AT_ONCE else "" for t in texts], k, window)
+    return [_winnow_long(t, k, window) if len(t) > AT_ONCE else found for t, found in zip(texts, short, strict=True)]
+
+
+def _winnow_long(text: str, k: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """As ``_winnow``, from pieces that share the signs of all windows but one, so that each window lies in a piece."""
+    shared = window + k - 2
+    start, size, found = 0, AT_ONCE, []
+    while True:
+        piece = text[start : start + size]
+        last = start + size >= len(text)
+        place = _sign_places(np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), "<u4"))
+        if len(place) > shared or (last and not found):
+            at, hashes = _winnow([piece], k, window)[0]
+            found.append((at + start, hashes))
+        if last:
+            break
+        if len(place) > shared:
+            start, size = start + int(place[len(place) - shared]) if shared else start + size, AT_ONCE
+        else:
+            size *= 2
+    positions, first = np.unique(np.concatenate([at for at, _ in found]), return_index=True)
+    return positions, np.concatenate([hashes for _, hashes in found])[first]
+
+
+def _sign_places(codes: np.ndarray) -> np.ndarray:
+    return np.flatnonzero((codes > 32) | (codes < 9) | ((codes > 13) & (codes < 32)))
+
+
+def _winnow(texts: list[str], k: int, window: int) -> list[tuple[np.ndarray, np.ndarray]]:
     codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     starts = np.concatenate([[0], np.cumsum(lengths)])
-    sign = (codes > 32) | (codes < 9) | ((codes > 13) & (codes < 32))
-    place = np.flatnonzero(sign)
+    place = _sign_places(codes)
     signs = codes[place].astype(np.uint64)
     signs += np.where((signs >= 65) & (signs <= 90), np.uint64(32), np.uint64(0))
     ends = np.searchsorted(place, starts)

@@ -55,11 +55,14 @@ def random_text(rng, n, letters="ab AB\n"):
 
 
 @pytest.mark.parametrize("k,window", [(1, 1), (3, 4), (5, 1), (4, 7), (GRAM, WINDOW)])
-def test_winnow_follows_its_definition(k, window):
+def test_winnow_follows_its_definition(k, window, monkeypatch):
     rng = random.Random(k * window)
     texts = [random_text(rng, rng.randrange(150), rng.choice(("a", "ab ", "abc dé日🙂\x1c\x85\t"))) for _ in range(200)]
     got = [list(zip(p.tolist(), h.tolist())) for p, h in winnow.winnow(texts, k, window)]
     assert got == [plain(t, k, window) for t in texts]
+    for size in (1, 30, 90):  # pieces of long texts give the same
+        monkeypatch.setattr(winnow, "AT_ONCE", size)
+        assert [list(zip(p.tolist(), h.tolist())) for p, h in winnow.winnow(texts, k, window)] == got
 
 
 def test_shared_stretches_are_never_missed():
