@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patronlens.schema import CUSTOMER, LOADED
+from patronlens.sources.records import has_long_records, long_record_rows
 
 ENCODING = "ISO-8859-1"
 # Date patterns of retail exports next to ISO dates.
@@ -42,8 +43,15 @@ def _typed(name: str, kind: T.DataType, patterns: Sequence[str]) -> Column:
 
 
 def _text_rows(spark: SparkSession, path: str) -> DataFrame:
-    """All cells as text. A file whose header names other columns than the first one's is an error."""
-    return spark.read.option("header", True).option("encoding", ENCODING).option("enforceSchema", False).csv(path)
+    """All cells as text. A file whose header names other columns than the first one's is an error.
+
+    Files without line breaks inside cells go through Spark's own reader, which splits
+    them at lines; one pass over the lines tells. Others are cut into records by ``records``.
+    """
+    if has_long_records(spark, path, ENCODING):
+        return long_record_rows(spark, path, ENCODING)
+    reader = spark.read.option("header", True).option("encoding", ENCODING).option("enforceSchema", False)
+    return reader.option("escape", '"').csv(path)
 
 
 def _format_of(path: str, format: str | None) -> str:
@@ -69,6 +77,9 @@ def load_transactions(
     typed: prices keep ten decimals, quantities may end in ``.0``, and a cell that cannot
     be read is null, which ``unreadable_cells`` counts. ``count_rows`` logs the
     number of rows, at the price of one scan.
+
+    Quoted cells may hold separators, doubled quotes and line breaks. A file with line breaks in
+    cells is read by many tasks all the same, and its rows are a written table.
     """
     if _format_of(path, format) == "parquet":
         df = spark.read.parquet(path)
@@ -104,8 +115,12 @@ def unreadable_cells(
 
 
 def write_transactions(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with a header and no row numbers, in as many files as there are partitions."""
-    df.write.mode(mode).option("header", True).option("encoding", ENCODING).csv(path)
+    """CSV with a header and no row numbers, in as many files as there are partitions.
+
+    Cells with separators, quotes or line breaks are quoted and their quotes doubled; blanks at their ends stay.
+    """
+    writer = df.write.mode(mode).option("header", True).option("encoding", ENCODING).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def dataset_profile(df: DataFrame, name: str = "transactions") -> DataFrame:

@@ -264,6 +264,13 @@ SELECT CASE o_custkey % 4 WHEN 1 THEN concat(o_custkey, 'E2') WHEN 3 THEN concat
        CASE WHEN l_linenumber % 3 < 2 THEN o_orderdate END AS InvoiceDate,
        CAST(concat(trunc(l_extendedprice)::BIGINT, '.00', l_linenumber) AS DOUBLE) AS UnitPrice
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "S1_load_quoted": """
+SELECT l_orderkey::VARCHAR AS InvoiceNo, l_linenumber::VARCHAR AS StockCode,
+       CASE l_partkey % 5 WHEN 0 THEN concat('SET OF ', l_linenumber, ' "PINK", HEARTS') WHEN 1 THEN concat('two', chr(10), 'lines, "', chr(10))
+            WHEN 2 THEN concat('5" PIPE ', l_suppkey) WHEN 3 THEN concat(' ', chr(92), '" ') ELSE concat('"', l_returnflag, '"') END AS Description,
+       l_quantity::BIGINT AS Quantity,
+       CASE l_suppkey % 2 WHEN 0 THEN concat('Korea, "South"', chr(10)) ELSE 'Peru' END AS Country
+FROM lineitem""",
     "S1_unreadable_cells": """
 SELECT 'Quantity' AS "column", count(*) AS filled, count(*) FILTER (l_linenumber % 4 = 3) AS unreadable FROM lineitem
 UNION ALL SELECT 'InvoiceDate', count(*), count(*) FILTER (l_linenumber % 3 = 2) FROM lineitem

@@ -102,6 +102,23 @@ def load_messy(spark, folder):
     )
 
 
+@register("S1_load_quoted")
+def load_quoted(spark, folder):
+    """Cells with separators, quotes and line breaks, written and read back."""
+    lines = table(spark, folder, "lineitem").selectExpr(
+        "CAST(l_orderkey AS STRING) AS InvoiceNo",
+        "CAST(l_linenumber AS STRING) AS StockCode",
+        "CASE l_partkey % 5 WHEN 0 THEN concat('SET OF ', l_linenumber, ' \"PINK\", HEARTS') WHEN 1 THEN concat('two', char(10), 'lines, \"', char(10))"
+        " WHEN 2 THEN concat('5\" PIPE ', l_suppkey) WHEN 3 THEN concat(' ', char(92), '\" ') ELSE concat('\"', l_returnflag, '\"') END AS Description",
+        "CAST(l_quantity AS BIGINT) AS Quantity",
+        "CASE l_suppkey % 2 WHEN 0 THEN concat('Korea, \"South\"', char(10)) ELSE 'Peru' END AS Country",
+    )
+    path = scratch_path(spark, "quoted-csv")
+    transactions.write_transactions(lines, path)
+    read = transactions.load_transactions(spark, path)
+    return read.select("InvoiceNo", "StockCode", "Description", "Quantity", "Country")
+
+
 @register("S1_unreadable_cells")
 def unreadable_cells(spark, folder):
     return transactions.unreadable_cells(spark, _messy_file(spark, folder))
