@@ -211,12 +211,19 @@ def fit_quality(
     return fit_boosted(x, np.array([r["label"] for r in sample], float))
 
 
-def score_quality(docs: DataFrame, model: Boosted, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``score`` and ``predicted`` added; null texts score as empty ones.
+def score_quality(
+    docs: DataFrame,
+    model: Boosted,
+    threshold: float = 0.3,
+    text_col: str = "text",
+    score_col: str = "score",
+    predicted_col: str = "predicted",
+) -> DataFrame:
+    """``docs`` with ``score_col`` and ``predicted_col`` added; null texts score as empty ones.
 
     Existing columns of these names are replaced.
     """
-    kept = docs.drop("score", "predicted")
+    kept = docs.drop(score_col, predicted_col)
     at = kept.columns.index(text_col)
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,8 +233,8 @@ def score_quality(docs: DataFrame, model: Boosted, threshold: float = 0.3, text_
             x = np.stack([statistics(t) for t in text_bytes(batch.column(at))])
             score = model.score(x)
             predicted = (score >= threshold).astype(np.int32)
-            names = [*batch.schema.names, "score", "predicted"]
+            names = [*batch.schema.names, score_col, predicted_col]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score), pa.array(predicted)], names=names)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return kept.mapInArrow(walk, f"{schema}, score double, predicted int")
+    return kept.mapInArrow(walk, f"{schema}, `{score_col}` double, `{predicted_col}` int")

@@ -45,6 +45,25 @@ def test_odd_documents(spark, tiny, odd):
         assert stage(spark, docs.limit(0), tiny).collect() == []
 
 
+def test_texts_of_one_id_are_documents_of_their_own(spark, tiny):
+    a, b = "one text about rivers and the stones in them", "quite another text on ships that sail far"
+    rows = [(1, a, 1), (1, b, 2), (2, b, 3), (3, a, 4), (1, a, 1), (None, a, 5), (4, "", 6), (5, None, 7), (6, None, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _hash int")
+    kept = sorted(corpus_pipeline.keep_one_of_each(spark, docs, tiny).collect(), key=lambda r: r._hash)
+    assert [tuple(r) for r in kept] == [(1, a, 1), (1, b, 2), (None, a, 5), (4, "", 6)]
+
+
+def test_columns_named_like_the_models_own_stay(spark, tiny):
+    docs = spark.read.parquet(f"{tiny}/documents.parquet").drop("n_chars")
+    clashing = docs.selectExpr("*", "doc_id AS score", "'mine' AS predicted", "'x' AS _score", "1 AS _hash")
+    frame = clashing
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        frame = stage(spark, frame, tiny)
+        assert frame.columns == clashing.columns
+    rows = frame.collect()
+    assert rows and all((r.score, r.predicted, r._score, r._hash) == (r.doc_id, "mine", "x", 1) for r in rows)
+
+
 def test_guard_only_forgives_absence():
     source = open("__spark_entry__.py").read()
     assert re.search(r"except ModuleNotFoundError", source) and "raise" in source
