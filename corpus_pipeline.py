@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronlens.llm import decontam, packing, pii, quality, simhash
-from patronlens.llm.common import table
+from patronlens.llm.common import free_name, table
 from patronlens.llm.queries import HELD_OUT_THRESHOLD, KEY
 from patronlens.session import materialize
 
@@ -18,19 +18,24 @@ from patronlens.session import materialize
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality classifier: documents that it rejects go."""
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
-    scored = quality.score_quality(docs, model, HELD_OUT_THRESHOLD)
-    return scored.filter(F.col("predicted") == 1).select(docs.columns)
+    score, predicted = free_name(docs, "_score"), free_name(docs, "_predicted")
+    scored = quality.score_quality(docs, model, HELD_OUT_THRESHOLD, score_col=score, predicted_col=predicted)
+    return scored.filter(F.col(predicted) == 1).select(docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-dedup: the smallest doc_id of each group stays.
 
-    Rows without an id, which no group can name, stay; of repeated rows one stays.
+    A document is told by its id and its text, so different texts of one id are in groups of
+    their own; of rows equal in both one stays. Rows without an id, which no group can name, stay.
     """
-    found = simhash.near_duplicates(docs, width=4, limit=4)
-    first = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+    key = F.struct(F.col("doc_id"), F.xxhash64("text").alias("hash"))
+    named = docs.filter(F.col("doc_id").isNotNull())
+    found = simhash.near_duplicates(named.select(key.alias("document"), "text"), width=4, limit=4, id_col="document")
+    first = found.filter(F.col("document") == F.col("component_id")).select("document.*").distinct()
+    hashed = free_name(docs, "_hash")
+    kept = named.withColumn(hashed, F.xxhash64("text")).join(first.withColumnRenamed("hash", hashed), ["doc_id", hashed], "left_semi")
+    return kept.dropDuplicates(["doc_id", hashed]).select(docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,6 +46,8 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def replace_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """PII: personal data get surrogates; n_chars follows the text."""
     replaced = pii.replace_personal_data(docs, KEY)
+    if "n_chars" not in docs.columns:
+        return replaced
     return replaced.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
