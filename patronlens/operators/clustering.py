@@ -19,6 +19,8 @@ from patronlens.schema import RFM
 from patronlens.session import for_iteration
 
 SEED = 42
+#: A start of k-means ends when no centre moves by more deviations than this.
+TOLERANCE = 1e-4
 _VECTOR = "_scaled"
 
 
@@ -50,13 +52,13 @@ def _vectors(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def _fit_starts(
-    vectors: DataFrame, ks: Sequence[int], starts: int, seed: int, max_iter: int, parallelism: int
+    vectors: DataFrame, ks: Sequence[int], starts: int, seed: int, max_iter: int, parallelism: int, tol: float
 ) -> dict[int, KMeansModel]:
     """Per k, the model of lowest cost among several seeded starts, some fits at a time.
 
     One fit on little data leaves a cluster idle between its iterations, so
     several are submitted at once, as cross-validation does. A start stops when
-    no centre moves by more than 0.01 deviations.
+    no centre moves by more than ``tol`` deviations.
     """
 
     def fit(task: tuple[int, int]) -> tuple[int, int, KMeansModel]:
@@ -65,7 +67,7 @@ def _fit_starts(
             k=k,
             seed=seed + start,
             maxIter=max_iter,
-            tol=1e-2,
+            tol=tol,
             featuresCol=_VECTOR,
             predictionCol="KMeans_Cluster",
         )
@@ -107,10 +109,11 @@ def kmeans_segments(
     seed: int = SEED,
     max_iter: int = 300,
     parallelism: int = 8,
+    tol: float = TOLERANCE,
 ) -> tuple[DataFrame, KMeansModel]:
     """Cluster and cluster rank (1 = highest mean monetary value) per customer, and the model."""
     vectors = _vectors(customers, features)
-    model = _fit_starts(vectors, [clusters], starts, seed, max_iter, parallelism)[clusters]
+    model = _fit_starts(vectors, [clusters], starts, seed, max_iter, parallelism, tol)[clusters]
     assigned = model.transform(vectors).drop(_VECTOR)
     ranks = cluster_rank(cluster_summary(assigned, features))
     # One rank per cluster: k rows.
@@ -127,6 +130,7 @@ def silhouette_by_k(
     seed: int = SEED,
     max_iter: int = 300,
     parallelism: int = 8,
+    tol: float = TOLERANCE,
 ) -> DataFrame:
     """Silhouette per number of clusters, on squared Euclidean distance.
 
@@ -135,7 +139,7 @@ def silhouette_by_k(
     """
     vectors = _vectors(customers, features)
     evaluator = ClusteringEvaluator(featuresCol=_VECTOR, predictionCol="KMeans_Cluster")
-    models = _fit_starts(vectors, list(ks), starts, seed, max_iter, parallelism)
+    models = _fit_starts(vectors, list(ks), starts, seed, max_iter, parallelism, tol)
     scores = [(k, float(evaluator.evaluate(models[k].transform(vectors)))) for k in ks]
     vectors.unpersist()
     return customers.sparkSession.createDataFrame(scores, "k int, silhouette double")
