@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from patronlens.operators import (
+    attribution,
     buytilldie,
     churn,
     cleaning,
@@ -754,6 +755,32 @@ def feature_attribution(spark, folder):
     return importance.feature_attribution(data, training.models["RandomForest"])
 
 
+#: Two trees on recency, frequency and monetary value, as (feature, threshold, left, right, value, training rows).
+FIXED_TREES = (
+    ((0, 60.0, 1, 4, 0.0, 100.0), (1, 3.0, 2, 3, 0.0, 40.0), (-1, 0.0, -1, -1, 0.3, 25.0), (-1, 0.0, -1, -1, 0.1, 15.0),
+     (2, 500000.0, 5, 6, 0.0, 60.0), (-1, 0.0, -1, -1, 0.9, 45.0), (0, 200.0, 7, 8, 0.0, 15.0),
+     (-1, 0.0, -1, -1, 0.4, 9.0), (-1, 0.0, -1, -1, 0.8, 6.0)),
+    ((1, 5.0, 1, 2, 0.0, 80.0), (-1, 0.0, -1, -1, 0.25, 60.0), (-1, 0.0, -1, -1, -0.5, 20.0)),
+)
+
+
+@register("M16_shap_fixed_trees")
+def shap_fixed_trees(spark, folder):
+    trees = [attribution.Tree.of(nodes) for nodes in FIXED_TREES]
+    names = ["Recency", "Frequency", "Monetary"]
+    values = attribution.shap_of_trees(inputs.customer_rfm(spark, folder), trees, names)
+    return rounded(values, {6: "base_value margin shap_Recency shap_Frequency shap_Monetary"})
+
+
+@register("M16_shap_importance")
+def shap_importance(spark, folder):
+    """The 15 inputs that move the fitted forest's churn probability most."""
+    lines = inputs.clean(spark, folder)
+    training = retention.fit_churn_models(lines, names=("RandomForest",))
+    data = churn.churn_dataset(features.customer_features(lines, 90))
+    return attribution.shap_importance(attribution.shap_values(data, training.models["RandomForest"]))
+
+
 @register("S4_run_log")
 def run_log(spark, folder):
     log = runlog.RunLog(spark, scratch_path(spark, "runs"))
