@@ -11,14 +11,14 @@ import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
-from itertools import combinations
+from itertools import combinations_with_replacement
 from math import lgamma, log
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patronlens.functions.gamma import ln_gamma
+from patronlens.functions.gamma import digamma, ln_gamma, trigamma
 from patronlens.functions.hypergeometric import expected_purchases
 from patronlens.operators.rfm import latest
 from patronlens.schema import CUSTOMER, DATE, REVENUE
@@ -122,6 +122,46 @@ def bgnbd_loglik(summary: DataFrame, vectors: Sequence[dict[str, float]]) -> Dat
     )
 
 
+def bgnbd_derivatives(summary: DataFrame, vector: dict[str, float]) -> DataFrame:
+    """Log-likelihood of each customer with its gradient (``g_`` columns) and curvature (``h_`` columns).
+
+    The likelihood is a shape times a mixture of being alive and gone. ``w`` is the share of the
+    latter; the mixture's curvature is the mean one of its parts plus w (1 - w) times the square of the
+    difference of their gradients.
+    """
+    r, alpha, a, b = (float(vector[n]) for n in BGNBD)
+    row = {"r": r, "alpha": alpha, "a": a, "b": b, "ab": a + b, "ln_alpha": log(alpha)}
+    terms = _candidates(bgnbd_loglik(summary, [vector]).drop("candidate"), [row]).select(
+        "*", F.expr("r + x").alias("rx"), F.expr("b + x").alias("bx"), F.expr("ab + x").alias("abx"), F.expr("alpha + age").alias("end"),
+        F.expr("alpha + t_x").alias("last"), F.expr("b + greatest(x, 1D) - 1D").alias("bx1"),
+    )
+    odds = F.expr("exp(ln(a) - ln(bx1) + rx * (ln(end) - ln(last)))")
+    terms = terms.select("*", F.when(F.col("x") > 0, 1.0 - 1.0 / (1.0 + odds)).otherwise(0.0).alias("w"))
+    names = ("r", "b", "ab", "rx", "bx", "abx")
+    terms = terms.select("*", *[digamma(n).alias(f"d_{n}") for n in names], *[trigamma(n).alias(f"t_{n}") for n in names])
+    # Differences of the gradients of the two parts.
+    terms = terms.selectExpr(
+        "*", "ln(last) - ln(end) AS e_r", "rx * (1D / last - 1D / end) AS e_alpha", "-1D / a AS e_a", "1D / bx1 AS e_b", "w * (1D - w) AS ww"
+    )
+    return terms.selectExpr(
+        "loglik",
+        "d_rx - d_r + ln_alpha - (1D - w) * ln(end) - w * ln(last) AS g_r",
+        "r / alpha - rx * ((1D - w) / end + w / last) AS g_alpha",
+        "d_ab - d_abx + w / a AS g_a",
+        "d_ab - d_b + d_bx - d_abx - w / bx1 AS g_b",
+        "t_rx - t_r + ww * e_r * e_r AS h_r_r",
+        "1D / alpha - (1D - w) / end - w / last + ww * e_r * e_alpha AS h_r_alpha",
+        "ww * e_r * e_a AS h_r_a",
+        "ww * e_r * e_b AS h_r_b",
+        "-r / (alpha * alpha) + rx * ((1D - w) / (end * end) + w / (last * last)) + ww * e_alpha * e_alpha AS h_alpha_alpha",
+        "ww * e_alpha * e_a AS h_alpha_a",
+        "ww * e_alpha * e_b AS h_alpha_b",
+        "t_ab - t_abx - w / (a * a) + ww * e_a * e_a AS h_a_a",
+        "t_ab - t_abx + ww * e_a * e_b AS h_a_b",
+        "t_ab - t_b + t_bx - t_abx + w / (bx1 * bx1) + ww * e_b * e_b AS h_b_b",
+    )
+
+
 def gamma_gamma_loglik(returning: DataFrame, vectors: Sequence[dict[str, float]]) -> DataFrame:
     """Log-likelihood of each returning customer (x, m > 0) under each parameter vector."""
     rows = []
@@ -135,6 +175,28 @@ def gamma_gamma_loglik(returning: DataFrame, vectors: Sequence[dict[str, float]]
     )
 
 
+def gamma_gamma_derivatives(returning: DataFrame, vector: dict[str, float]) -> DataFrame:
+    """Log-likelihood of each returning customer with its gradient (``g_``) and curvature (``h_``)."""
+    row = {name: float(vector[name]) for name in GAMMA_GAMMA}
+    terms = _candidates(gamma_gamma_loglik(returning, [vector]).drop("candidate"), [row]).select(
+        "*", F.expr("p * x").alias("px"), F.expr("p * x + q").alias("pxq"), F.expr("v + x * m").alias("spent")
+    )
+    names = ("q", "px", "pxq")
+    terms = terms.select("*", *[digamma(n).alias(f"d_{n}") for n in names], *[trigamma(n).alias(f"t_{n}") for n in names])
+    return terms.selectExpr(
+        "loglik",
+        "x * (d_pxq - d_px + ln(m) + ln(x) - ln(spent)) AS g_p",
+        "d_pxq - d_q + ln(v) - ln(spent) AS g_q",
+        "q / v - pxq / spent AS g_v",
+        "x * x * (t_pxq - t_px) AS h_p_p",
+        "x * t_pxq AS h_p_q",
+        "-x / spent AS h_p_v",
+        "t_pxq - t_q AS h_q_q",
+        "1D / v - 1D / spent AS h_q_v",
+        "-q / (v * v) + pxq / (spent * spent) AS h_v_v",
+    )
+
+
 def bgnbd_input(summary: DataFrame, scale: float = 1.0) -> DataFrame:
     """The columns the purchase likelihood reads, times multiplied by ``scale``."""
     return summary.select(
@@ -169,51 +231,43 @@ class Fit:
         return self.mean_log_likelihood * self.rows
 
 
-def _newton(objective: Callable[[np.ndarray], np.ndarray], start: np.ndarray, max_iter: int, tolerance: float):
-    """Damped Newton steps on a smooth objective that is evaluated for many points at once.
+#: Halvings of a step before a search gives up.
+HALVINGS = 30
+
 
-    Each round takes one batch for gradient and curvature and one for the
-    length of the step; the curvature's eigenvalues are made positive, so
-    every step leads downhill.
+def _newton(objective: Callable[[np.ndarray], tuple[float, np.ndarray, np.ndarray]], start: np.ndarray, max_iter: int, tolerance: float):
+    """Damped Newton steps on an objective that gives its value, gradient and curvature at a point in one pass.
+
+    The curvature's eigenvalues are made positive, so every step leads downhill. A full step that
+    is taken has already paid for the next round; others are halved.
     """
-    theta, d, h = start.astype(float), len(start), 1e-3
-    lengths = np.array([1.0, 0.5, 0.25, 0.1, 0.03, 0.01, 0.001])
-    eye = np.eye(d) * h
-    pairs = list(combinations(range(d), 2))
+    theta = start.astype(float)
+    here, gradient, hessian = objective(theta)
     iterations = 0
-    for iterations in range(1, max_iter + 1):  # noqa: B007
-        points = [theta]
-        for i in range(d):
-            points += [theta + eye[i], theta - eye[i]]
-        for i, j in pairs:
-            points += [theta + eye[i] + eye[j], theta - eye[i] - eye[j]]
-        values = objective(np.array(points))
-        here, plus, minus = values[0], values[1 : 2 * d + 1 : 2], values[2 : 2 * d + 1 : 2]
-        gradient = (plus - minus) / (2 * h)
-        hessian = np.diag((plus - 2 * here + minus) / h**2)
-        for n, (i, j) in enumerate(pairs):
-            both, neither = values[2 * d + 1 + 2 * n], values[2 * d + 2 + 2 * n]
-            mixed = (both + neither - plus[i] - minus[i] - plus[j] - minus[j] + 2 * here) / (2 * h**2)
-            hessian[i, j] = hessian[j, i] = mixed
-        if np.max(np.abs(gradient)) < tolerance:
-            break
+    while iterations < max_iter and np.max(np.abs(gradient)) >= tolerance:
+        iterations += 1
         eigenvalues, basis = np.linalg.eigh(hessian)
-        curvature = np.maximum(np.abs(eigenvalues), 1e-6)
-        step = -basis @ ((basis.T @ gradient) / curvature)
+        step = -basis @ ((basis.T @ gradient) / np.maximum(np.abs(eigenvalues), 1e-12))
         step *= min(1.0, 2.0 / max(np.max(np.abs(step)), 1e-300))
-        tried = objective(theta + lengths[:, None] * step)
-        tried = np.where(np.isfinite(tried), tried, np.inf)
-        best = int(np.argmin(tried))
-        if tried[best] >= here:
+        for _ in range(HALVINGS):
+            tried = np.clip(theta + step, -LOG_RANGE, LOG_RANGE)
+            value, slope, bend = objective(tried)
+            if np.isfinite(value) and np.isfinite(slope).all() and np.isfinite(bend).all():
+                # Close to the end, values differ by less than their rounding; there the gradient decides.
+                level = abs(value - here) <= 1e-12 * max(1.0, abs(here))
+                if value < here or (level and np.max(np.abs(slope)) < np.max(np.abs(gradient))):
+                    break
+            step = step / 2
+        else:
             break
-        theta = theta + lengths[best] * step
-    return theta, gradient, iterations
+        theta, here, gradient, hessian = tried, value, slope, bend
+    return theta, here, gradient, iterations
 
 
 def _fit(
     data: DataFrame,
     names: Sequence[str],
-    loglik: Callable[[DataFrame, Sequence[dict[str, float]]], DataFrame],
+    derivatives: Callable[[DataFrame, dict[str, float]], DataFrame],
     penalty: float,
     penalize_logs: bool,
     max_iter: int,
@@ -224,25 +278,36 @@ def _fit(
     if rows == 0:
         raise ValueError("no customers to fit")
 
-    def score(vectors: np.ndarray) -> np.ndarray:
-        """Mean log-likelihood of each vector: one aggregation, one number per vector."""
-        named = [dict(zip(names, map(float, v), strict=True)) for v in vectors]
-        means = loglik(kept, named).groupBy("candidate").agg(F.avg("loglik").alias("mean")).collect()
-        found = {row["candidate"]: row["mean"] for row in means}
-        return np.array([found[i] for i in range(len(vectors))], dtype=float)
-
-    def objective(logs: np.ndarray) -> np.ndarray:
-        natural = np.exp(np.clip(logs, -LOG_RANGE, LOG_RANGE))
-        weight = logs if penalize_logs else natural
-        return -score(natural) + penalty * np.sum(weight**2, axis=1)
-
-    theta, gradient, iterations = _newton(objective, np.zeros(len(names)), max_iter, tolerance)
+    def means(vector: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Mean log-likelihood, gradient and curvature: one aggregation to one row."""
+        each = derivatives(kept, dict(zip(names, map(float, vector), strict=True)))
+        row = each.agg(*[F.avg(c).alias(c) for c in each.columns]).first()
+        gradient = np.array([row[f"g_{n}"] for n in names], dtype=float)
+        hessian = np.empty((len(names), len(names)))
+        for (i, one), (j, two) in combinations_with_replacement(enumerate(names), 2):
+            hessian[i, j] = hessian[j, i] = row[f"h_{one}_{two}"]
+        return float(row["loglik"]), gradient, hessian
+
+    def objective(logs: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        natural = np.exp(logs)
+        mean, gradient, hessian = means(natural)
+        # By the logs of the parameters, with the penalty.
+        slope = -gradient * natural
+        bend = -hessian * np.outer(natural, natural) + np.diag(slope)
+        if penalize_logs:
+            weight, tilt, curve = logs**2, 2 * logs, np.full(len(logs), 2.0)
+        else:
+            weight, tilt, curve = natural**2, 2 * natural**2, 4 * natural**2
+        return -mean + penalty * weight.sum(), slope + penalty * tilt, bend + penalty * np.diag(curve)
+
+    theta, least, gradient, iterations = _newton(objective, np.zeros(len(names)), max_iter, tolerance)
     natural = np.exp(theta)
-    mean = float(score(natural[None, :])[0])
+    weight = theta if penalize_logs else natural
+    mean = penalty * float(np.sum(weight**2)) - least
     kept.unpersist()
     params = dict(zip(names, map(float, natural), strict=True))
-    # A search that ran out of rounds or of shorter steps, or left the range of the logs, has not arrived.
-    converged = bool(np.max(np.abs(gradient)) < max(tolerance, 1e-4) and np.max(np.abs(theta)) < LOG_RANGE)
+    # A search that ran out of rounds or of shorter steps, or reached the range of the logs, has not arrived.
+    converged = bool(np.max(np.abs(gradient)) < tolerance and np.max(np.abs(theta)) < LOG_RANGE)
     if not converged:
         logger.warning("fit of %s did not converge: gradient %s", ", ".join(names), gradient)
     return Fit(params, mean, rows, [float(g) for g in gradient], iterations, converged)
@@ -253,7 +318,7 @@ def fit_bgnbd(
     penalty: float = PENALTY,
     penalize_logs: bool = False,
     max_iter: int = 60,
-    tolerance: float = 1e-6,
+    tolerance: float = 1e-8,
 ) -> Fit:
     """Penalised maximum likelihood of the purchase model.
 
@@ -266,7 +331,7 @@ def fit_bgnbd(
     longest = float(summary.agg(F.max("T").alias("t")).first()["t"] or 0)
     scale = 1.0 / longest if longest > 0 else 1.0
     fit = _fit(
-        bgnbd_input(summary, scale), BGNBD, bgnbd_loglik, penalty, penalize_logs, max_iter, tolerance
+        bgnbd_input(summary, scale), BGNBD, bgnbd_derivatives, penalty, penalize_logs, max_iter, tolerance
     )
     fit.params["alpha"] /= scale
     return fit
@@ -277,13 +342,13 @@ def fit_gamma_gamma(
     penalty: float = PENALTY,
     penalize_logs: bool = False,
     max_iter: int = 60,
-    tolerance: float = 1e-6,
+    tolerance: float = 1e-8,
 ) -> Fit:
     """Penalised maximum likelihood of the spend model, on returning customers with positive spend."""
     return _fit(
         gamma_gamma_input(summary),
         GAMMA_GAMMA,
-        gamma_gamma_loglik,
+        gamma_gamma_derivatives,
         penalty,
         penalize_logs,
         max_iter,
@@ -339,8 +404,9 @@ def with_lifetime_value(
 
 
 def lifetime_value(df: DataFrame, observation_end: datetime | None = None) -> tuple[DataFrame, Fit, Fit]:
-    """Summarise, fit both models and score every customer."""
+    """Summarise, fit both models and score every customer; ``converged`` tells whether both fits arrived."""
     summary = materialize(rfm_t_summary(df, observation_end))
     purchases = fit_bgnbd(summary)
     spend = fit_gamma_gamma(summary)
-    return with_lifetime_value(summary, purchases.params, spend.params), purchases, spend
+    scored = with_lifetime_value(summary, purchases.params, spend.params)
+    return scored.withColumn("converged", F.lit(purchases.converged and spend.converged)), purchases, spend

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from math import ceil, sqrt
+from math import sqrt
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -150,14 +150,16 @@ class Training:
     best: str
 
 
-#: Training rows that are worth a task of their own; boosting runs a job per round and level.
-ROWS_PER_TASK = 50_000
-
-
 def _fit_all(pipelines: dict[str, Pipeline], train: DataFrame) -> dict[str, PipelineModel]:
-    stored = materialize(train)
-    tasks = max(1, ceil(stored.count() / ROWS_PER_TASK))
-    kept = stored.coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
+    """Fit every pipeline on the same partitions.
+
+    Tree models draw their samples by partition, so rows are dealt by the hash of their id into as many
+    partitions as the session shuffles to, in order of the id: a model depends on that setting
+    and on the rows, not on their number or on how they were read.
+    """
+    parts = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = materialize(train).repartition(parts, CUSTOMER).sortWithinPartitions(CUSTOMER)
+    kept = dealt.persist(StorageLevel.MEMORY_AND_DISK)
     models = {name: pipeline.fit(kept) for name, pipeline in pipelines.items()}
     kept.unpersist()
     return models

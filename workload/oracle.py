@@ -255,6 +255,23 @@ FROM (SELECT CustomerID, {column}, CAST(sum(Revenue) AS DOUBLE) AS r, count(DIST
 WINDOW w AS (PARTITION BY CustomerID)"""
 
 
+def differences(params: dict[str, float], loglik: str, rows: str, step: float = 1e-2) -> str:
+    """First and second derivatives of the mean of ``loglik`` over ``rows``, by differences of fourth order."""
+    points = [
+        "(" + ", ".join([f"'{name}'", str(k), *[f"{v * (1 + step * k if n == name else 1)!r}::DOUBLE" for n, v in params.items()]]) + ")"
+        for name in params
+        for k in range(-2, 3)
+    ]
+    size = "(CASE name " + " ".join(f"WHEN '{n}' THEN {v * step!r}::DOUBLE" for n, v in params.items()) + " END)"
+    slope = "CASE k WHEN -2 THEN 1 WHEN -1 THEN -8 WHEN 1 THEN 8 WHEN 2 THEN -1 ELSE 0 END"
+    bend = "CASE k WHEN 0 THEN -30 WHEN -1 THEN 16 WHEN 1 THEN 16 ELSE -1 END"
+    return f"""
+WITH points(name, k, {', '.join(params)}) AS (VALUES {', '.join(points)}),
+means AS (SELECT name, k, avg({loglik}) AS f FROM ({rows}) AS x, points GROUP BY name, k)
+SELECT concat('g_', name) AS name, round(sum(f * {slope}) / (12 * any_value({size})), 4) AS value FROM means GROUP BY name
+UNION ALL SELECT concat('h_', name, '_', name), round(sum(f * {bend}) / (12 * any_value({size}) ** 2), 4) FROM means GROUP BY name"""
+
+
 BODIES: dict[str, str] = {
     "S1_load_transactions": f"SELECT {TX_COLUMNS.replace('Quantity', 'Quantity::BIGINT AS Quantity')}, Description FROM tx",
     "S1_load_messy": """
@@ -510,6 +527,17 @@ SELECT round(sum(lgamma(12e-1 + x) - lgamma(12e-1) + 12e-1 * ln(200) + lgamma(38
        count(*) AS customers
 FROM (SELECT frequency::DOUBLE AS x, -(12e-1 + frequency) * ln(200 + T) AS l,
              ln(8e-1) - ln(3e0 + greatest(frequency, 1) - 1) - (12e-1 + frequency) * ln(200 + recency) AS g FROM summary)""",
+    "L4_bgnbd_derivatives": differences(
+        {"r": 1.2, "alpha": 0.2, "a": 0.8, "b": 3.0},
+        "lgamma(r + x) - lgamma(r) + r * ln(alpha) + lgamma(a + b) + lgamma(b + x) - lgamma(b) - lgamma(a + b + x)"
+        " + ln((alpha + age) ** (-r - x) + CASE WHEN x > 0 THEN a / (b + x - 1) * (alpha + t_x) ** (-r - x) ELSE 0 END)",
+        "SELECT frequency::DOUBLE AS x, recency * 0.001::DOUBLE AS t_x, T * 0.001::DOUBLE AS age FROM summary",
+    ),
+    "L5_gamma_gamma_derivatives": differences(
+        {"p": 6.0, "q": 4.0, "v": 0.15},
+        "lgamma(p * x + q) - lgamma(p * x) - lgamma(q) + q * ln(v) + (p * x - 1) * ln(m) + p * x * ln(x) - (p * x + q) * ln(v + x * m)",
+        "SELECT frequency::DOUBLE AS x, monetary_value / 100000 AS m FROM summary WHERE frequency > 0 AND monetary_value > 0",
+    ),
     "L5_gamma_gamma_loglik": """
 SELECT round(sum(lgamma(6 * x + 4) - lgamma(6 * x) - lgamma(4) + 4 * ln(15000) + (6 * x - 1) * ln(m) + 6 * x * ln(x)
              - (6 * x + 4) * ln(15000 + x * m)), 4) AS loglik, count(*) AS customers

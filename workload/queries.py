@@ -606,6 +606,8 @@ def pca_projection(spark, folder):
 
 # --- buy-till-you-die value -------------------------------------------------
 
+BGNBD_SCALED = {"r": 1.2, "alpha": 0.2, "a": 0.8, "b": 3.0}
+GAMMA_GAMMA_SCALED = {"p": 6.0, "q": 4.0, "v": 0.15}
 BGNBD_FIXED = {"r": 1.2, "alpha": 200.0, "a": 0.8, "b": 3.0}
 GAMMA_GAMMA_FIXED = {"p": 6.0, "q": 4.0, "v": 15000.0}
 
@@ -630,6 +632,24 @@ def bgnbd_loglik(spark, folder):
     return scored.agg(F.round(F.sum("loglik"), 4).alias("loglik"), F.count(F.lit(1)).alias("customers"))
 
 
+def _mean_gradient(each):
+    """One row per first and second derivative of the mean log-likelihood by one parameter."""
+    names = [c for c in each.columns if c[:2] == "g_" or (c[:2] == "h_" and len({*c.split("_")[1:]}) == 1)]
+    means = each.agg(*[F.avg(c).alias(c) for c in names])
+    return means.select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.round(c, 4).alias("value")) for c in names])))
+
+
+@register("L4_bgnbd_derivatives")
+def bgnbd_derivatives(spark, folder):
+    return _mean_gradient(buytilldie.bgnbd_derivatives(buytilldie.bgnbd_input(_summary(spark, folder), 0.001), BGNBD_SCALED))
+
+
+@register("L5_gamma_gamma_derivatives")
+def gamma_gamma_derivatives(spark, folder):
+    returning = buytilldie.gamma_gamma_input(_summary(spark, folder)).withColumn("m", F.col("m") / 100000)
+    return _mean_gradient(buytilldie.gamma_gamma_derivatives(returning, GAMMA_GAMMA_SCALED))
+
+
 @register("L4_fit_bgnbd")
 def fit_bgnbd(spark, folder):
     return _fit_rows(spark, buytilldie.fit_bgnbd(_summary(spark, folder)))
@@ -648,8 +668,8 @@ def fit_gamma_gamma(spark, folder):
 
 
 def _fit_rows(spark, fit):
-    rows = [(k, float(v)) for k, v in {**fit.params, "log_likelihood": fit.log_likelihood}.items()]
-    return spark.createDataFrame(rows, "name string, value double")
+    rows = [(k, float(v), fit.converged) for k, v in {**fit.params, "log_likelihood": fit.log_likelihood}.items()]
+    return spark.createDataFrame(rows, "name string, value double, converged boolean")
 
 
 @register("L6_expected_purchases")
@@ -728,7 +748,7 @@ def churn_leaderboard(spark, folder):
 @register("M13_risk_tiers_fitted")
 def risk_tiers_fitted(spark, folder):
     lines = inputs.clean(spark, folder)
-    training = retention.fit_churn_models(lines, names=("LogisticRegression", "RandomForest"))
+    training = retention.fit_churn_models(lines)
     scored = retention.risk_tiers(features.customer_features(lines), training)
     return scored.select(CUSTOMER, "Churn_Probability", "Churn_Predicted", "Churn_Risk_Tier")
 
@@ -736,7 +756,7 @@ def risk_tiers_fitted(spark, folder):
 @register("M14_value_tiers_fitted")
 def value_tiers_fitted(spark, folder):
     made = inputs.all_features(spark, folder)
-    training = lifetime.fit_value_models(made, ("Ridge", "RandomForest"))
+    training = lifetime.fit_value_models(made)
     scored = lifetime.value_tiers(made, training)
     return scored.select(CUSTOMER, "Predicted_LTV_Log", "Predicted_LTV", "LTV_Tier")
 
@@ -795,11 +815,11 @@ def run_log(spark, folder):
 
 @register("S5_model_artifact")
 def model_artifact(spark, folder):
-    """Predictions of a model that was saved and read back."""
+    """Predictions of the best model after it was saved and read back."""
     made = inputs.all_features(spark, folder)
-    training = lifetime.fit_value_models(made, ("Ridge",))
+    training = lifetime.fit_value_models(made)
     path = scratch_path(spark, "model")
-    runlog.save_model(training.models["Ridge"], path)
+    runlog.save_model(training.models[training.best], path)
     scored = estimators.predict_ltv_segments(made, runlog.load_model(path))
     return scored.select(CUSTOMER, "Predicted_LTV_Log", "LTV_Tier")
 
