@@ -6,11 +6,10 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from patronlens.functions.binning import bin_of_rank, bin_of_value, even_probabilities
 from patronlens.functions.timing import plus_days, whole_days
-from patronlens.operators.ranking import exact_quantiles, global_rank
+from patronlens.operators.ranking import exact_quantiles, global_rank, global_ranks
 from patronlens.schema import CUSTOMER, DATE, INVOICE, REVENUE
 from patronlens.session import materialize
 
@@ -86,19 +85,14 @@ def quantile_bin_value(
 ) -> DataFrame:
     """Quantile bin of the raw value: equal values share a bin.
 
-    The edges of a whole-number value such as days, which has few levels, come from one
-    aggregation that keeps a count per level; those of any other value are read off its
-    global order, ties told apart by ``unique``. Equal edges raise when a row is scored, or with
-    ``duplicates='collapse'`` merge into one.
+    The edges are selected by counting passes, without a sort. Equal edges raise when a row
+    is scored, or with ``duplicates='collapse'`` merge into one.
     """
     if duplicates not in ("raise", "collapse"):
         raise ValueError("duplicates must be 'raise' or 'collapse'")
     probabilities = [0.0, *even_probabilities(bins), 1.0]
-    if isinstance(df.schema[value].dataType, T.IntegralType):
-        edges = df.agg(F.percentile(value, F.array(*map(F.lit, probabilities))).alias("edges")).scalar()
-    else:
-        names = {f"_q{i}": p for i, p in enumerate(probabilities)}
-        edges = exact_quantiles(df, value, names, unique).select(F.array(*names).alias("edges")).scalar()
+    names = {f"_q{i}": p for i, p in enumerate(probabilities)}
+    edges = exact_quantiles(df, value, names, unique).select(F.array(*names).alias("edges")).scalar()
     number = F.col(value).cast("double")
     if duplicates == "collapse":
         above = [((edges[i] > edges[i - 1]) & (number > edges[i])).cast("int") for i in range(1, bins)]
@@ -114,9 +108,9 @@ def quantile_bin_value(
 
 def score_rfm(rfm: DataFrame, quantiles: int = 5, duplicates: str = "raise") -> DataFrame:
     """Scores 1..quantiles per dimension (higher is better), their sum and their digits."""
-    scored = quantile_bin_rank(rfm, "Frequency", "F_Score", quantiles)
-    scored = quantile_bin_rank(scored, "Monetary", "M_Score", quantiles)
-    scored = quantile_bin_value(scored, "Recency", "R_Score", quantiles, reverse=True, duplicates=duplicates)
+    scored = quantile_bin_value(rfm, "Recency", "R_Score", quantiles, reverse=True, duplicates=duplicates)
+    scored = global_ranks(scored, {"_F": "Frequency", "_M": "Monetary"}, CUSTOMER, "_total")
+    scored = scored.withColumns({f"{c}_Score": bin_of_rank(F.col(f"_{c}"), F.col("_total"), quantiles) for c in "FM"})
     parts = [F.col(c) for c in ("R_Score", "F_Score", "M_Score")]
     return scored.select(
         *rfm.columns,
