@@ -1,17 +1,25 @@
 """Secret scan whose false positives a random forest removes.
 
-Every unbroken run of token signs of some length is a candidate. The forest sees its
-length and make-up, how likely its characters follow each other in the corpus,
-how much of it dictionary words cover, where it was found and the words around it. It
+Candidates are unbroken runs of 16 or more token signs, dots between them included, values of 6 or more
+signs of any kind that are assigned to a credential word, and the passwords of addresses with a user.
+The forest sees a candidate's length and make-up, how likely its characters follow each other in the corpus,
+how much of it dictionary words cover, where it was found and the words around it, hashed. It
 is trained from labelled findings. Dictionary and transitions are counted over all
 documents.
+
+Where no reviewed findings are given, the clear cases label themselves by how they are written down: a quoted
+value assigned to a credential word is a secret, a run with neither an assignment nor a credential word
+near it is none. What these labels rest on is then kept from the forest, so that it learns what secrets
+look like and decides the other cases, and even labelled ones, by that.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -20,26 +28,38 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patronlens.llm.common import text_bytes
 from patronlens.session import materialize
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=\-]{16,}")
+#: Least signs of a run, and of a value assigned to a credential word.
+LEAST_RUN, LEAST_VALUE = 16, 6
+RUN = re.compile(r"[A-Za-z0-9+/_=\-]+(?:\.[A-Za-z0-9+/_=\-]+)*")
 #: Signs before and after a candidate in which neighbours are looked for.
 AROUND = 48
-# Words that tell of a credential, of a harmless identifier, and of a path that holds no live secrets.
-CREDENTIAL = re.compile(r"token|secret|passw|pwd|api.?key|access.?key|private.?key|auth|bearer|credential", re.I)
-IDENTIFIER = re.compile(r"sha-?\d|md5|commit|digest|checksum|revision|uuid|hash|etag", re.I)
+# Words that tell of a credential, and of a path that holds no live secrets.
+CREDENTIAL = re.compile(r"token|secret|passw|passphrase|pwd|api.?key|access.?key|private.?key|auth|bearer|credential", re.I)
 HARMLESS_PATH = re.compile(r"test|example|sample|mock|fixture|vendor|docs?\b", re.I)
-ASSIGNED = re.compile(r"[A-Za-z_\-]*\s*[=:]\s*[\"']?$")
-FEATURES = (
+VALUE = re.compile(
+    r"(?:token|secret|passwd|password|passphrase|pwd|api[_\- ]?key|access[_\- ]?key|private[_\- ]?key|credentials?|auth)"
+    r"[\w\-]{0,24}[\"']?[ \t]{0,4}(?::=|=>|=|:)[ \t]{0,4}(?:\"(?P<double>[^\"\n]{6,})\"|'(?P<single>[^'\n]{6,})'|(?P<bare>[^\s\"',;]{6,}))",
+    re.I,
+)
+ADDRESS = re.compile(r"://[^\s/:@]{0,64}:(?P<value>[^\s/@]{6,})@")
+#: Neighbouring words are counted in so many hashed places on either side.
+PLACES = 16
+CONTENT = (
     "length", "digits", "upper", "lower", "signs", "entropy", "class_changes", "transition", "worst_transition",
-    "covered", "hexadecimal", "harmless_path", "path_like", "credential_before", "credential_near", "identifier_near",
-    "assigned", "quoted", "words_before",
+    "covered", "hexadecimal", "harmless_path", "path_like", "words_before",
+    *[f"before_{n}" for n in range(PLACES)], *[f"after_{n}" for n in range(PLACES)],
 )
+#: How a candidate is written down. Self-made labels rest on these.
+WRITTEN = ("assigned", "quoted", "address", "credential_near")
+FEATURES = (*CONTENT, *WRITTEN)
 _WORD = re.compile(r"[a-z]{4,12}")
+_NEIGHBOUR = re.compile(r"[^\W\d_]{2,}")
 
 
 @dataclass(frozen=True)
@@ -92,12 +112,54 @@ def count_language(docs: DataFrame, max_words: int = 20_000, text_col: str = "te
     return Language(table, frozenset(r["key"] for r in words))
 
 
-def features(token: str, before: str, after: str, path: str, language: Language) -> list[float]:
-    """The numbers of ``FEATURES`` for one candidate."""
+def candidates_of(text: str) -> list[tuple[int, int, int, str]]:
+    """(start, end, start of the assignment, way) of each candidate; ways are quoted, bare, address and run.
+
+    A run that overlaps a value is not reported again.
+    """
+    found = []
+    for hit in VALUE.finditer(text):
+        way = "bare" if hit.group("bare") is not None else "quoted"
+        start, end = hit.span(hit.lastgroup)
+        found.append((start, end, hit.start(), way))
+    found += [(*hit.span("value"), hit.start(), "address") for hit in ADDRESS.finditer(text)]
+    found.sort()
+    kept: list[tuple[int, int, int, str]] = []
+    for one in found:
+        if not kept or one[0] >= kept[-1][1]:
+            kept.append(one)
+    starts = [k[0] for k in kept]
+    for hit in RUN.finditer(text):
+        start, end = hit.span()
+        if end - start >= LEAST_RUN:
+            n = bisect.bisect_left(starts, end)
+            if not n or kept[n - 1][1] <= start:
+                kept.append((start, end, start, "run"))
+                continue
+    return sorted(kept)
+
+
+def _hashed(words: list[str]) -> list[float]:
+    out = [0.0] * PLACES
+    for word in words:
+        out[zlib.crc32(word.lower().encode()) % PLACES] += 1.0
+    return out
+
+
+def features(text: str, start: int, end: int, key: int, way: str, path: str, language: Language) -> list[float]:
+    """The numbers of ``FEATURES`` for one candidate. ``key`` is where its assignment begins.
+
+    Neighbouring words leave out the assignment itself and, so that a run is seen alike, the word before a run.
+    """
+    token = text[start:end]
+    before, after = text[max(0, key - AROUND) : key], text[end : end + AROUND]
     n = len(token)
     kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "s" for c in token]
     share = Counter(kinds)
     steps = language.transitions(token)
+    words_before = _NEIGHBOUR.findall(before)
+    if way == "run":
+        words_before = words_before[:-1]
     return [
         float(n),
         share["d"] / n,
@@ -112,19 +174,23 @@ def features(token: str, before: str, after: str, path: str, language: Language)
         float(all(c in "0123456789abcdefABCDEF" for c in token)),
         float(bool(HARMLESS_PATH.search(path))),
         float(token.count("/") >= 2),
-        float(bool(CREDENTIAL.search(before[-24:]))),
-        float(bool(CREDENTIAL.search(before) or CREDENTIAL.search(after))),
-        float(bool(IDENTIFIER.search(before) or IDENTIFIER.search(after))),
-        float(bool(ASSIGNED.search(before) and before[-3:].strip(" \"'")[-1:] in ("=", ":"))),
-        float(before[-1:] in ("'", '"') and before[-1:] == after[:1]),
-        float(len(before.split())),
+        float(len(words_before)),
+        *_hashed(words_before),
+        *_hashed(_NEIGHBOUR.findall(after)),
+        float(way in ("quoted", "bare")),
+        float(way == "quoted"),
+        float(way == "address"),
+        float(bool(CREDENTIAL.search(text[max(0, start - AROUND) : start]) or CREDENTIAL.search(after))),
     ]
 
 
 def find_candidates(
     docs: DataFrame, language: Language, path_col: str | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(id, start, length, sha256, x): every candidate of every text with its features; the secret itself is not kept."""
+    """(id, start, length, sha256, x): every candidate of every text with its features; the secret itself is not kept.
+
+    Runs have 16 signs at least, values after a credential word and in addresses 6. Null and empty texts have none.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
 
@@ -134,13 +200,12 @@ def find_candidates(
             paths = batch.column(2).to_pylist()
             for row, raw in enumerate(text_bytes(batch.column(1))):
                 text = (raw or b"").decode()
-                for hit in CANDIDATE.finditer(text):
-                    a, b = hit.span()
+                for a, b, key, way in candidates_of(text):
                     owner.append(row)
                     start.append(a)
                     length.append(b - a)
-                    digest.append(hashlib.sha256(hit.group().encode()).hexdigest())
-                    x.append(features(hit.group(), text[max(0, a - AROUND) : a], text[b : b + AROUND], paths[row], language))
+                    digest.append(hashlib.sha256(text[a:b].encode()).hexdigest())
+                    x.append(features(text, a, b, key, way, paths[row], language))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(owner, pa.int64())),
@@ -157,30 +222,30 @@ def find_candidates(
 
 
 def distant_labels(candidates: DataFrame) -> DataFrame:
-    """``candidates`` with a ``label`` where the surroundings decide: 1 secret, 0 not, null open.
-
-    Stands in for reviewed findings where there are none: a quoted value assigned to a
-    credential word is a secret; a run without any digit that dictionary words cover, or
-    of digits alone, is not.
-    """
+    """``candidates`` with a ``label`` where the way of writing decides: 1 secret, 0 not, null open."""
     at = {name: F.get("x", F.lit(i)) for i, name in enumerate(FEATURES)}
-    secret = (at["credential_before"] == 1) & (at["assigned"] == 1) & (at["quoted"] == 1) & (at["harmless_path"] == 0)
-    plain = ((at["digits"] == 0) | (at["digits"] == 1)) & (at["credential_near"] == 0)
+    secret = (at["quoted"] == 1) & (at["harmless_path"] == 0)
+    plain = (at["assigned"] == 0) & (at["address"] == 0) & (at["credential_near"] == 0)
     return candidates.withColumn("label", F.when(secret, 1.0).when(plain, 0.0))
 
 
+def inputs_of(names: tuple[str, ...]) -> Column:
+    """The named features as a vector."""
+    return array_to_vector(F.array(*[F.get("x", F.lit(FEATURES.index(n))) for n in names]))
+
+
 def fit_forest(
-    findings: DataFrame, max_rows: int = 20_000, trees: int = 40, depth: int = 8, seed: int = 5
+    findings: DataFrame, max_rows: int = 20_000, trees: int = 40, depth: int = 8, seed: int = 5, names: tuple[str, ...] = FEATURES
 ) -> RandomForestClassificationModel | None:
-    """Forest over labelled findings (x, label, sha256, start); None if a class is missing.
+    """Forest over the ``names`` of labelled findings (x, label, sha256, start); None if a class is missing.
 
-    ``max_rows`` bounds the sample, half for each class, of the lowest hashes; the sample is
-    one sorted partition, so a fit repeats exactly.
+    ``max_rows`` bounds the sample, half for each class, of the lowest hashes, chosen partition by
+    partition; the sample is one sorted partition, so a fit repeats exactly.
     """
-    order = Window.partitionBy("label").orderBy(F.xxhash64("sha256", "start", F.lit(seed)), "x")
-    known = findings.filter(F.col("label").isNotNull()).select("x", "label", "sha256", "start")
-    chosen = known.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= max_rows // 2)
-    sample = materialize(chosen.coalesce(1).sortWithinPartitions("label", "_n").select(array_to_vector("x").alias("x"), "label"))
+    known = findings.filter(F.col("label").isin(0.0, 1.0)).select("x", "label", F.xxhash64("sha256", "start", F.lit(seed)).alias("_hash"))
+    classes = [known.filter(F.col("label") == c).orderBy("_hash", "x").limit(max_rows // 2) for c in (0.0, 1.0)]
+    chosen = classes[0].unionByName(classes[1])
+    sample = materialize(chosen.coalesce(1).sortWithinPartitions("label", "_hash", "x").select(inputs_of(names).alias("x"), "label"))
     if sample.select("label").distinct().count() < 2:
         return None
     forest = RandomForestClassifier(
@@ -189,6 +254,26 @@ def fit_forest(
     return forest.fit(sample)
 
 
+def score_candidates(candidates: DataFrame, model: RandomForestClassificationModel, names: tuple[str, ...] = FEATURES) -> DataFrame:
+    """``candidates`` with ``score``, the probability of a secret."""
+    scored = model.transform(candidates.withColumn("_inputs", inputs_of(names)).drop("x").withColumnRenamed("_inputs", "x"))
+    return scored.withColumn("score", F.get(vector_to_array("probability"), F.lit(1))).drop("x", "rawPrediction", "probability", "prediction")
+
+
+def measure(candidates: DataFrame, threshold: float = 0.5, max_rows: int = 20_000, folds: int = 5, id_col: str = "doc_id") -> DataFrame:
+    """(label, kept, findings) on held-out findings: the forest is fitted on the labelled ``candidates`` of the other documents.
+
+    The documents whose id hashes to 0 of ``folds`` are held out. No rows come out if a class is missing.
+    """
+    fold = F.pmod(F.xxhash64(id_col), F.lit(folds))
+    model = fit_forest(candidates.filter(fold != 0), max_rows, names=CONTENT)
+    held = candidates.filter((fold == 0) & F.col("label").isNotNull())
+    if model is None:
+        return held.limit(0).select("label", F.lit(False).alias("kept"), F.lit(0).cast("bigint").alias("findings"))
+    scored = score_candidates(held, model, CONTENT)
+    return scored.groupBy("label", (F.col("score") >= threshold).alias("kept")).agg(F.count(F.lit(1)).alias("findings"))
+
+
 def scan(
     docs: DataFrame,
     findings: DataFrame | None = None,
@@ -200,16 +285,15 @@ def scan(
 ) -> DataFrame:
     """(id, start, length, sha256, score): the candidates that the forest takes for secrets.
 
-    ``findings`` are labelled features (x, label, sha256, start) to train from; without
-    them the corpus labels its own clear cases. If only one class is known nothing
-    can be told apart and every candidate is kept, with score 1. Null and empty texts have no
-    candidate; repeated rows report each their own.
+    ``findings`` are labelled candidates (x, label, sha256, start) to train from, whose every feature then
+    counts; without them the clear cases label themselves and the forest sees ``CONTENT`` alone. If only one class is
+    known there is no forest: candidates that the way of writing labels 0 go, the others stay with score 1. Null and empty texts have no
+    candidate; repeated rows report each their own, and equal findings have equal scores if their surroundings are equal.
     """
     language = count_language(docs, text_col=text_col)
     candidates = materialize(find_candidates(docs, language, path_col, id_col, text_col))
-    model = fit_forest(distant_labels(candidates) if findings is None else findings, max_rows)
+    names = CONTENT if findings is None else FEATURES
+    model = fit_forest(distant_labels(candidates) if findings is None else findings, max_rows, names=names)
     if model is None:
-        return candidates.drop("x").withColumn("score", F.lit(1.0))
-    scored = model.transform(candidates.withColumn("x", array_to_vector("x")))
-    scored = scored.withColumn("score", F.get(vector_to_array("probability"), F.lit(1)))
-    return scored.filter(F.col("score") >= threshold).select(id_col, "start", "length", "sha256", "score")
+        return distant_labels(candidates).filter("coalesce(label, 1) = 1").drop("x", "label").withColumn("score", F.lit(1.0))
+    return score_candidates(candidates, model, names).filter(F.col("score") >= threshold).select(id_col, "start", "length", "sha256", "score")
