@@ -39,6 +39,10 @@ CASELESS = {
 }
 SCRIPTS = {"latin": r"\p{IsLatin}", "cyrillic": r"\p{IsCyrillic}", "greek": r"\p{IsGreek}"}
 
+# Calling codes of one and two digits (all others have three), and ranges of private addresses.
+CALLING_CODE = r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+PRIVATE = r"^(?:10|127|169\.254|172\.(?:1[6-9]|2\d|3[01])|192\.168)\."
+
 _TITLE = "(?:" + "|".join(sorted(MALE_TITLES + FEMALE_TITLES, key=len, reverse=True)) + ")"
 _WORD = r"\p{Lu}\p{Ll}++"
 #: National numbers of 9 to 11 digits that begin with 0, parted by one kind of sign.
@@ -126,24 +130,51 @@ def _luhn(number: Column) -> Column:
     return F.call_function("luhn_check", number)
 
 
+def mod97(text: Column) -> Column:
+    """Remainder of an account number by 97, letters read as 10 to 35."""
+
+    def step(rest: Column, sign: Column) -> Column:
+        digit = sign.rlike("^[0-9]$")
+        value = F.ascii(sign) - F.when(digit, 48).otherwise(55)
+        return (rest * F.when(digit, 10).otherwise(100) + value) % 97
+
+    return F.aggregate(F.split(text, ""), F.lit(0), step)
+
+
+def _account(entity: Column, like: Column) -> Column:
+    """``like`` with the country of ``entity``, and with check digits that are right if those of ``entity`` are."""
+    country, rest = F.substring(entity, 1, 2), F.substr(like, F.lit(5))
+    right = F.lpad((F.lit(98) - mod97(F.concat(rest, country, F.lit("00")))).cast("string"), 2, "0")
+    was_right = mod97(F.concat(F.substr(entity, F.lit(5)), F.substring(entity, 1, 4))) == 1
+    return F.concat(country, F.when(was_right, right).otherwise(F.substr(like, F.lit(3), F.lit(2))), rest)
+
+
+def _address(entity: Column, hashes: Column) -> Column:
+    """Four new numbers, but for those that make an address a private one."""
+    octets = F.array(*[(_draw(hashes, i, 223 if i == 0 else 254) + 1).cast("string") for i in range(4)])
+    range_ = F.regexp_extract(entity, PRIVATE, 0)
+    kept = F.length(range_) - F.length(F.replace(range_, F.lit("."), F.lit("")))
+    return F.concat(range_, F.array_join(F.slice(octets, kept + 1, 4 - kept), "."))
+
+
 def surrogate(kind: Column, entity: Column, key: str, attempt: Column) -> Column:
     """Canonical form of the replacement of a canonical ``entity``."""
     hashes = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, entity, attempt.cast("string")), 512)
     like = _like(entity, hashes)
-    # An address keeps its last label, an account its country, an international number its first digit.
+    # An address keeps its last label, an account its country, an international number its calling code.
     ending = F.substring_index(entity, ".", -1)
     email = F.concat(_like(F.regexp_replace(entity, r"[^.]+$", ""), hashes), ending)
-    octets = F.array(*[(_draw(hashes, i, 223 if i == 0 else 254) + 1).cast("string") for i in range(4)])
     stem = F.concat(F.substring(entity, 1, 1), F.substr(like, F.lit(2), F.length(like) - 2))
     valid = F.filter(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda d: F.concat(stem, d.cast("string"))), _luhn)
     card = F.when(_luhn(entity), F.element_at(valid, 1)).otherwise(F.concat(stem, F.substr(like, F.length(like), F.lit(1))))
-    plus = F.concat(F.substring(entity, 1, 2), F.substr(like, F.lit(3)))
-    account = F.concat(F.substring(entity, 1, 2), F.substr(like, F.lit(3)))
+    code = F.regexp_extract(entity, CALLING_CODE, 0)
+    code = F.when(code == "", F.substring(entity, 1, 2)).otherwise(code)
+    plus = F.concat(code, F.substr(like, F.length(code) + 1))
     out = (
         F.when(kind == "email", email)
-        .when(kind == "ip", F.array_join(octets, "."))
+        .when(kind == "ip", _address(entity, hashes))
         .when(kind == "card", card)
-        .when(kind == "iban", account)
+        .when(kind == "iban", _account(entity, like))
         .when(kind == "name", _person(entity, hashes))
         .when(entity.startswith("+"), plus)
         .otherwise(like)

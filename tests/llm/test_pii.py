@@ -54,6 +54,23 @@ def test_format_script_gender_and_coreference(spark):
     assert re.search(r"IBAN DE\d\d \d{4} \d{4} \d{4} \d{4} \d\d$", three) and "3704" not in three
 
 
+def test_accounts_calling_codes_and_private_addresses_keep_their_kind(spark):
+    valid = ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "FR1420041010050500013M02606", "NO9386011117947"]
+    number = lambda t: int("".join(str(int(c, 36)) for c in t.replace(" ", "")[4:] + t.replace(" ", "")[:4]))
+    for old, new in zip(valid, replaced(spark, valid), strict=True):
+        assert number(old) % 97 == 1 == number(new) % 97
+        assert new[:2] == old[:2] and new[4:] != old[4:] and re.sub("[A-Z]", "A", re.sub(r"\d", "0", new)) == re.sub("[A-Z]", "A", re.sub(r"\d", "0", old))
+    codes = ["+49 30 1234567", "+44 20 7946 0958", "+1 663 555 6869", "+7 495 123 4567", "+420 123 456 789", "+353 86 234 5678"]
+    found = replaced(spark, [f"call {c}." for c in codes])
+    assert [new.split()[1] for new in found] == [c.split()[0] for c in codes]
+    assert all(new != f"call {c}." for c, new in zip(codes, found, strict=True))
+    for old, new, start in zip(
+        ["10.0.0.1", "192.168.1.7", "172.20.3.4", "8.8.8.8"], replaced(spark, ["10.0.0.1", "192.168.1.7", "172.20.3.4", "8.8.8.8"]),
+        ["10.", "192.168.", "172.20.", ""], strict=True,
+    ):
+        assert new != old and new.startswith(start) and new.count(".") == 3
+
+
 def test_surrogates_stay_distinct_where_few_fit(spark):
     # More addresses of this form than the form allows surrogates besides them.
     rows = [("email", f"{a}@{b}.de") for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
