@@ -7,8 +7,8 @@ how much of it dictionary words cover, where it was found and the words around i
 is trained from labelled findings. Dictionary and transitions are counted over all
 documents.
 
-Where no reviewed findings are given, the clear cases label themselves by how they are written down: a quoted
-value assigned to a credential word is a secret, a run with neither an assignment nor a credential word
+Where no reviewed findings are given, the clear cases label themselves by how they are written down: a value
+assigned to a credential word, in quotes or right after an equals sign, is a secret, a run with neither an assignment nor a credential word
 near it is none. What these labels rest on is then kept from the forest, so that it learns what secrets
 look like and decides the other cases, and even labelled ones, by that.
 """
@@ -56,7 +56,7 @@ CONTENT = (
     *[f"before_{n}" for n in range(PLACES)], *[f"after_{n}" for n in range(PLACES)],
 )
 #: How a candidate is written down. Self-made labels rest on these.
-WRITTEN = ("assigned", "quoted", "address", "credential_near")
+WRITTEN = ("assigned", "quoted", "tight", "address", "credential_near")
 FEATURES = (*CONTENT, *WRITTEN)
 _WORD = re.compile(r"[a-z]{4,12}")
 _NEIGHBOUR = re.compile(r"[^\W\d_]{2,}")
@@ -113,14 +113,15 @@ def count_language(docs: DataFrame, max_words: int = 20_000, text_col: str = "te
 
 
 def candidates_of(text: str) -> list[tuple[int, int, int, str]]:
-    """(start, end, start of the assignment, way) of each candidate; ways are quoted, bare, address and run.
+    """(start, end, start of the assignment, way) of each candidate.
 
+    Ways are quoted, tight (right after an equals sign), bare, address and run.
     A run that overlaps a value is not reported again.
     """
     found = []
     for hit in VALUE.finditer(text):
-        way = "bare" if hit.group("bare") is not None else "quoted"
         start, end = hit.span(hit.lastgroup)
+        way = "quoted" if hit.lastgroup != "bare" else "tight" if text[start - 1] == "=" else "bare"
         found.append((start, end, hit.start(), way))
     found += [(*hit.span("value"), hit.start(), "address") for hit in ADDRESS.finditer(text)]
     found.sort()
@@ -177,8 +178,9 @@ def features(text: str, start: int, end: int, key: int, way: str, path: str, lan
         float(len(words_before)),
         *_hashed(words_before),
         *_hashed(_NEIGHBOUR.findall(after)),
-        float(way in ("quoted", "bare")),
+        float(way in ("quoted", "tight", "bare")),
         float(way == "quoted"),
+        float(way == "tight"),
         float(way == "address"),
         float(bool(CREDENTIAL.search(text[max(0, start - AROUND) : start]) or CREDENTIAL.search(after))),
     ]
@@ -224,7 +226,7 @@ def find_candidates(
 def distant_labels(candidates: DataFrame) -> DataFrame:
     """``candidates`` with a ``label`` where the way of writing decides: 1 secret, 0 not, null open."""
     at = {name: F.get("x", F.lit(i)) for i, name in enumerate(FEATURES)}
-    secret = (at["quoted"] == 1) & (at["harmless_path"] == 0)
+    secret = ((at["quoted"] == 1) | (at["tight"] == 1)) & (at["harmless_path"] == 0)
     plain = (at["assigned"] == 0) & (at["address"] == 0) & (at["credential_near"] == 0)
     return candidates.withColumn("label", F.when(secret, 1.0).when(plain, 0.0))
 

@@ -107,7 +107,7 @@ def planted(n, seed=0):
     rows = []
     for i in range(n):
         value = rng.choice(secrets_of)() if i % 2 else None
-        way = rng.choice(['password = "{}"', "api_key: '{}'"] if i % 10 != 1 else ["password={}", "pwd: {}"])
+        way = rng.choice(['password = "{}"', "api_key: '{}'", "password={}"] if i % 10 != 1 else ["token: {}", "pwd: {}"])
         rows.append((i, f"{words(20)} {way.format(value) if value else rng.choice(decoys)()} {words(20)}", value))
     return rows
 
@@ -119,7 +119,7 @@ def test_held_out_precision_and_recall_with_decoys(spark):
     counts = {(r.label, r.kept): r.findings for r in measure(labelled).collect()}
     caught, lost, wrong = (counts.get(k, 0) for k in ((1.0, True), (1.0, False), (0.0, True)))
     assert caught > 50 and caught / (caught + lost) >= 0.9 and caught / (caught + wrong) >= 0.9
-    # Unquoted values are open: no label says anything of them, the forest finds them.
+    # Bare values are open: no label says anything of them, the forest finds them.
     kept = {(r.doc_id, r.sha256) for r in scan(docs).collect()}
     opened = {(i, hashlib.sha256(v.encode()).hexdigest()) for i, _, v in rows if v and i % 10 == 1}
     assert len(kept & opened) >= 0.9 * len(opened)
