@@ -198,10 +198,11 @@ def exact_quantiles(
     values. Otherwise they are read off the ranked table, where ``unique`` breaks ties so that
     equal values spread. Neither keeps all values of a group in one task.
     """
-    wanted = df.select(*by, value, unique).filter(is_number(df, value))
+    selected = not by or few_groups
+    wanted = df.select(*by, value, *([] if selected else [unique])).filter(is_number(df, value))
     for key in by:
         wanted = wanted.filter(F.col(key).isNotNull())
-    if not by or few_groups:
+    if selected:
         return _selected_quantiles(wanted, value, probabilities, by)
     ranked = global_rank(wanted, [*by, value, unique], "_rank")
     groups = ranked.groupBy(*by).agg(F.min("_rank").alias("_first"), F.count(F.lit(1)).alias("_n"))
