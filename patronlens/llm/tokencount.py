@@ -14,8 +14,11 @@ reaches them and numbered in tables of transitions.
 
 Texts are run in many chunks at a time. A chunk's map from entry state to exit state
 and count needs only its head, up to the first blank: after a blank the state is the
-start, whatever it was. So all chunks run at once from the start, and then the heads run from
-the exit states of their predecessors; chunks without a blank compose in order.
+start, whatever it was. All chunks run at once from the start. A chunk without a blank passes
+on a state that depends on its own entry; its map is built for the entries that
+runs begun one, two and more chunks before lead to, mostly one, as the tokens fall
+into step soon. The maps of a row of such chunks then compose by a parallel prefix scan, which doubles
+its stride each time. An entry that no map holds is run from there on.
 """
 
 from __future__ import annotations
@@ -41,8 +44,10 @@ SHORT_ENDINGS = ("s", "t", "m", "d")
 LONG_ENDINGS = {"r": "e", "v": "e", "l": "l"}
 #: Characters that a task runs at a time, and the length of a chunk.
 SLICE, CHUNK = 1 << 21, 1 << 10
-#: Bounds of the transition table; a full table is built anew from the next text on.
+#: Bounds of the transition table; a full table is built anew from the states in use, inside a text too.
 STATES, COLUMNS = 3 << 16, 128
+#: Entries for which the map of a chunk is built before the scan.
+ENTRIES = 4
 
 _ROOT, _NONE, _START = 0, -1, 0
 _KINDS = (regex.compile(r"\p{White_Space}"), regex.compile(r"\p{L}"), regex.compile(r"\p{N}"))
@@ -149,6 +154,7 @@ class Machine:
         self._column = np.full(0x110000, -1, np.int16)
         self._signs: list[str] = []
         self._column_of(" ")
+        self._live: list[np.ndarray] = []
         self._clear()
 
     def _clear(self) -> None:
@@ -159,6 +165,28 @@ class Machine:
         self._table = np.full((self._rows, COLUMNS), -1, np.int32)
         self._others: dict[tuple[int, str], tuple[int, int]] = {}
 
+    def _full(self) -> bool:
+        return len(self._states) > STATES or len(self._others) > 4 * STATES
+
+    def _renew(self, *running: np.ndarray) -> None:
+        """Begin the tables anew with the states that ``running`` and the live arrays hold, renumbered in place."""
+        arrays = [*self._live, *running]
+        kept = np.unique(np.concatenate([a.ravel() for a in arrays]))
+        states = [self._states[n] for n in kept.tolist()]
+        self._clear()
+        numbers = np.array([self._number(s) for s in states], np.int32)
+        self._room()
+        for a in arrays:
+            a[...] = numbers[np.searchsorted(kept, a)]
+
+    def _room(self) -> None:
+        """Rows of the table for all states."""
+        while len(self._states) > self._rows:
+            self._rows += self._rows // 3
+        if len(self._table) < self._rows:
+            more = np.full((self._rows - len(self._table), COLUMNS), -1, np.int32)
+            self._table = np.concatenate([self._table, more])
+
     def _number(self, state: tuple) -> int:
         found = self._numbers.get(state)
         if found is None:
@@ -225,16 +253,17 @@ class Machine:
                 found = self._others[state, sign] = self._step(state, sign)
             state, change = found
             changes.append(change)
+            if self._full():
+                held = np.array([state], np.int32)
+                self._renew(held)
+                state = int(held[0])
         return state, changes
 
     def _fill(self, states: np.ndarray, columns: np.ndarray) -> None:
         for key in np.unique(states.astype(np.int64) * COLUMNS + columns).tolist():
             state, column = divmod(key, COLUMNS)
             following, change = self._step(state, self._signs[column])
-            if len(self._states) > self._rows:
-                self._rows += self._rows // 3
-                more = np.full((self._rows - len(self._table), COLUMNS), -1, np.int32)
-                self._table = np.concatenate([self._table, more])
+            self._room()
             self._table[state, column] = following << 9 | (change + 256)
 
     def _run(self, state: np.ndarray, columns: np.ndarray, out: np.ndarray) -> np.ndarray:
@@ -248,54 +277,132 @@ class Machine:
                 value = self._table[state, at]
             state = value >> 9
             out[step] = (value & 511) - 256
+            if self._full():
+                self._renew(state)
         return state
 
     def _changes(self, columns: np.ndarray) -> np.ndarray:
-        """Change in tokens at each place of one array of columns that begins at the start."""
+        """Changes in tokens along one array of columns that begins at the start and ends with a blank.
+
+        Those of a word that spans chunks are summed up at the beginning of the second.
+        """
         rows = -(-len(columns) // CHUNK)
         padded = np.zeros(rows * CHUNK, columns.dtype)
         padded[: len(columns)] = columns
         steps = np.ascontiguousarray(padded.reshape(rows, CHUNK).T)
         out = np.zeros(steps.shape, np.int16)
         leave = self._run(np.zeros(rows, np.int32), steps, out)
+        self._live = [leave]
+        found = self._scan(steps, leave, out) if rows > 1 else ()
+        self._live = []
+        changes = out.T.ravel()[: len(columns)].astype(np.int64)
+        for row, total in found:
+            changes[row * CHUNK] = total
+        return changes
+
+    def _scan(self, steps: np.ndarray, leave: np.ndarray, out: np.ndarray) -> list[tuple[int, int]]:
+        """Run the heads of all chunks but the first from their true entries: (chunk, changes of its chain).
+
+        A chain is a chunk whose entry is known and those behind it up to one with a
+        blank. ``out`` keeps no change of a head.
+        """
+        rows = len(leave)
         blank = steps == 0
         has = blank.any(axis=0)
         head = np.where(has, blank.argmax(axis=0) + 1, CHUNK)
-        # Heads, from the exits of the chunks before; a chunk without a blank passes its own on.
-        waiting = np.arange(1, rows)
-        ready = waiting[has[waiting - 1]]
-        if rows > 1 and not has[0]:
-            ready = np.r_[1, ready]
-        while len(ready):
-            if len(ready) < 8:
-                for row in ready.tolist():
-                    signs = "".join(self._signs[c] for c in steps[: head[row], row].tolist())
-                    last, changes = self._scalar(int(leave[row - 1]), signs)
-                    out[: head[row], row] = changes
-                    if not has[row]:
-                        leave[row] = last
-            else:
-                self._run_heads(ready, steps, head, leave, has, out)
-            ready = ready[~has[ready]] + 1
-            ready = ready[ready < rows]
-        return out.T.ravel()[: len(columns)]
+        inside = np.arange(CHUNK)[:, None] < head
+        inside[:, 0] = False
+        from_start = np.add.reduce(out, axis=0, where=inside, dtype=np.int64)
+        out[inside] = 0
+        # Chunks of equal signs share their maps.
+        alike = np.arange(rows)
+        first: dict[bytes, int] = {}
+        for row in np.flatnonzero(~has[1:]) + 1:
+            alike[row] = first.setdefault(steps[:, row].tobytes(), int(row))
+
+        entry, after = np.zeros((2, ENTRIES, rows), np.int32)
+        total = np.zeros((ENTRIES, rows), np.int64)
+        guess = np.zeros(rows, np.int32)
+        guess[1:] = leave[:-1]
+        self._live += [entry, after, guess]
+        for n in range(ENTRIES):
+            entry[n] = guess
+            todo = entry[n] != _START
+            after[n], total[n] = leave, from_start
+            for m in range(n):
+                known = entry[m] == entry[n]
+                after[n, known], total[n, known] = after[m, known], total[m, known]
+                todo &= ~known
+            at = np.flatnonzero(todo)
+            _, some, which = np.unique(alike[at] << 32 | entry[n, at], return_index=True, return_inverse=True)
+            exits, sums = self._run_heads(alike[at[some]], entry[n, at[some]], steps, head)
+            after[n, at], total[n, at] = exits[which], sums[which]
+            guess[1:] = np.where(has, leave, after[n])[:-1]
+            if (guess == entry[n]).all():
+                break
+        built = n + 1
+
+        # Each (entry, chunk) points to the pair behind it; pairs that end a chain or lead to an unknown entry point to themselves.
+        onward = np.arange(built * rows)
+        broken = np.flatnonzero(~has)
+        for n in range(built):
+            for m in range(built):
+                meets = broken[entry[m, broken + 1] == after[n, broken]]
+                onward[n * rows + meets] = m * rows + meets + 1
+        single = total[:built].ravel()
+        passed = np.where(onward == np.arange(built * rows), 0, single)
+        while (onward[onward] != onward).any():
+            passed = passed + passed[onward]
+            onward = onward[onward]
+
+        chain = np.flatnonzero(np.r_[False, True, has[1:-1]])
+        end = onward[chain]
+        sums = passed[chain] + single[end]
+        # Chains that left the maps go on chunk by chunk until they meet one again.
+        going = np.flatnonzero(~has[end % rows])
+        row, state = end[going] % rows + 1, after.ravel()[end[going]]
+        while len(going):
+            known = np.full(len(going), -1)
+            for n in range(built):
+                known = np.where(entry[n, row] == state, n * rows + row, known)
+            met = known >= 0
+            last, gained = row.copy(), np.zeros(len(row), np.int64)
+            last[met] = onward[known[met]] % rows
+            gained[met] = passed[known[met]] + single[onward[known[met]]]
+            exits, more = self._run_heads(row[~met], state[~met], steps, head)
+            left = np.empty(len(row), np.int32)
+            left[met] = after.ravel()[onward[known[met]]]
+            left[~met], gained[~met] = exits, more
+            sums[going] += gained
+            on = ~has[last]
+            going, row, state = going[on], last[on] + 1, left[on]
+        return list(zip(chain.tolist(), sums.tolist(), strict=True))
 
     def _run_heads(
-        self, ready: np.ndarray, steps: np.ndarray, head: np.ndarray, leave: np.ndarray, has: np.ndarray, out: np.ndarray
-    ) -> None:
-        order = ready[np.argsort(-head[ready], kind="stable")]
-        state = leave[order - 1].copy()
-        for step in range(int(head[order[0]])):
-            live = order[: np.searchsorted(-head[order], -step, "left")]
-            change = np.zeros((1, len(live)), np.int16)
-            state[: len(live)] = self._run(state[: len(live)], steps[step : step + 1, live], change)
-            out[step, live] = change[0]
-        whole = ~has[order]
-        leave[order[whole]] = state[whole]
+        self, rows: np.ndarray, entry: np.ndarray, steps: np.ndarray, head: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Exit state and changes of the heads of ``rows``, entered in the states ``entry``."""
+        order = np.argsort(-head[rows], kind="stable")
+        rows, state, total = rows[order], entry[order], np.zeros(len(rows), np.int64)
+        self._live.append(state)
+        if len(rows) < 8:
+            for n, row in enumerate(rows.tolist()):
+                signs = "".join(self._signs[c] for c in steps[: head[row], row].tolist())
+                state[n], changes = self._scalar(int(state[n]), signs)
+                total[n] = sum(changes)
+        else:
+            for step in range(int(head[rows[0]])):
+                live = rows[: np.searchsorted(-head[rows], -step, "left")]
+                change = np.zeros((1, len(live)), np.int16)
+                state[: len(live)] = self._run(state[: len(live)], steps[step : step + 1, live], change)
+                total[: len(live)] += change[0]
+        self._live.pop()
+        back = np.argsort(order, kind="stable")
+        return state[back], total[back]
 
     def counts(self, texts: list[str]) -> np.ndarray:
         """Tokens of each text."""
-        if len(self._states) > STATES or len(self._others) > 4 * STATES:
+        if self._full():
             self._clear()
         total = np.zeros(len(texts), np.int64)
         parts, sizes = [], []
@@ -316,7 +423,7 @@ class Machine:
             sizes.append(len(columns) + 1)
         if parts:
             changes = self._changes(np.concatenate(parts))
-            total += np.add.reduceat(changes.astype(np.int64), np.cumsum([0, *sizes[:-1]]))
+            total += np.add.reduceat(changes, np.cumsum([0, *sizes[:-1]]))
         return total
 
 

@@ -38,6 +38,38 @@ def test_chunks_compose(machine, library, monkeypatch):
         assert machine.counts(texts).tolist() == whole
 
 
+def unbroken(kind, size):
+    rng = random.Random(kind)
+    if kind == "letters":
+        return "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=size))
+    if kind == "periods":  # the last token before a chunk differs from chunk to chunk
+        return ("abc" * size)[: size // 2] + ("zzzzzzz" * size)[: size - size // 2]
+    return "".join(rng.choice(["the", "in", "'re", "'", "s", "ation", "q", "12", "!!"]) for _ in range(size // 2))
+
+
+@pytest.mark.parametrize("kind", ["letters", "periods", "pieces"])
+@pytest.mark.parametrize("entries", [1, 2, 4])
+def test_long_unbroken_texts(machine, library, monkeypatch, kind, entries):
+    text = unbroken(kind, 60_000)
+    texts = [text, "one " + text[:9000] + " two", text[:3], text[5000:30_000]]
+    whole = [library(t) for t in texts]
+    monkeypatch.setattr(tokencount, "ENTRIES", entries)
+    for size in (1024, 100, 17):
+        monkeypatch.setattr(tokencount, "CHUNK", size)
+        assert machine.counts(texts).tolist() == whole
+
+
+def test_tables_stay_bounded_inside_a_text(library, monkeypatch):
+    monkeypatch.setattr(tokencount, "STATES", 3000)
+    small = Machine(PATH)
+    text = unbroken("letters", 60_000)
+    sizes = []
+    renew = small._renew
+    monkeypatch.setattr(small, "_renew", lambda *held: (sizes.append(len(small._states)), renew(*held)))
+    assert small.counts([text, "some words"]).tolist() == [library(text), library("some words")]
+    assert len(sizes) > 2 and max(sizes) < 3000 + 2 * 60  # no more than one step of all chunks beyond the bound
+
+
 def test_full_tables_are_built_anew(library, monkeypatch):
     monkeypatch.setattr(tokencount, "STATES", 50)
     monkeypatch.setattr(tokencount, "COLUMNS", 8)
