@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patronlens.llm.common import free_name, utf8_length
-from patronlens.operators.ranking import global_rank
+from patronlens.operators.ranking import global_rank, running_totals
 
 #: The law that the shards keep: their row counts differ by one at most.
 LAW = "rows"
@@ -100,9 +100,25 @@ def _below(edges: Column, value: Column) -> Column:
     return F.size(F.filter(edges, lambda e: e < value))
 
 
-def value_cell(column: str, bits: int) -> Column:
-    """Cell of a column of names: a value's rows share one cell; nulls have one of their own hash."""
-    return F.pmod(F.xxhash64(F.col(column).cast("string")), F.lit(1 << bits)).cast("int")
+def name_cells(df: DataFrame, columns: Sequence[str], bits: int) -> list[Column]:
+    """Cells of columns of names, in the order of the names, so that a name fills a run of the curve's cells.
+
+    A name's cell is that of its middle row in this order: frequent names lie far apart,
+    rare ones share a cell with their neighbours. Nulls take the lowest cell. The driver sees the
+    first name of each cell.
+    """
+    cells = []
+    for column in columns:
+        name = F.col(column).cast("string")
+        counted = df.filter(name.isNotNull()).groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("n"))
+        summed = running_totals(counted, ["name"], {"upto": "n"}, totals={"all": "n"})
+        middle = F.expr(f"((2 * upto - n) << {bits - 1}) div all").cast("int")
+        edges = summed.groupBy(middle.alias("cell")).agg(F.min("name").alias("name")).orderBy("cell").collect()
+        cell = F.lit(0)
+        for edge in edges:
+            cell = F.when(name >= F.lit(edge["name"]), edge["cell"]).otherwise(cell)
+        cells.append(cell)
+    return cells
 
 
 def shard(
@@ -126,7 +142,7 @@ def shard(
     text = F.col(text_col).cast("string")
     crc = F.coalesce(F.crc32(text.cast("binary")), F.lit(0).cast("bigint"))
     rows = docs.withColumns({"size": utf8_length(text_col) + 1, "text_crc32": crc})
-    cells = number_cells(rows, numbers, bits) + [value_cell(c, bits) for c in names]
+    cells = number_cells(rows, numbers, bits) + name_cells(docs, names, bits)
     placed = rows.select(id_col, "size", "text_crc32", hilbert_index(cells, bits).alias("curve"))
     rank, total = free_name(placed, "rank"), free_name(placed, "total")
     ranked = global_rank(placed, ["curve", "text_crc32", id_col], rank, total)
@@ -144,6 +160,9 @@ def shard(
 
 
 def write_shards(docs: DataFrame, sharded: DataFrame, path: str, id_col: str = "doc_id") -> None:
-    """Write ``docs`` with one folder per shard, rows in slot order; ids must be unique."""
+    """Write ``docs`` with one folder per shard, rows in slot order; ids must be unique and not null.
+
+    Tasks take runs of slots, so a large shard is written as several files by several tasks.
+    """
     placed = docs.join(sharded.select(id_col, "shard", "slot"), id_col)
-    placed.repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    placed.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

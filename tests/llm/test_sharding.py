@@ -5,7 +5,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from patronlens.llm.queries import op6_hilbert_sharding
-from patronlens.llm.sharding import hilbert_index, shard
+from patronlens.llm.sharding import hilbert_index, name_cells, shard, write_shards
 from tests.llm.conftest import python_free
 
 
@@ -48,3 +48,32 @@ def test_odd_rows(odd):
     assert {(r.size, r.text_crc32) for r in rows if r.doc_id in (2, 3)} == {(1, 0)}
     check(shard(odd, 16).collect(), odd.collect(), 16)  # fewer rows than shards
     assert shard(odd.limit(0), 16).collect() == []
+
+
+def test_names_lie_in_order_and_by_frequency(spark):
+    names = ["a"] * 50 + ["b", "c", "d"] + ["e"] * 40 + ["f"] * 7 + [None] * 5
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    cells = {}
+    for r in df.select("name", name_cells(df, ["name"], 4)[0].alias("cell")).collect():
+        assert cells.setdefault(r.name, r.cell) == r.cell
+    assert cells == {None: 0, "a": 4, "b": 8, "c": 8, "d": 8, "e": 11, "f": 15}
+
+
+def test_files_are_pruned_by_every_dimension(spark):
+    """Of 16 shards, about half hold a given source or language, and fewer a given id."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    placed = docs.drop("text").join(shard(docs), "doc_id")
+    for column, most in (("source", 9), ("lang", 12), ("doc_id", 9)):
+        bounds = placed.groupBy("shard").agg(F.min(column).alias("lo"), F.max(column).alias("hi")).collect()
+        asked = [r[0] for r in placed.select(column).distinct().orderBy(F.xxhash64(column)).limit(50).collect()]
+        read = [sum(b.lo <= value <= b.hi for b in bounds) for value in asked]
+        print(column, sum(read) / len(read))
+        assert sum(read) / len(read) <= most
+
+
+def test_written_shards(spark, tiny, documents, tmp_path):
+    write_shards(documents, shard(documents, 4), str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.drop("shard", "slot").exceptAll(documents).count() == 0 == documents.exceptAll(back.select(documents.columns)).count()
+    placed = {r.doc_id: (r.shard, r.slot) for r in shard(documents, 4).collect()}
+    assert {r.doc_id: (r.shard, r.slot) for r in back.collect()} == placed
