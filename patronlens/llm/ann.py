@@ -8,7 +8,8 @@ that its own side of the splits crossed least comes next, whichever tree it is i
 meet the rows of their leaves in a join, and the candidates are ranked by their exact
 cosine. How many leaves a query visits is measured on the table itself: true neighbours of
 sampled queries, found by brute force over all rows, tell after how many visits the wanted
-share of them is met. Where that would read more rows than there are, all rows are read.
+share of them is met. Where the leaves of a query's visits would hold nearly all rows between them, all
+rows are read.
 
 Equal vectors are one row of the index with the few smallest of their ids, as no
 answer can hold more of them. So neither copies nor their queries crowd a leaf.
@@ -31,8 +32,10 @@ from patronlens.session import materialize
 
 #: Sample rows below which a fitted node is not split by a median of its own.
 LEAST_SAMPLE = 8
-#: Rows of a leaf where every query reads all rows.
-SCAN_LEAF = 4096
+#: Rows of a leaf, and leaves of a tree for which its leaves hold fewer rows.
+LEAF, LEAST_LEAVES = 128, 128
+#: Share of all rows in the leaves of a query from which on it reads all rows, and rows of a leaf there.
+NEARLY_ALL, SCAN_LEAF = 0.95, 4096
 #: Queries that meet a leaf in one group at a time, on average.
 GROUP_QUERIES = 8192
 
@@ -117,6 +120,17 @@ class Forest:
             needed += np.searchsorted(np.sort(cost, axis=None), reached, "right").tolist()
         return max(len(self.directions), sorted(needed)[math.ceil(target * len(needed)) - 1] if needed else 0)
 
+    def share_read(self, asked: list[np.ndarray], sample: np.ndarray, probes: int) -> float:
+        """Mean share of the ``sample`` in the leaves that the ``asked`` units visit."""
+        leaves, trees = self.leaves(sample), np.arange(len(self.directions))
+        shares = []
+        for unit in asked:
+            seen = np.zeros((len(trees), 1 << self.depth), bool)
+            tree, leaf = np.array(self.visits(unit, probes)).T
+            seen[tree, leaf] = True
+            shares.append(seen[trees, leaves].any(axis=1).mean())
+        return float(np.mean(shares))
+
     def visits(self, unit: np.ndarray, probes: int) -> list[tuple[int, int]]:
         """The first ``probes`` (tree, leaf) of the shared queue, nearest first."""
         along = self.directions @ unit
@@ -162,6 +176,7 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
     Null ids and null, empty or zero vectors take no part, nor do vectors with a null or
     non-finite component or of another length than most (the greater length in a tie).
+    Of several vectors with one id the least counts, by the order of arrays.
     """
     vector = F.col(vector_col)
     real = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -170,7 +185,8 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     )
     lengths = rows.groupBy(F.size(vector).alias("n")).agg(F.count(F.lit(1)).alias("rows"))
     most = lengths.orderBy(F.desc("rows"), F.desc("n")).first()
-    return rows.filter(F.size(vector) == (most["n"] if most else 0)).select(F.col(id_col).alias("id"), vector.alias("v")).distinct()
+    rows = rows.filter(F.size(vector) == (most["n"] if most else 0))
+    return rows.groupBy(F.col(id_col).alias("id")).agg(F.min(vector).alias("v"))
 
 
 def true_neighbours(classes: DataFrame, asked: np.ndarray, k: int) -> list[np.ndarray]:
@@ -208,7 +224,7 @@ def nearest(
     is_query: str,
     k: int = 5,
     trees: int = 8,
-    leaf: int = 128,
+    leaf: int | None = None,
     probes: int | None = None,
     sample_rows: int = 16_384,
     target_recall: float = 0.95,
@@ -221,8 +237,8 @@ def nearest(
     Nearness is the cosine in double precision, ties go to the smaller id; a row is no
     neighbour of itself. ``sample_rows`` bounds the vectors that the forest is fitted on; every
     row is indexed. A query visits ``probes`` leaves; by default as many as ``sample_queries`` of
-    the queries need to meet ``target_recall`` of their true neighbours, or all rows where that is
-    less to read. Equal (id, vector) rows count once. A query with fewer than ``k`` other rows
+    the queries need to meet ``target_recall`` of their true neighbours, or all rows where
+    their leaves hold nearly all. Equal (id, vector) rows count once. A query with fewer than ``k`` other rows
     gets them all.
     """
     rows = usable(vectors, id_col, vector_col)
@@ -234,7 +250,7 @@ def nearest(
     sample = classes.orderBy(F.xxhash64("rep", "v"), "v").limit(sample_rows).select("v").collect()
     points = np.array([r["v"] for r in sample], np.float64)
     points = units_of(points) if total else np.zeros((0, 1))
-    forest = Forest.fit(points, total, trees, leaf)
+    forest = Forest.fit(points, total, trees, leaf or max(1, min(LEAF, total // LEAST_LEAVES)))
 
     asked = rows.filter(is_query).join(classes.select("v", F.md5(F.col("v").cast("string").cast("binary")).alias("cls")), "v")
     asked = materialize(asked.select(F.col("id").alias("query_id"), "cls", "v"))
@@ -242,8 +258,9 @@ def nearest(
     if probes is None:
         some = searched.orderBy(F.xxhash64("v", F.lit(11)), "v").limit(sample_queries).select("v").collect()
         some = np.array([r["v"] for r in some], np.float64)
-        probes = forest.visits_for(target_recall, list(units_of(some)), true_neighbours(classes, some, k)) if len(some) else trees
-        if probes >= 1 << forest.depth:
+        units = list(units_of(some)) if len(some) else []
+        probes = forest.visits_for(target_recall, units, true_neighbours(classes, some, k)) if units else trees
+        if units and forest.share_read(units, points, probes) >= NEARLY_ALL:
             forest = Forest.fit(points, total, 1, SCAN_LEAF)
             probes = 1 << forest.depth
     # Where many queries visit a leaf they meet it in several groups.

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from patronlens.llm import ann
+from patronlens.llm.queries import op1_rp_forest_neighbours
 
 
 def brute(rows, is_query, k=5):
@@ -41,6 +42,34 @@ def test_ties_copies_and_rows_that_take_no_part(spark):
     assert [r["rank"] for r in ann.nearest(df, "id = 0").orderBy("rank").collect()] == [1, 2, 3, 4, 5]
 
 
+def test_of_several_vectors_with_one_id_the_least_counts(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (50, [0.1, 1.0]), (1, [1.0, 0.1]), (1, [1.0, 0.3]), (2, [-1.0, 0.2])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.nearest(df, "id % 50 = 0").orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r["rank"], r.vec_id) for r in got] == [
+        (0, 1, 50), (0, 2, 2), (0, 3, 1), (50, 1, 0), (50, 2, 1), (50, 3, 2)
+    ]
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01", "sf0.1"])
+def test_the_forest_answers_the_registered_query(spark, monkeypatch, folder):
+    """On the given tables the trees are walked, not all rows read, and most neighbours found."""
+    made = []
+    fit = ann.Forest.fit.__func__
+    monkeypatch.setattr(ann.Forest, "fit", classmethod(lambda cls, *a, **k: made.append(fit(cls, *a, **k)) or made[-1]))
+    folder = f"/root/testdata/{folder}"
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").collect()
+    ids = np.array([r.vec_id for r in rows])
+    units = ann.units_of(np.array([r.embedding for r in rows], np.float64))
+    found = {}
+    for r in op1_rp_forest_neighbours(spark, folder).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert len(made) == 1 and len(made[0].directions) == 8 and made[0].depth >= 6
+    asked = np.flatnonzero(ids % 50 == 0)
+    hits = [len(found[ids[q]] & set(ids[np.argsort(-(units @ units[q]))[1:6]].tolist())) for q in asked]
+    assert sum(hits) >= 0.9 * 5 * len(asked)
+
+
 @pytest.mark.parametrize("n", [0, 1, 3])
 def test_few_rows(spark, n):
     df = spark.createDataFrame([(50 * i, [1.0, float(i)]) for i in range(n)], "vec_id long, embedding array<float>")
