@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import GaussianMixture, KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from patronlens.functions.rounding import zero_if_missing
+from patronlens.operators import mixture
 from patronlens.schema import RFM
 from patronlens.session import for_iteration
 
@@ -150,6 +151,32 @@ def optimal_k(scores: DataFrame) -> DataFrame:
     return scores.orderBy(F.desc("silhouette"), "k").limit(1)
 
 
+def gmm_model(
+    customers: DataFrame,
+    components: int = 5,
+    features: Sequence[str] = RFM,
+    seed: int = SEED,
+    max_iter: int = 100,
+    tol: float = mixture.TOLERANCE,
+) -> tuple[DataFrame, mixture.Mixture]:
+    """Most likely component and its probability per customer, and the mixture of the standardised features.
+
+    The fit starts from one start of k-means; components beyond the number of distinct customers are left out.
+    """
+    vectors = _vectors(customers, features)
+    start = _fit_starts(vectors, [components], 1, seed, 300, 1, TOLERANCE)[components]
+    assigned = start.transform(vectors).select(*customers.columns, "KMeans_Cluster", vector_to_array(_VECTOR).alias(_VECTOR))
+    rows = for_iteration(assigned)
+    centres = np.array([c for c in start.clusterCenters()], np.float64)
+    model = mixture.fit_mixture(rows, _VECTOR, "KMeans_Cluster", centres, max_iter, tol)
+    vectors.unpersist()
+    found = rows.withColumn("_found", mixture.membership(model, F.col(_VECTOR)))
+    scored = found.select(
+        *customers.columns, F.col("_found.component").alias("GMM_Cluster"), F.col("_found.probability").alias("GMM_Max_Prob")
+    )
+    return scored, model
+
+
 def gmm_soft(
     customers: DataFrame,
     components: int = 5,
@@ -158,31 +185,8 @@ def gmm_soft(
     max_iter: int = 100,
 ) -> tuple[DataFrame, dict[str, float]]:
     """Most likely component and its probability per customer, and log-likelihood, BIC, AIC."""
-    vectors = _vectors(customers, features)
-    model = GaussianMixture(
-        k=components,
-        seed=seed,
-        maxIter=max_iter,
-        tol=1e-3,
-        featuresCol=_VECTOR,
-        predictionCol="GMM_Cluster",
-        probabilityCol="_probability",
-    ).fit(vectors)
-    d = len(features)
-    parameters = components * d + components * d * (d + 1) // 2 + components - 1
-    likelihood = float(model.summary.logLikelihood)
-    rows = vectors.count()
-    quality = {
-        "log_likelihood": likelihood,
-        "bic": parameters * math.log(rows) - 2 * likelihood,
-        "aic": 2 * parameters - 2 * likelihood,
-    }
-    scored = model.transform(vectors).select(
-        *customers.columns,
-        "GMM_Cluster",
-        F.array_max(vector_to_array("_probability")).alias("GMM_Max_Prob"),
-    )
-    return scored, quality
+    scored, model = gmm_model(customers, components, features, seed, max_iter)
+    return scored, {"log_likelihood": model.log_likelihood, "bic": model.bic, "aic": model.aic, "converged": model.converged}
 
 
 def pca_projection(
