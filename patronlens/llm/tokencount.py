@@ -310,10 +310,12 @@ class Machine:
         blank = steps == 0
         has = blank.any(axis=0)
         head = np.where(has, blank.argmax(axis=0) + 1, CHUNK)
-        inside = np.arange(CHUNK)[:, None] < head
+        # Heads are mostly short, so only the steps up to the longest are looked at.
+        steps_in = out[: head.max()]
+        inside = np.arange(len(steps_in))[:, None] < head
         inside[:, 0] = False
-        from_start = np.add.reduce(out, axis=0, where=inside, dtype=np.int64)
-        out[inside] = 0
+        from_start = np.where(inside, steps_in, 0).sum(axis=0, dtype=np.int64)
+        steps_in[inside] = 0
         # Chunks of equal signs share their maps.
         alike = np.arange(rows)
         first: dict[bytes, int] = {}
