@@ -18,6 +18,9 @@ MAX_TERMS = 20_000_000
 TOLERANCE = 1e-14
 #: The expansion around one loses digits where c - a - b is this close to a whole number.
 WHOLE = 1e-3
+#: Steps of c, either side of the whole number, between which such values are interpolated.
+STEP = 4e-3
+STEPS = 5
 
 
 def _series(a: np.ndarray, b: np.ndarray, c: np.ndarray, z: np.ndarray) -> np.ndarray:
@@ -60,24 +63,49 @@ def _ratio(above: list[np.ndarray], below: list[np.ndarray]) -> np.ndarray:
     return sign * np.exp(logs)
 
 
+def _around_one(a: np.ndarray, b: np.ndarray, c: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """The connection formula: two series at 1 - z; c - a - b must not be whole."""
+    gap = c - a - b
+    one = _ratio([c, gap], [c - a, c - b]) * _series(a, b, 1.0 - gap, 1.0 - z)
+    two = _ratio([c, -gap], [a, b]) * (1.0 - z) ** gap * _series(c - a, c - b, 1.0 + gap, 1.0 - z)
+    return one + two
+
+
+def _around_whole(a: np.ndarray, b: np.ndarray, c: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """The same where c - a - b is whole or nearly so.
+
+    Both series have a pole there, but their sum is smooth in c: it is
+    interpolated between values of c a few steps off the whole number.
+    """
+    off = c - a - b - np.round(c - a - b)
+    steps = [STEP * k for k in range(-STEPS, STEPS + 1) if k]
+    total = np.zeros_like(z)
+    for at in steps:
+        weight = np.ones_like(z)
+        for other in steps:
+            if other != at:
+                weight = weight * (off - other) / (at - other)
+        total = total + weight * _around_one(a, b, c - off + at, z)
+    return total
+
+
 def hyp2f1(a: float, b: float, c: np.ndarray, z: np.ndarray) -> np.ndarray:
     """Gauss hypergeometric function for small fixed a and b, c > 0 and 0 <= z < 1.
 
-    Near one the series at 1 - z takes over (the connection formula); where its
-    gamma values nearly cancel, the slower series at z runs until it has converged.
+    Near one the series at 1 - z takes over (the connection formula), with its
+    limit where c - a - b is whole. Only for c next to zero, where the steps
+    around it would leave the domain, the slower series at z runs to its end.
     """
     shape = np.broadcast_shapes(np.shape(c), np.shape(z))
     c, z = (np.broadcast_to(np.asarray(v, float), shape).ravel() for v in (c, z))
     a, b = np.full_like(z, a), np.full_like(z, b)
     gap = c - a - b
-    near = (z > NEAR_ONE) & (np.abs(gap - np.round(gap)) > WHOLE)
+    whole = np.abs(gap - np.round(gap)) <= WHOLE
+    near = (z > NEAR_ONE) & ~(whole & (c <= 2 * STEPS * STEP))
     out = np.empty_like(z)
-    out[~near] = _series(a[~near], b[~near], c[~near], z[~near])
-    if near.any():
-        a, b, c, z, gap = (v[near] for v in (a, b, c, z, gap))
-        one = _ratio([c, gap], [c - a, c - b]) * _series(a, b, 1.0 - gap, 1.0 - z)
-        two = _ratio([c, -gap], [a, b]) * (1.0 - z) ** gap * _series(c - a, c - b, 1.0 + gap, 1.0 - z)
-        out[near] = one + two
+    for rows, form in ((~near, _series), (near & ~whole, _around_one), (near & whole, _around_whole)):
+        if rows.any():
+            out[rows] = form(a[rows], b[rows], c[rows], z[rows])
     return out.reshape(shape)
 
 

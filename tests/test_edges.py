@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from patronlens.functions.binning import bin_of_rank
+from patronlens.functions import hypergeometric
 from patronlens.functions.hypergeometric import hyp2f1, purchases_until
 from patronlens.functions.rounding import round_even
 from patronlens.functions.timing import whole_days
@@ -68,6 +69,20 @@ def test_hypergeometric_near_one():
     assert purchases_until(params, [365], [0, 40], [0, 100], [0, 3000])[0, 0] == alone
 
 
+@pytest.mark.parametrize("near", [0.0, 1e-12, -5e-4, 9e-4])
+@pytest.mark.parametrize("whole", [-3, -1, 0, 2, 7])
+def test_hypergeometric_where_the_gap_is_whole(whole, near):
+    # Closed form: F(1, 1; 2; z) = -log(1 - z) / z.
+    for z in (0.95, 0.99999, 1.0 - 1e-9):
+        assert hyp2f1(1.0, 1.0, np.array([2.0]), np.array([z]))[0] == pytest.approx(-np.log1p(-z) / z, rel=1e-11)
+    for a, b in ((1.2, -0.2), (2.3, 1.6), (0.7, -0.35)):
+        c = a + b + whole + near
+        if c > 0.1:
+            for z in (0.91, 0.9995):
+                slow = hypergeometric._series(*(np.array([v]) for v in (a, b, c, z)))[0]
+                assert hyp2f1(a, b, np.array([c]), np.array([z]))[0] == pytest.approx(slow, rel=1e-10)
+
+
 def test_parquet_by_format_and_csv_columns_by_name(spark, tmp_path):
     df = frame(spark, [line("1", "5")])
     df.write.parquet(f"{tmp_path}/plain")
