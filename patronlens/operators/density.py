@@ -28,6 +28,10 @@ from patronlens.session import materialize
 
 LEAF = 64
 NOISE = -1
+#: Up to so many axes a cell asks for the cells around it by name; beyond, their number explodes and two trees are walked.
+LISTED_AXES = 4
+#: Axes that one step of the walk halves: a node has at most 2 ** 4 children.
+HALVED_AT_ONCE = 4
 
 
 class _Grid:
@@ -38,11 +42,14 @@ class _Grid:
         self.axes = range(dimensions)
         # A hair smaller, so that rounding cannot stretch a cell beyond eps.
         self.side = eps / sqrt(dimensions) * (1.0 - 1e-9)
-        reach = int(sqrt(dimensions)) + 1
-        self.offsets = [
+        self.dimensions = dimensions
+
+    def offsets(self) -> list[tuple[int, ...]]:
+        reach = int(sqrt(self.dimensions)) + 1
+        return [
             o
-            for o in product(range(-reach, reach + 1), repeat=dimensions)
-            if sum(max(abs(i) - 1, 0) ** 2 for i in o) <= dimensions
+            for o in product(range(-reach, reach + 1), repeat=self.dimensions)
+            if sum(max(abs(i) - 1, 0) ** 2 for i in o) <= self.dimensions
         ]
 
     def cell(self, level: int) -> Column:
@@ -64,14 +71,74 @@ class _Grid:
     def neighbours(self, cells: DataFrame, others: DataFrame) -> DataFrame:
         """Pairs of a cell and another one in reach (itself included), with the other's box.
 
-        Each cell asks for at most ``len(offsets)`` keys of the other table.
+        With few axes each cell asks for its offsets, a fixed number of keys of the
+        other table; with more, ``_walk`` meets only cells that are not empty.
         """
-        shifts = F.array(*[F.array(*[F.lit(i).cast("bigint") for i in o]) for o in self.offsets])
-        asked = cells.select("cell", F.explode(shifts).alias("_shift")).select(
-            "cell", F.array(*[F.col("cell")[i] + F.col("_shift")[i] for i in self.axes]).alias("node")
-        )
+        if self.dimensions > LISTED_AXES:
+            asked = self._walk(cells, others)
+        else:
+            shifts = F.array(*[F.array(*[F.lit(i).cast("bigint") for i in o]) for o in self.offsets()])
+            asked = cells.select("cell", F.explode(shifts).alias("_shift")).select(
+                "cell", F.array(*[F.col("cell")[i] + F.col("_shift")[i] for i in self.axes]).alias("node")
+            )
         return asked.join(others.select("node", "k", "weight", *self.box_columns()), "node")
 
+    def _walk(self, cells: DataFrame, others: DataFrame) -> DataFrame:
+        """Pairs (cell, node) whose cells are at most eps apart, by descending two trees side by side.
+
+        A node of a tree is a block of cells; a step halves the blocks along the
+        axes on which they are longest, and keeps the pairs of children that
+        hold cells and whose tight bounds come within reach. All is whole-number
+        arithmetic on the places of cells.
+        """
+        cells = materialize(cells.select("cell"))
+        others = materialize(others.select(F.col("node").alias("cell")))
+        place = [F.col("cell")[i] for i in self.axes]
+        span = (
+            cells.unionByName(others)
+            .agg(
+                F.array(*[F.coalesce(F.min(p), F.lit(0)) for p in place]).alias("low"),
+                F.array(*[F.coalesce(F.max(p), F.lit(0)) for p in place]).alias("high"),
+            )
+            .first()
+        )
+        shifts = [(high - low).bit_length() for low, high in zip(span["low"], span["high"], strict=True)]
+
+        def block(by: Sequence[int]) -> Column:
+            return F.array(*[F.shiftright(p - F.lit(low), s) for p, low, s in zip(place, span["low"], by, strict=True)])
+
+        def children(table: DataFrame, side: str, parent: Sequence[int], child: Sequence[int]) -> DataFrame:
+            return table.groupBy(block(parent).alias(side), block(child).alias(f"{side}_child")).agg(
+                *[F.min(p).alias(f"{side}lo{i}") for i, p in enumerate(place)],
+                *[F.max(p).alias(f"{side}hi{i}") for i, p in enumerate(place)],
+            )
+
+        # Between the cells themselves lies one side less than between their places.
+        gaps = [
+            F.greatest(F.col(f"alo{i}") - F.col(f"bhi{i}"), F.col(f"blo{i}") - F.col(f"ahi{i}"), F.lit(1)) - 1
+            for i in self.axes
+        ]
+        in_reach = sum((g.cast("double") * g for g in gaps), F.lit(0.0)) <= self.dimensions
+        root = F.array(*[F.lit(0).cast("bigint") for _ in self.axes])
+        pairs = cells.sparkSession.range(1).select(root.alias("a"), root.alias("b"))
+        while True:
+            longest = sorted(self.axes, key=lambda i: -shifts[i])[:HALVED_AT_ONCE]
+            halved = [max(s - 1, 0) if i in longest else s for i, s in enumerate(shifts)]
+            pairs = materialize(
+                pairs.join(children(cells, "a", shifts, halved), "a")
+                .join(children(others, "b", shifts, halved), "b")
+                .filter(in_reach)
+                .select(F.col("a_child").alias("a"), F.col("b_child").alias("b"))
+            )
+            shifts = halved
+            if not any(shifts):
+                break
+
+        def back(side: str) -> Column:
+            return F.array(*[F.col(side)[i] + F.lit(low) for i, low in enumerate(span["low"])])
+
+        return pairs.select(back("a").alias("cell"), back("b").alias("node"))
+
     def nearest(self, low: list[Column], high: list[Column], prefix: str = "") -> Column:
         """Squared distance from the box (low, high) to the row's box."""
         gaps = [

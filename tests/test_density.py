@@ -63,6 +63,45 @@ def test_labels_equal_brute_force(spark, kind, eps, min_samples, monkeypatch):
     assert {r.CustomerID: r.Is_Core for r in flags} == core
 
 
+def many_axes(axes, seed=3):
+    """A crowd, a thin bridge, copies, far points and one axis without any spread."""
+    rng = np.random.default_rng(seed)
+    crowd = rng.normal(0, 0.05, (60, axes))
+    bridge = np.linspace(0, 3, 40)[:, None] * np.ones(axes) + rng.normal(0, 0.01, (40, axes))
+    copies = np.tile(rng.uniform(-3, 3, axes), (9, 1))
+    points = np.r_[crowd, bridge, copies, rng.uniform(-4, 4, (60, axes))]
+    points[:, -1] = 1.0
+    names = [f"f{i}" for i in range(axes)]
+    pdf = pd.DataFrame(points, columns=names)
+    pdf["CustomerID"] = [f"C{i:04d}" for i in rng.permutation(len(points))]
+    return pdf, names
+
+
+@pytest.mark.parametrize("axes, eps", [(6, 0.5), (8, 0.3)])
+def test_many_axes_equal_brute_force(spark, axes, eps, monkeypatch):
+    monkeypatch.setattr(density, "LEAF", 8)
+    pdf, names = many_axes(axes)
+    labels, core = brute(pdf, names, eps, 5)
+    assert len(set(labels.values())) >= 3
+    got = density.dbscan_outliers(spark.createDataFrame(pdf).repartition(4), eps, 5, names).collect()
+    assert {r.CustomerID: r.DBSCAN_Cluster for r in got} == labels
+
+
+def test_walk_finds_the_pairs_of_listed_offsets(spark, monkeypatch):
+    grid = density._Grid(0.5, 3)
+    rng = np.random.default_rng(4)
+    places = sorted({tuple(int(v) for v in p) for p in rng.integers(-9, 9, (300, 3))})
+    cells = spark.createDataFrame([(list(p),) for p in places[::2]], "cell array<bigint>")
+    others = spark.createDataFrame([(list(p), 1, 1, *[0.0] * 6) for p in places],
+        "node array<bigint>, k bigint, weight bigint, " + ", ".join(f"{c} double" for c in grid.box_columns()))
+    listed = {(tuple(r.cell), tuple(r.node)) for r in grid.neighbours(cells, others).collect()}
+    monkeypatch.setattr(density, "LISTED_AXES", 0)
+    walked = [(tuple(r.cell), tuple(r.node)) for r in grid.neighbours(cells, others).collect()]
+    assert len(walked) == len(set(walked)) and set(walked) == listed
+    assert grid.neighbours(cells.limit(0), others).isEmpty() and grid.neighbours(cells, others.limit(0)).isEmpty()
+    assert grid.neighbours(cells.limit(1), others.limit(1)).count() == 1
+
+
 def test_components_of_a_long_chain(spark):
     n = 200
     names = [f"v{i:04d}" for i in np.random.default_rng(5).permutation(n)]
