@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from patronlens.functions.rounding import zero_if_missing
 from patronlens.operators import mixture
-from patronlens.schema import RFM
+from patronlens.operators.silhouette import MEMBERS, euclidean_silhouette
+from patronlens.schema import CUSTOMER, RFM
 from patronlens.session import for_iteration
 
 SEED = 42
@@ -132,23 +133,33 @@ def silhouette_by_k(
     max_iter: int = 300,
     parallelism: int = 8,
     tol: float = TOLERANCE,
+    squared: bool = False,
+    unique: str = CUSTOMER,
+    members: int = MEMBERS,
 ) -> DataFrame:
-    """Silhouette per number of clusters, on squared Euclidean distance.
+    """Silhouette per number of clusters and the error that sampling can add to it.
 
-    The squared form needs one pass over cluster sums; the plain distance would
-    need every pair of customers.
+    On plain Euclidean distance each customer is compared with at most
+    ``members`` of each cluster. ``squared`` takes squared distances instead,
+    which need only the sums of the clusters and have no error.
     """
     vectors = _vectors(customers, features)
-    evaluator = ClusteringEvaluator(featuresCol=_VECTOR, predictionCol="KMeans_Cluster")
     models = _fit_starts(vectors, list(ks), starts, seed, max_iter, parallelism, tol)
-    scores = [(k, float(evaluator.evaluate(models[k].transform(vectors)))) for k in ks]
+    scores = []
+    for k in ks:
+        clustered = models[k].transform(vectors)
+        if squared:
+            evaluator = ClusteringEvaluator(featuresCol=_VECTOR, predictionCol="KMeans_Cluster")
+            scores.append((k, float(evaluator.evaluate(clustered)), 0.0))
+        else:
+            scores.append((k, *euclidean_silhouette(clustered, vector_to_array(_VECTOR), "KMeans_Cluster", unique, members, seed)))
     vectors.unpersist()
-    return customers.sparkSession.createDataFrame(scores, "k int, silhouette double")
+    return customers.sparkSession.createDataFrame(scores, "k int, silhouette double, error double")
 
 
 def optimal_k(scores: DataFrame) -> DataFrame:
     """The number of clusters of highest silhouette, the smallest on ties."""
-    return scores.orderBy(F.desc("silhouette"), "k").limit(1)
+    return scores.orderBy(F.desc_nulls_last("silhouette"), "k").limit(1)
 
 
 def gmm_model(

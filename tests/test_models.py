@@ -201,8 +201,11 @@ def test_clusters(spark, made):
     projected, shares = clustering.pca_projection(customers)
     assert projected.agg(F.avg("PC1")).first()[0] == pytest.approx(0.0, abs=1e-9)
     assert shares[0] >= shares[1] and sum(shares) <= 1.0 + 1e-9
-    best = clustering.optimal_k(clustering.silhouette_by_k(customers, [2, 3], starts=1)).first()
-    assert best.k in (2, 3)
+    squared = clustering.silhouette_by_k(customers, [2, 3], starts=1, squared=True).collect()
+    assert [r.error for r in squared] == [0.0, 0.0]
+    scores = clustering.silhouette_by_k(customers, [2, 3], starts=1)
+    best = clustering.optimal_k(scores).first()
+    assert best.k == max(scores.collect(), key=lambda r: r.silhouette).k
 
 
 def test_customer_tables_never_meet_in_one_partition(spark, tiny):

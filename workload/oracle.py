@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+PROFILE = "Recency Frequency Monetary avg_order_value unique_products avg_unit_price".split()
+
 # Named subqueries, each written over the tables and the ones before it.
 PARTS: dict[str, str] = {
     "tx": """
@@ -167,6 +169,16 @@ ON (p.Recency - q.Recency) * (p.Recency - q.Recency) + (p.Frequency - q.Frequenc
     "cores": "SELECT u AS id FROM pairs GROUP BY u HAVING count(*) >= 5",
     "core_edges": """
 SELECT u, v FROM pairs WHERE u IN (SELECT id FROM cores) AND v IN (SELECT id FROM cores) AND u <> v""",
+    "profile": "SELECT CustomerID, "
+    + ", ".join(f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS x{i}" for i, c in enumerate(PROFILE))
+    + " FROM features",
+    "profile_pairs": "SELECT p.CustomerID AS u, q.CustomerID AS v FROM profile p JOIN profile q ON "
+    + " + ".join(f"(p.x{i} - q.x{i}) * (p.x{i} - q.x{i})" for i in range(len(PROFILE)))
+    + " <= 25e-2",
+    "profile_cores": "SELECT u AS id FROM profile_pairs GROUP BY u HAVING count(*) >= 5",
+    "profile_edges": """
+SELECT u, v FROM profile_pairs
+WHERE u IN (SELECT id FROM profile_cores) AND v IN (SELECT id FROM profile_cores) AND u <> v""",
     "clustered": "SELECT *, CAST(Frequency % 5 AS INT) AS KMeans_Cluster, CAST(Frequency % 7 - 1 AS INT) AS DBSCAN_Cluster FROM rfm",
     "day_sums": """
 SELECT CustomerID, InvoiceDate::DATE AS d, sum(Revenue) AS spent FROM clean GROUP BY CustomerID, d""",
@@ -220,6 +232,18 @@ def rounded(columns: str, digits: int = 6) -> str:
     return ", ".join(f"round({c}, {digits}) AS {c}" for c in columns.split())
 
 
+# Clusters of core rows numbered by their smallest id; other rows join the lowest-numbered one in reach.
+DENSITY = """
+WITH RECURSIVE component(id, label) USING KEY (id) AS (
+  SELECT id, id FROM {cores}
+  UNION
+  SELECT e.v, min(c.label) FROM component c JOIN {edges} e ON e.u = c.id
+  JOIN recurring.component old ON old.id = e.v WHERE c.label < old.label GROUP BY e.v),
+numbered AS (SELECT id, dense_rank() OVER (ORDER BY label) - 1 AS n FROM component),
+reached AS (SELECT v AS id, min(n) AS n FROM {pairs} JOIN numbered ON u = id GROUP BY v)
+SELECT CustomerID, CAST(coalesce(m.n, r.n, -1) AS INT) AS DBSCAN_Cluster
+FROM {table} LEFT JOIN numbered m ON m.id = CustomerID LEFT JOIN reached r ON r.id = CustomerID"""
+
 TX_COLUMNS = "CustomerID, InvoiceNo, StockCode, Quantity, InvoiceDate, CAST(UnitPrice AS DOUBLE) AS UnitPrice, Country"
 CLEAN_COLUMNS = TX_COLUMNS + ", CAST(Revenue AS DOUBLE) AS Revenue"
 NOT_CANCELLED = "NOT coalesce(starts_with(InvoiceNo, 'C'), false)"
@@ -421,17 +445,22 @@ FROM (SELECT Country AS model, avg(CAST(Churned AS DOUBLE)) AS auc_roc, row_numb
       FROM homes JOIN labels_90 USING (CustomerID) GROUP BY Country)
 WHERE auc_roc > 0 ORDER BY auc_roc DESC, position LIMIT 1""",
     "C1_standardize": f"SELECT CustomerID, {rounded('Recency Frequency Monetary', 6)} FROM scaled",
+    "C3_silhouette_given": """
+WITH apart AS (
+  SELECT p.CustomerID AS id, r.KMeans_Cluster AS own, t.KMeans_Cluster AS other,
+         sum(sqrt((p.Recency - q.Recency) * (p.Recency - q.Recency) + (p.Frequency - q.Frequency) * (p.Frequency - q.Frequency)
+                  + (p.Monetary - q.Monetary) * (p.Monetary - q.Monetary))) AS d, count(*) AS n
+  FROM scaled p JOIN clustered r USING (CustomerID), scaled q JOIN clustered t USING (CustomerID) GROUP BY ALL),
+sides AS (
+  SELECT id, max(n) FILTER (own = other) AS n, max(d / greatest(n - 1, 1)) FILTER (own = other) AS a,
+         min(d / n) FILTER (own <> other) AS b FROM apart GROUP BY id)
+SELECT round(avg(CASE WHEN n < 2 OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette,
+       CAST(0 AS DOUBLE) AS error FROM sides""",
     "C4_dbscan_core": "SELECT CustomerID, CustomerID IN (SELECT id FROM cores) AS Is_Core FROM rfm",
-    "C4_dbscan_outliers": """
-WITH RECURSIVE component(id, label) USING KEY (id) AS (
-  SELECT id, id FROM cores
-  UNION
-  SELECT e.v, min(c.label) FROM component c JOIN core_edges e ON e.u = c.id
-  JOIN recurring.component old ON old.id = e.v WHERE c.label < old.label GROUP BY e.v),
-numbered AS (SELECT id, dense_rank() OVER (ORDER BY label) - 1 AS n FROM component),
-reached AS (SELECT v AS id, min(n) AS n FROM pairs JOIN numbered ON u = id GROUP BY v)
-SELECT CustomerID, CAST(coalesce(m.n, r.n, -1) AS INT) AS DBSCAN_Cluster
-FROM rfm LEFT JOIN numbered m ON m.id = CustomerID LEFT JOIN reached r ON r.id = CustomerID""",
+    "C4_dbscan_outliers": DENSITY.format(table="rfm", pairs="pairs", cores="cores", edges="core_edges"),
+    "C4_dbscan_profile": DENSITY.format(
+        table="features", pairs="profile_pairs", cores="profile_cores", edges="profile_edges"
+    ),
     "R1_cohort_assign": """
 SELECT CustomerID, CohortMonth, Period, round(CAST(revenue AS DOUBLE), 2) AS Revenue, orders AS Orders FROM placed WHERE Period < 12""",
     "R2_cohort_retention": """

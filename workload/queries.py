@@ -27,8 +27,9 @@ from patronlens.operators import (
     segments,
     splits,
 )
+from patronlens.operators.silhouette import euclidean_silhouette
 from patronlens.plans import lifetime, retention
-from patronlens.schema import CUSTOMER
+from patronlens.schema import CUSTOMER, RFM
 from patronlens.session import scratch_path
 from patronlens.sources import runlog, transactions
 from patronlens.sources.star import event_transactions, star_transactions, table
@@ -588,6 +589,15 @@ def optimal_k(spark, folder):
     return clustering.optimal_k(clustering.silhouette_by_k(inputs.customer_rfm(spark, folder)))
 
 
+@register("C3_silhouette_given")
+def silhouette_given(spark, folder):
+    """Silhouette of given clusters, exact (as its SQL twin is) up to 5,000 customers a cluster."""
+    z = [f"{c}_z" for c in RFM]
+    scaled = clustering.standardize(_given_clusters(spark, folder), RFM, "_z")
+    found = euclidean_silhouette(scaled, F.array(*z), "KMeans_Cluster", CUSTOMER, members=5000)
+    return spark.createDataFrame([(round(found.value, 6), found.error)], "silhouette double, error double")
+
+
 @register("C5_gmm_soft")
 def gmm_soft(spark, folder):
     scored, quality = clustering.gmm_soft(inputs.customer_rfm(spark, folder))
@@ -832,3 +842,13 @@ def dbscan_core(spark, folder):
 @register("C4_dbscan_outliers")
 def dbscan_outliers(spark, folder):
     return density.dbscan_outliers(inputs.customer_rfm(spark, folder)).select(CUSTOMER, "DBSCAN_Cluster")
+
+
+PROFILE = ["Recency", "Frequency", "Monetary", "avg_order_value", "unique_products", "avg_unit_price"]
+
+
+@register("C4_dbscan_profile")
+def dbscan_profile(spark, folder):
+    """Clusters on six features, more than a cell can list its neighbours for."""
+    found = density.dbscan_outliers(inputs.all_features(spark, folder), features=PROFILE)
+    return found.select(CUSTOMER, "DBSCAN_Cluster")
