@@ -103,6 +103,12 @@ def cluster_rank(summary: DataFrame, cluster: str = "KMeans_Cluster", measure: s
     return summary.select(cluster, F.floor(rank + (ties - 1) / 2).cast("int").alias("Cluster_Rank"))
 
 
+def with_cluster_rank(clustered: DataFrame, ranks: DataFrame, cluster: str = "KMeans_Cluster") -> DataFrame:
+    """Each customer with the rank of its cluster, null where ``ranks`` lacks the cluster."""
+    # One rank per cluster: k rows.
+    return clustered.join(F.broadcast(ranks), cluster, "left")
+
+
 def kmeans_segments(
     customers: DataFrame,
     clusters: int = 5,
@@ -117,11 +123,8 @@ def kmeans_segments(
     vectors = _vectors(customers, features)
     model = _fit_starts(vectors, [clusters], starts, seed, max_iter, parallelism, tol)[clusters]
     assigned = model.transform(vectors).drop(_VECTOR)
-    ranks = cluster_rank(cluster_summary(assigned, features))
-    # One rank per cluster: k rows.
-    return assigned.join(F.broadcast(ranks), "KMeans_Cluster", "left").select(
-        *customers.columns, "KMeans_Cluster", "Cluster_Rank"
-    ), model
+    ranked = with_cluster_rank(assigned, cluster_rank(cluster_summary(assigned, features)))
+    return ranked.select(*customers.columns, "KMeans_Cluster", "Cluster_Rank"), model
 
 
 def silhouette_by_k(

@@ -244,6 +244,20 @@ reached AS (SELECT v AS id, min(n) AS n FROM {pairs} JOIN numbered ON u = id GRO
 SELECT CustomerID, CAST(coalesce(m.n, r.n, -1) AS INT) AS DBSCAN_Cluster
 FROM {table} LEFT JOIN numbered m ON m.id = CustomerID LEFT JOIN reached r ON r.id = CustomerID"""
 
+# Shapley values of the two fixed trees by all eight subsets of known inputs.
+SHAPLEY = """
+WITH known AS (SELECT i, i & 1 > 0 AS r, i & 2 > 0 AS f, i & 4 > 0 AS m, bit_count(i) AS size FROM range(8) AS t(i)),
+inner_nodes AS (SELECT CustomerID, Recency, Frequency, Monetary, known.*,
+    CASE WHEN NOT f THEN (25 * 0.3::DOUBLE + 15 * 0.1::DOUBLE) / 40 WHEN Frequency <= 3 THEN 0.3::DOUBLE ELSE 0.1::DOUBLE END AS near,
+    CASE WHEN NOT r THEN (9 * 0.4::DOUBLE + 6 * 0.8::DOUBLE) / 15 WHEN Recency <= 200 THEN 0.4::DOUBLE ELSE 0.8::DOUBLE END AS rich,
+    CASE WHEN NOT f THEN (60 * 0.25::DOUBLE - 20 * 0.5::DOUBLE) / 80 WHEN Frequency <= 5 THEN 0.25::DOUBLE ELSE -0.5::DOUBLE END AS other
+  FROM rfm, known),
+far AS (SELECT *, CASE WHEN NOT m THEN (45 * 0.9::DOUBLE + 15 * rich) / 60 WHEN Monetary <= 500000 THEN 0.9::DOUBLE ELSE rich END AS far FROM inner_nodes),
+tree AS (SELECT *, other + CASE WHEN NOT r THEN (40 * near + 60 * far) / 100 WHEN Recency <= 60 THEN near ELSE far END AS v FROM far),
+weighed AS (SELECT *, CASE WHEN size IN (0, 2) THEN 1 / 3::DOUBLE WHEN size = 1 THEN 1 / 6::DOUBLE END AS without,
+                   CASE WHEN size IN (1, 3) THEN 1 / 3::DOUBLE WHEN size = 2 THEN 1 / 6::DOUBLE END AS within FROM tree)
+"""
+
 TX_COLUMNS = "CustomerID, InvoiceNo, StockCode, Quantity, InvoiceDate, CAST(UnitPrice AS DOUBLE) AS UnitPrice, Country"
 CLEAN_COLUMNS = TX_COLUMNS + ", CAST(Revenue AS DOUBLE) AS Revenue"
 NOT_CANCELLED = "NOT coalesce(starts_with(InvoiceNo, 'C'), false)"
@@ -430,6 +444,11 @@ SELECT KMeans_Cluster, CAST(floor(r + (ties - 1) / 2) AS INT) AS Cluster_Rank
 FROM (SELECT *, count(*) OVER (PARTITION BY m) AS ties
       FROM (SELECT KMeans_Cluster, m, rank() OVER (ORDER BY m DESC) AS r
             FROM (SELECT KMeans_Cluster, floor(avg(Monetary) / 20000) AS m FROM clustered GROUP BY KMeans_Cluster)))""",
+    "J2_cluster_rank_lookup": """
+SELECT CustomerID, KMeans_Cluster, CAST(Cluster_Rank AS INT) AS Cluster_Rank
+FROM clustered LEFT JOIN (SELECT KMeans_Cluster, rank() OVER (ORDER BY avg(Monetary) DESC) AS Cluster_Rank
+                          FROM clustered GROUP BY KMeans_Cluster) AS ranks USING (KMeans_Cluster)
+WHERE KMeans_Cluster <> 3 UNION ALL SELECT CustomerID, KMeans_Cluster, NULL FROM clustered WHERE KMeans_Cluster = 3""",
     "W8_fixed_bins": "SELECT CustomerID, Churn_Probability, Churn_Risk_Tier FROM tiers",
     "W9_quantile_tiers": "SELECT CustomerID, Predicted_LTV, LTV_Tier FROM tiers",
     "W10_share_of_total": """
@@ -530,22 +549,19 @@ SELECT CustomerID, Churn_Probability, Churn_Predicted, Churn_Risk_Tier FROM tier
     "M14_score_ltv": """
 SELECT CustomerID, round(ln(1 + Predicted_LTV), 6) AS Predicted_LTV_Log, round(Predicted_LTV, 4) AS Predicted_LTV, LTV_Tier
 FROM tiers""",
-    "M16_shap_fixed_trees": """
-WITH known AS (SELECT i, i & 1 > 0 AS r, i & 2 > 0 AS f, i & 4 > 0 AS m, bit_count(i) AS size FROM range(8) AS t(i)),
-inner_nodes AS (SELECT CustomerID, Recency, Frequency, Monetary, known.*,
-    CASE WHEN NOT f THEN (25 * 0.3::DOUBLE + 15 * 0.1::DOUBLE) / 40 WHEN Frequency <= 3 THEN 0.3::DOUBLE ELSE 0.1::DOUBLE END AS near,
-    CASE WHEN NOT r THEN (9 * 0.4::DOUBLE + 6 * 0.8::DOUBLE) / 15 WHEN Recency <= 200 THEN 0.4::DOUBLE ELSE 0.8::DOUBLE END AS rich,
-    CASE WHEN NOT f THEN (60 * 0.25::DOUBLE - 20 * 0.5::DOUBLE) / 80 WHEN Frequency <= 5 THEN 0.25::DOUBLE ELSE -0.5::DOUBLE END AS other
-  FROM rfm, known),
-far AS (SELECT *, CASE WHEN NOT m THEN (45 * 0.9::DOUBLE + 15 * rich) / 60 WHEN Monetary <= 500000 THEN 0.9::DOUBLE ELSE rich END AS far FROM inner_nodes),
-tree AS (SELECT *, other + CASE WHEN NOT r THEN (40 * near + 60 * far) / 100 WHEN Recency <= 60 THEN near ELSE far END AS v FROM far),
-weighed AS (SELECT *, CASE WHEN size IN (0, 2) THEN 1 / 3::DOUBLE WHEN size = 1 THEN 1 / 6::DOUBLE END AS without,
-                   CASE WHEN size IN (1, 3) THEN 1 / 3::DOUBLE WHEN size = 2 THEN 1 / 6::DOUBLE END AS within FROM tree)
-SELECT CustomerID, round(max(CASE WHEN i = 0 THEN v END), 6) AS base_value, round(max(CASE WHEN i = 7 THEN v END), 6) AS margin,
+    "M16_shap_fixed_trees": SHAPLEY
+    + """SELECT CustomerID, round(max(CASE WHEN i = 0 THEN v END), 6) AS base_value, round(max(CASE WHEN i = 7 THEN v END), 6) AS margin,
        round(sum(CASE WHEN r THEN within * v ELSE -without * v END), 6) AS "shap_Recency",
        round(sum(CASE WHEN f THEN within * v ELSE -without * v END), 6) AS "shap_Frequency",
        round(sum(CASE WHEN m THEN within * v ELSE -without * v END), 6) AS "shap_Monetary"
 FROM weighed GROUP BY CustomerID""",
+    "T2_top_features_given": SHAPLEY
+    + """, each AS (
+  SELECT sum(CASE WHEN r THEN within * v ELSE -without * v END) AS a, sum(CASE WHEN f THEN within * v ELSE -without * v END) AS b,
+         sum(CASE WHEN m THEN within * v ELSE -without * v END) AS c FROM weighed GROUP BY CustomerID),
+means AS (SELECT 'Recency' AS feature, avg(abs(a)) AS s FROM each UNION ALL SELECT 'Frequency', avg(abs(b)) FROM each
+          UNION ALL SELECT 'Monetary', avg(abs(c)) FROM each)
+SELECT feature, round(s, 4) AS mean_abs_shap FROM means ORDER BY s DESC, feature LIMIT 2""",
     "L1_rfm_t_summary": "SELECT CustomerID, frequency, recency, T, round(monetary_value, 4) AS monetary_value FROM summary",
     "L2_returning_customers": """
 SELECT CustomerID, frequency, recency, T, round(monetary_value, 4) AS monetary_value FROM summary WHERE frequency > 0""",

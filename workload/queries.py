@@ -398,6 +398,14 @@ def cluster_rank(spark, folder):
     return clustering.cluster_rank(coarse)
 
 
+@register("J2_cluster_rank_lookup")
+def cluster_rank_lookup(spark, folder):
+    """Ranks of all given clusters but one, looked up for every customer."""
+    given = _given_clusters(spark, folder)
+    ranks = clustering.cluster_rank(clustering.cluster_summary(given)).filter("KMeans_Cluster <> 3")
+    return clustering.with_cluster_rank(given, ranks).select(CUSTOMER, "KMeans_Cluster", "Cluster_Rank")
+
+
 @register("W8_fixed_bins")
 def fixed_bins(spark, folder):
     scores = churn.with_churn_scores(inputs.rule_scores(spark, folder))
@@ -802,6 +810,14 @@ def shap_fixed_trees(spark, folder):
     return rounded(values, {6: "base_value margin shap_Recency shap_Frequency shap_Monetary"})
 
 
+@register("T2_top_features_given")
+def top_features_given(spark, folder):
+    """The two inputs that move the margin of the fixed trees most."""
+    trees = [attribution.Tree.of(nodes) for nodes in FIXED_TREES]
+    values = attribution.shap_of_trees(inputs.customer_rfm(spark, folder), trees, RFM)
+    return rounded(attribution.shap_importance(values, top=2), {4: "mean_abs_shap"})
+
+
 @register("M16_shap_importance")
 def shap_importance(spark, folder):
     """The 15 inputs that move the fitted forest's churn probability most."""
