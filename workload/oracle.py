@@ -258,6 +258,20 @@ weighed AS (SELECT *, CASE WHEN size IN (0, 2) THEN 1 / 3::DOUBLE WHEN size = 1
                    CASE WHEN size IN (1, 3) THEN 1 / 3::DOUBLE WHEN size = 2 THEN 1 / 6::DOUBLE END AS within FROM tree)
 """
 
+DESCRIBE = """
+SELECT count(*) AS count, round_even(avg(v) * 100e0, 0) / 100e0 AS mean, round_even(stddev_samp(v) * 100e0, 0) / 100e0 AS std,
+       round_even(min(v) * 100e0, 0) / 100e0 AS min, round_even(quantile_cont(v, 0.25) * 100e0, 0) / 100e0 AS p25,
+       round_even(quantile_cont(v, 0.5) * 100e0, 0) / 100e0 AS p50,
+       round_even(quantile_cont(v, 0.75) * 100e0, 0) / 100e0 AS p75, round_even(max(v) * 100e0, 0) / 100e0 AS max
+FROM (SELECT {value} AS v FROM {table})"""
+
+# Expected profit of twelve discounted months at fixed parameters.
+LTV_12M = """
+SELECT CustomerID, round(sum(step * 101e-2 ** (-h / 30)) * any_value(6 * (15000 + x * monetary_value) / (6 * x + 3)), 4)
+         AS LTV_12m
+FROM (SELECT *, purchases - lag(purchases, 1, 0) OVER (PARTITION BY CustomerID ORDER BY h) AS step FROM until WHERE h < 365)
+GROUP BY CustomerID"""
+
 TX_COLUMNS = "CustomerID, InvoiceNo, StockCode, Quantity, InvoiceDate, CAST(UnitPrice AS DOUBLE) AS UnitPrice, Country"
 CLEAN_COLUMNS = TX_COLUMNS + ", CAST(Revenue AS DOUBLE) AS Revenue"
 NOT_CANCELLED = "NOT coalesce(starts_with(InvoiceNo, 'C'), false)"
@@ -399,12 +413,8 @@ SELECT R_Score, round(avg(Monetary) FILTER (F_Score = 1), 4) AS F1, round(avg(Mo
        round(avg(Monetary) FILTER (F_Score = 3), 4) AS F3, round(avg(Monetary) FILTER (F_Score = 4), 4) AS F4,
        round(avg(Monetary) FILTER (F_Score = 5), 4) AS F5
 FROM scored GROUP BY R_Score""",
-    "A12_ltv_describe": """
-SELECT count(*) AS count, round_even(avg(v) * 100e0, 0) / 100e0 AS mean, round_even(stddev_samp(v) * 100e0, 0) / 100e0 AS std,
-       round_even(min(v) * 100e0, 0) / 100e0 AS min, round_even(quantile_cont(v, 0.25) * 100e0, 0) / 100e0 AS p25,
-       round_even(quantile_cont(v, 0.5) * 100e0, 0) / 100e0 AS p50,
-       round_even(quantile_cont(v, 0.75) * 100e0, 0) / 100e0 AS p75, round_even(max(v) * 100e0, 0) / 100e0 AS max
-FROM (SELECT Predicted_LTV AS v FROM rules)""",
+    "A12_ltv_describe": DESCRIBE.format(value="Predicted_LTV", table="rules"),
+    "A12_ltv_describe_12m": DESCRIBE.format(value="LTV_12m", table=f"({LTV_12M})"),
     "A13_churn_rate": """
 SELECT round(avg(Churned), 6) AS churn_rate, sum(Churned)::BIGINT AS churned, count(*) AS customers FROM labels_90""",
     "A14_churn_labels": "SELECT CustomerID, Churned FROM labels_90",
@@ -592,11 +602,7 @@ SELECT CustomerID, round(purchases, 6) AS predicted_purchases_12m FROM until WHE
     "L7_expected_avg_profit": """
 SELECT CustomerID, round(6 * (15000 + frequency * monetary_value) / (6 * frequency + 4 - 1), 4) AS expected_avg_profit
 FROM summary""",
-    "L8_ltv_12m": """
-SELECT CustomerID, round(sum(step * 101e-2 ** (-h / 30)) * any_value(6 * (15000 + x * monetary_value) / (6 * x + 3)), 4)
-         AS LTV_12m
-FROM (SELECT *, purchases - lag(purchases, 1, 0) OVER (PARTITION BY CustomerID ORDER BY h) AS step FROM until WHERE h < 365)
-GROUP BY CustomerID""",
+    "L8_ltv_12m": LTV_12M,
     "W6_random_split": """
 SELECT CustomerID, CAST(row_number() OVER (ORDER BY md5(concat(CustomerID, ':42')), CustomerID)
                         <= ceil(CAST(0.2 AS DOUBLE) * count(*) OVER ()) AS INT) AS is_test FROM rfm""",

@@ -30,7 +30,7 @@ from patronlens.operators import (
 from patronlens.operators.silhouette import euclidean_silhouette
 from patronlens.plans import lifetime, retention
 from patronlens.schema import CUSTOMER, RFM
-from patronlens.session import scratch_path
+from patronlens.session import materialize, scratch_path
 from patronlens.sources import runlog, transactions
 from patronlens.sources.star import event_transactions, star_transactions, table
 from workload import inputs
@@ -708,6 +708,11 @@ def ltv_12m(spark, folder):
     return rounded(scored.select(CUSTOMER, "LTV_12m"), {4: "LTV_12m"})
 
 
+@register("A12_ltv_describe_12m")
+def ltv_describe_12m(spark, folder):
+    return ltv.ltv_describe(materialize(ltv_12m(spark, folder)))
+
+
 @register("L8_lifetime_value_fitted")
 def lifetime_value_fitted(spark, folder):
     return buytilldie.lifetime_value(inputs.clean(spark, folder))[0]
