@@ -44,12 +44,18 @@ class _Grid:
         self.side = eps / sqrt(dimensions) * (1.0 - 1e-9)
         self.dimensions = dimensions
 
-    def offsets(self) -> list[tuple[int, ...]]:
+    def rings(self) -> list[tuple[int, int]]:
+        """Squared gaps between cells, in sides, as (above, up to): cells that touch first, the last in reach at the end."""
+        listed = self.dimensions <= LISTED_AXES
+        ends = sorted({0, self.dimensions} if listed else {0, self.dimensions // 3, self.dimensions})
+        return list(zip([-1, *ends], ends))
+
+    def offsets(self, ring: tuple[int, int]) -> list[tuple[int, ...]]:
         reach = int(sqrt(self.dimensions)) + 1
         return [
             o
             for o in product(range(-reach, reach + 1), repeat=self.dimensions)
-            if sum(max(abs(i) - 1, 0) ** 2 for i in o) <= self.dimensions
+            if ring[0] < sum(max(abs(i) - 1, 0) ** 2 for i in o) <= ring[1]
         ]
 
     def cell(self, level: int) -> Column:
@@ -68,34 +74,48 @@ class _Grid:
     def box_columns(self) -> list[str]:
         return [f"{side}{i}" for side in ("lo", "hi") for i in self.axes]
 
-    def neighbours(self, cells: DataFrame, others: DataFrame) -> DataFrame:
-        """Pairs of a cell and another one in reach (itself included), with the other's box.
+    def neighbours(self, cells: DataFrame, others: DataFrame, ring: tuple[int, int] | None = None) -> DataFrame:
+        """Pairs of a cell and another one in reach (itself included) or in the given ring, with the other's box.
 
         With few axes each cell asks for its offsets, a fixed number of keys of the
         other table; with more, ``_walk`` meets only cells that are not empty.
         """
+        ring = ring or (-1, self.dimensions)
         if self.dimensions > LISTED_AXES:
-            asked = self._walk(cells, others)
+            asked = self._walk(cells, others.select(F.col("node").alias("cell")), ring)
         else:
-            shifts = F.array(*[F.array(*[F.lit(i).cast("bigint") for i in o]) for o in self.offsets()])
-            asked = cells.select("cell", F.explode(shifts).alias("_shift")).select(
-                "cell", F.array(*[F.col("cell")[i] + F.col("_shift")[i] for i in self.axes]).alias("node")
-            )
+            asked = self._listed(cells, ring)
         return asked.join(others.select("node", "k", "weight", *self.box_columns()), "node")
 
-    def _walk(self, cells: DataFrame, others: DataFrame) -> DataFrame:
-        """Pairs (cell, node) whose cells are at most eps apart, by descending two trees side by side.
+    def apart(self, cells: DataFrame, ring: tuple[int, int]) -> DataFrame:
+        """Pairs (cell, node) of ``cells`` (cell, part) in the ring that are of different parts, each pair once."""
+        if self.dimensions > LISTED_AXES:
+            return self._walk(cells, None, ring)
+        sides = cells.select(F.col("cell").alias("node"), F.col("part").alias("_part"))
+        met = self._listed(cells, ring).join(cells, "cell").join(sides, "node")
+        return met.filter((F.col("cell") < F.col("node")) & (F.col("part") != F.col("_part"))).select("cell", "node")
+
+    def _listed(self, cells: DataFrame, ring: tuple[int, int]) -> DataFrame:
+        shifts = F.array(*[F.array(*[F.lit(i).cast("bigint") for i in o]) for o in self.offsets(ring)])
+        return cells.select("cell", F.explode(shifts).alias("_shift")).select(
+            "cell", F.array(*[F.col("cell")[i] + F.col("_shift")[i] for i in self.axes]).alias("node")
+        )
+
+    def _walk(self, cells: DataFrame, others: DataFrame | None, ring: tuple[int, int]) -> DataFrame:
+        """Pairs (cell, node) whose cells lie in the ring, by descending two trees side by side.
 
         A node of a tree is a block of cells; a step halves the blocks along the
         axes on which they are longest, and keeps the pairs of children that
         hold cells and whose tight bounds come within reach. All is whole-number
-        arithmetic on the places of cells.
+        arithmetic on the places of cells. Without ``others`` the cells meet themselves,
+        each pair once, and pairs of blocks that are both of one and the same ``part`` end there.
         """
-        cells = materialize(cells.select("cell"))
-        others = materialize(others.select(F.col("node").alias("cell")))
+        within = others is None
+        cells = materialize(cells.select("cell", "part") if within else cells.select("cell"))
+        others = cells if within else materialize(others)
         place = [F.col("cell")[i] for i in self.axes]
         span = (
-            cells.unionByName(others)
+            cells.select("cell").unionByName(others.select("cell"))
             .agg(
                 F.array(*[F.coalesce(F.min(p), F.lit(0)) for p in place]).alias("low"),
                 F.array(*[F.coalesce(F.max(p), F.lit(0)) for p in place]).alias("high"),
@@ -111,6 +131,7 @@ class _Grid:
             return table.groupBy(block(parent).alias(side), block(child).alias(f"{side}_child")).agg(
                 *[F.min(p).alias(f"{side}lo{i}") for i, p in enumerate(place)],
                 *[F.max(p).alias(f"{side}hi{i}") for i, p in enumerate(place)],
+                *([F.min("part").alias(f"{side}_first"), F.max("part").alias(f"{side}_last")] if within else []),
             )
 
         # Between the cells themselves lies one side less than between their places.
@@ -118,7 +139,13 @@ class _Grid:
             F.greatest(F.col(f"alo{i}") - F.col(f"bhi{i}"), F.col(f"blo{i}") - F.col(f"ahi{i}"), F.lit(1)) - 1
             for i in self.axes
         ]
-        in_reach = sum((g.cast("double") * g for g in gaps), F.lit(0.0)) <= self.dimensions
+        gap = sum((g.cast("double") * g for g in gaps), F.lit(0.0))
+        kept = gap <= ring[1]
+        if within:
+            one_part = (F.col("a_first") == F.col("a_last")) & (F.col("b_first") == F.col("b_last"))
+            kept = kept & ~(one_part & (F.col("a_first") == F.col("b_first")))
+            # Children of a block paired with itself come in both orders, all others in one.
+            kept = kept & ((F.col("a") != F.col("b")) | (F.col("a_child") <= F.col("b_child")))
         root = F.array(*[F.lit(0).cast("bigint") for _ in self.axes])
         pairs = cells.sparkSession.range(1).select(root.alias("a"), root.alias("b"))
         while True:
@@ -127,7 +154,7 @@ class _Grid:
             pairs = materialize(
                 pairs.join(children(cells, "a", shifts, halved), "a")
                 .join(children(others, "b", shifts, halved), "b")
-                .filter(in_reach)
+                .filter(kept if any(halved) else kept & (gap > ring[0]))
                 .select(F.col("a_child").alias("a"), F.col("b_child").alias("b"))
             )
             shifts = halved
@@ -203,12 +230,13 @@ def _hits(grid: _Grid, queries: DataFrame, near: DataFrame, points: DataFrame, e
         frontier = deep.withColumnRenamed("node", "parent").join(grid.boxes(points, level), "parent")
 
 
-def _edges(grid: _Grid, points: DataFrame, cells: DataFrame) -> DataFrame:
-    """Pairs (a, b) of cells, a < b, that hold a pair of points within eps."""
+def _edges(grid: _Grid, points: DataFrame, cells: DataFrame, near: DataFrame) -> DataFrame:
+    """Those pairs (a, b) of the cells (cell, node) of ``near`` that hold a pair of points within eps."""
     first = cells.select(
         F.col("node").alias("cell"), F.col("k").alias("ak"), *[F.col(c).alias(f"a{c}") for c in grid.box_columns()]
     )
-    pairs = grid.neighbours(first.select("cell"), cells).filter(F.col("cell") < F.col("node")).join(first, "cell")
+    boxes = cells.select("node", "k", *grid.box_columns())
+    pairs = near.filter(F.col("cell") != F.col("node")).join(boxes, "node").join(first, "cell")
     frontier = pairs.withColumns({"a": F.col("cell"), "b": F.col("node"), "na": F.col("cell")})
     low = [F.col(f"alo{i}") for i in grid.axes]
     high = [F.col(f"ahi{i}") for i in grid.axes]
@@ -302,14 +330,20 @@ def _core_points(grid: _Grid, points: DataFrame, cells: DataFrame, min_samples:
     placed = points.withColumn("cell", grid.cell(0)).join(weights, "cell")
     crowded = F.col("cell_weight") >= min_samples
     sparse = placed.filter(~crowded).select(
-        "pid", "cell", *[F.col(f"x{i}").alias(f"q{i}") for i in grid.axes]
-    )
-    asking = cells.filter(F.col("weight") < min_samples).select(F.col("node").alias("cell"))
-    near = grid.neighbours(asking, cells)
-    weight = _hits(grid, sparse, near, points, min_samples).groupBy("pid").agg(F.sum("weight").alias("_near"))
-    flagged = placed.join(weight, "pid", "left").withColumn(
-        "core", crowded | (F.coalesce("_near", F.lit(0)) >= min_samples)
+        "pid", "cell", *[F.col(f"x{i}").alias(f"q{i}") for i in grid.axes], F.lit(0).cast("bigint").alias("_near")
     )
+    # Ring by ring, so that only points still short of neighbours look at the many cells farther away.
+    cored: list[DataFrame] = []
+    for ring in grid.rings():
+        sparse = materialize(sparse)
+        near = grid.neighbours(sparse.select("cell").distinct(), cells, ring)
+        weight = _hits(grid, sparse.drop("_near"), near, points, min_samples).groupBy("pid").agg(F.sum("weight").alias("_more"))
+        summed = sparse.join(weight, "pid", "left").withColumn("_near", F.col("_near") + F.coalesce("_more", F.lit(0)))
+        summed = materialize(summed.drop("_more"))
+        cored.append(summed.filter(F.col("_near") >= min_samples).select("pid"))
+        sparse = summed.filter(F.col("_near") < min_samples)
+    found = _union(cored).withColumn("_found", F.lit(True))
+    flagged = placed.join(found, "pid", "left").withColumn("core", crowded | F.coalesce("_found", F.lit(False)))
     return materialize(flagged.select(*points.columns, "cell", "core"))
 
 
@@ -364,18 +398,20 @@ def dbscan_outliers(
 
     # A cell stands for all its core points; its name is their smallest id.
     names = materialize(core.groupBy(F.col("cell").alias("node")).agg(F.min("pid").alias("v")))
-    touching = (
-        _edges(grid, core, core_cells)
-        .join(names.select(F.col("node").alias("a"), F.col("v").alias("u")), "a")
-        .join(names.select(F.col("node").alias("b"), "v"), "b")
-        .select("u", "v")
-    )
-    components = connected_components(names.select("v"), touching)
-    numbers = global_rank(components.select("label").distinct(), ["label"], "_number")
+    # Cells that touch mostly connect what belongs together; farther ones matter only between parts still separate.
+    parts = names.select(F.col("node").alias("cell"), F.col("v").alias("part"))
+    for ring in grid.rings():
+        touching = (
+            _edges(grid, core, core_cells, grid.apart(parts, ring))
+            .join(parts.select(F.col("cell").alias("a"), F.col("part").alias("u")), "a")
+            .join(parts.select(F.col("cell").alias("b"), F.col("part").alias("v")), "b")
+            .select("u", "v")
+        )
+        components = connected_components(parts.select(F.col("part").alias("v")).distinct(), touching)
+        parts = materialize(parts.withColumnRenamed("part", "v").join(components, "v").select("cell", F.col("label").alias("part")))
+    numbers = global_rank(parts.select("part").distinct(), ["part"], "_number")
     clusters = materialize(
-        names.join(components, "v")
-        .join(numbers, "label")
-        .select("node", (F.col("_number") - 1).cast("int").alias("cluster"))
+        parts.join(numbers, "part").select(F.col("cell").alias("node"), (F.col("_number") - 1).cast("int").alias("cluster"))
     )
 
     rest = flagged.filter(~F.col("core")).select(

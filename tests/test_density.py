@@ -102,6 +102,31 @@ def test_walk_finds_the_pairs_of_listed_offsets(spark, monkeypatch):
     assert grid.neighbours(cells.limit(1), others.limit(1)).count() == 1
 
 
+def test_far_pairs_are_walked_only_where_they_matter(spark, monkeypatch):
+    """In one dense crowd of six axes nearly all pairs of cells are in reach; few of them are ever written."""
+    rng = np.random.default_rng(12)
+    names = [f"f{i}" for i in range(6)]
+    pdf = pd.DataFrame(np.r_[rng.normal(0, 1, (600, 6)) * 0.05, np.eye(6) * 3, -np.eye(6) * 3], columns=names)
+    pdf["CustomerID"] = [f"C{i:04d}" for i in rng.permutation(len(pdf))]
+    eps = 0.55
+    labels, core = brute(pdf, names, eps, 5)
+    assert 500 < sum(core.values()) < len(pdf)
+    x = pdf[names].to_numpy()
+    cells = len(np.unique(np.floor((x - x.mean(0)) / x.std(0) / (eps / 6**0.5)), axis=0))
+    sizes = []
+    write = density.materialize
+
+    def counted(df):
+        made = write(df)
+        sizes.append(made.count())
+        return made
+
+    monkeypatch.setattr(density, "materialize", counted)
+    got = density.dbscan_outliers(spark.createDataFrame(pdf).repartition(4), eps, 5, names).collect()
+    assert {r.CustomerID: r.DBSCAN_Cluster for r in got} == labels
+    assert cells > 150 and max(sizes) < 60 * cells, (cells, max(sizes))
+
+
 def test_components_of_a_long_chain(spark):
     n = 200
     names = [f"v{i:04d}" for i in np.random.default_rng(5).permutation(n)]
