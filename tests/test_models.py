@@ -217,3 +217,20 @@ def test_customer_tables_never_meet_in_one_partition(spark, tiny):
             assert "_size" in node, node
     ranked = ranking.global_rank(spark.range(10), ["id"], "r")
     assert isinstance(ranked.toPandas(), pd.DataFrame)
+
+
+def test_fits_do_not_depend_on_the_partitions_of_the_session(spark, made):
+    """Small tables are fitted in few partitions, however many the session shuffles to."""
+    assert [estimators.partitions_for(n) for n in (0, 1, 4096, 4097, 65536, 6_553_600)] == [1, 1, 1, 2, 4, 40]
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    found = {}
+    for parts in (usual, "3"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            training = lifetime.fit_value_models(made, ("RandomForest", "SampledBoosting"), sizes=SMALL)
+            found[parts] = training.predictions.orderBy("model", "CustomerID").collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", usual)
+    assert list(training.models) == ["RandomForest", "SampledBoosting"]
+    assert [tuple(r)[:3] for r in found[usual]] == [tuple(r)[:3] for r in found["3"]]
+    assert [r.prediction for r in found[usual]] == pytest.approx([r.prediction for r in found["3"]], rel=1e-9)
