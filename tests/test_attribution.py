@@ -2,6 +2,7 @@ from itertools import combinations
 from math import factorial
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -112,3 +113,13 @@ def test_missing_inputs_and_empty_tables(spark, table):
 def test_one_leaf_has_no_attribution(spark, table):
     got = shap_of_trees(table, [Tree.of([(-1, 0.0, -1, -1, 2.5, 10.0)])], ["a", "b"]).first()
     assert (got.base_value, got.margin, got.shap_a, got.shap_b) == (2.5, 2.5, 0.0, 0.0)
+
+
+def test_rows_of_small_batches_share_one_block(monkeypatch):
+    """The table of a leaf is made once for each block, so small Arrow batches are worked on together."""
+    monkeypatch.setattr(attribution, "BLOCK", 100)
+    batches = [pa.RecordBatch.from_pydict({"n": list(range(a, b))}) for a, b in ((0, 30), (30, 30), (30, 95), (95, 330), (330, 340))]
+    blocks = list(attribution._blocks(iter(batches)))
+    assert [b.num_rows for b in blocks] == [100, 100, 100, 40]
+    assert [n for b in blocks for n in b.column(0).to_pylist()] == list(range(340))
+    assert list(attribution._blocks(iter(batches[1:2]))) == []
