@@ -70,6 +70,7 @@ def _fit_starts(
             seed=seed + start,
             maxIter=max_iter,
             tol=tol,
+            solver="block",
             featuresCol=_VECTOR,
             predictionCol="KMeans_Cluster",
         )
