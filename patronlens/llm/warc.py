@@ -38,8 +38,15 @@ _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
 def base32_sha1(data: Column) -> Column:
-    """Upper-case base32 of the SHA-1 of binary ``data``: 32 signs of five bits each."""
-    digest = F.sha1(data)
+    """Upper-case base32 of the SHA-1 of binary ``data``."""
+    return base32(F.sha1(data))
+
+
+def base32(digest: Column) -> Column:
+    """Upper-case base32 of a SHA-1 in hexadecimal: 32 signs of five bits each.
+
+    ``digest`` is read for each sign; give a column that is computed already, not the digest of a long payload.
+    """
     # Five hexadecimal digits are four signs.
     quads = [F.conv(F.substring(digest, at, 5), 16, 10).cast("bigint") for at in range(1, 41, 5)]
     signs = F.lit(_BASE32)
@@ -50,6 +57,10 @@ def base32_sha1(data: Column) -> Column:
     ])
 
 
+def _payload() -> Column:
+    return F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
+
+
 def page_records(pages: DataFrame, least: int = 0) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to), one row per distinct page and payload.
 
@@ -57,19 +68,24 @@ def page_records(pages: DataFrame, least: int = 0) -> DataFrame:
     id is the response, the others revisit it; pages without an id come last. Null
     payloads count as empty.
     """
-    payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
-    rows = pages.select("page_id", utf8_length("html").alias("payload_bytes"), base32_sha1(payload).alias("payload_digest"))
+    return _decided(pages, least).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _decided(pages: DataFrame, least: int) -> DataFrame:
+    """``page_records`` with the digest in hexadecimal too, as ``sha1``."""
+    rows = pages.select("page_id", utf8_length("html").alias("payload_bytes"), F.sha1(_payload()).alias("sha1"))
     rows = materialize(rows.distinct())
     # Smaller payloads all stand for themselves and need no look-up.
-    firsts = rows.groupBy("payload_digest", "payload_bytes").agg(F.min("page_id").alias("_first"))
-    named = rows.join(firsts.filter(F.col("payload_bytes") >= least), ["payload_digest", "payload_bytes"], "left")
+    firsts = rows.groupBy("sha1", "payload_bytes").agg(F.min("page_id").alias("_first"))
+    named = rows.join(firsts.filter(F.col("payload_bytes") >= least), ["sha1", "payload_bytes"], "left")
     again = F.col("_first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_first"))
     return named.select(
         "page_id",
         "payload_bytes",
-        "payload_digest",
+        base32(F.col("sha1")).alias("payload_digest"),
         F.when(again, "revisit").otherwise("response").alias("record_type"),
         F.when(again, F.col("_first")).alias("refers_to"),
+        "sha1",
     )
 
 
@@ -126,12 +142,12 @@ def write_archives(pages: DataFrame, path: str, least: int = 0, size: int = CHUN
 
     Spark's own writer commits the files, so a lost or repeated task leaves none behind.
     """
-    decided = page_records(pages, least).withColumnsRenamed({"page_id": "_page", "payload_digest": "_digest"})
-    payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
-    rows = pages.select("page_id", F.col("url").cast("string").alias("url"), payload.alias("payload"))
-    rows = rows.withColumn("payload_digest", base32_sha1(F.col("payload")))
-    same = rows["page_id"].eqNullSafe(decided["_page"]) & (rows["payload_digest"] == decided["_digest"])
-    whole = rows.join(decided, same).drop("_page", "_digest")
+    decided = _decided(pages, least).withColumnsRenamed({"page_id": "_page", "sha1": "_sha1"})
+    rows = pages.select("page_id", F.col("url").cast("string").alias("url"), _payload().alias("payload"))
+    # One digest of each payload: the join's own checks would compute every sign of a base32 one anew.
+    rows = rows.withColumn("sha1", F.sha1("payload"))
+    same = rows["page_id"].eqNullSafe(decided["_page"]) & (rows["sha1"] == decided["_sha1"])
+    whole = rows.join(decided, same).drop("_page", "_sha1", "sha1")
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -102,3 +102,13 @@ def test_pages(spark, tiny):
 def test_no_pages(spark, pages, tmp_path):
     warc.write_archives(pages.limit(0), f"file://{tmp_path}/w")
     assert warc.read_records(spark, f"file://{tmp_path}/w").collect() == []
+
+
+def test_payloads_are_joined_by_one_plain_digest(pages):
+    """Both digests are of the same payload; rows are matched by the hexadecimal one, which costs one pass over it."""
+    html = {p.page_id: p.html or "" for p in pages.collect()}
+    found = warc._decided(pages, 0).collect()
+    assert {r.page_id for r in found} == set(html)
+    for r in found:
+        digest = hashlib.sha1(html[r.page_id].encode())
+        assert (r.sha1, r.payload_digest) == (digest.hexdigest(), base64.b32encode(digest.digest()).decode())
