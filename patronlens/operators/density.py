@@ -8,6 +8,7 @@ cell: a box wholly outside eps is dropped, a box wholly inside counts in full,
 and a box that is cut is split into halves per axis until it is small. Only
 boxes of at most ``LEAF`` points are ever compared point by point, so no join
 key collects more than a bounded number of rows, however crowded a cell is.
+Joins are merge joins where both tables grow with the points or cells: a broadcast would pass through the driver.
 """
 
 from __future__ import annotations
@@ -85,14 +86,14 @@ class _Grid:
             asked = self._walk(cells, others.select(F.col("node").alias("cell")), ring)
         else:
             asked = self._listed(cells, ring)
-        return asked.join(others.select("node", "k", "weight", *self.box_columns()), "node")
+        return asked.join(others.select("node", "k", "weight", *self.box_columns()).hint("merge"), "node")
 
     def apart(self, cells: DataFrame, ring: tuple[int, int]) -> DataFrame:
         """Pairs (cell, node) of ``cells`` (cell, part) in the ring that are of different parts, each pair once."""
         if self.dimensions > LISTED_AXES:
             return self._walk(cells, None, ring)
         sides = cells.select(F.col("cell").alias("node"), F.col("part").alias("_part"))
-        met = self._listed(cells, ring).join(cells, "cell").join(sides, "node")
+        met = self._listed(cells, ring).join(cells.hint("merge"), "cell").join(sides.hint("merge"), "node")
         return met.filter((F.col("cell") < F.col("node")) & (F.col("part") != F.col("_part"))).select("cell", "node")
 
     def _listed(self, cells: DataFrame, ring: tuple[int, int]) -> DataFrame:
@@ -152,8 +153,8 @@ class _Grid:
             longest = sorted(self.axes, key=lambda i: -shifts[i])[:HALVED_AT_ONCE]
             halved = [max(s - 1, 0) if i in longest else s for i, s in enumerate(shifts)]
             pairs = materialize(
-                pairs.join(children(cells, "a", shifts, halved), "a")
-                .join(children(others, "b", shifts, halved), "b")
+                pairs.join(children(cells, "a", shifts, halved).hint("merge"), "a")
+                .join(children(others, "b", shifts, halved).hint("merge"), "b")
                 .filter(kept if any(halved) else kept & (gap > ring[0]))
                 .select(F.col("a_child").alias("a"), F.col("b_child").alias("b"))
             )
@@ -197,7 +198,7 @@ def _hits(grid: _Grid, queries: DataFrame, near: DataFrame, points: DataFrame, e
     its weight is then only a lower bound.
     """
     at = [F.col(f"q{i}") for i in grid.axes]
-    frontier = queries.join(near, "cell").withColumn("root", F.col("node"))
+    frontier = queries.join(near.hint("merge"), "cell").withColumn("root", F.col("node"))
     found: list[DataFrame] = []
     level = 0
     while True:
@@ -214,7 +215,7 @@ def _hits(grid: _Grid, queries: DataFrame, near: DataFrame, points: DataFrame, e
         found.append(
             seen.filter(~F.col("_whole") & (F.col("k") <= LEAF))
             .select("pid", "root", "node", *at)
-            .join(located, "node")
+            .join(located.hint("merge"), "node")
             .filter(distance <= grid.eps2)
             .groupBy("pid", "root")
             .agg(F.sum("w").alias("weight"))
@@ -236,7 +237,7 @@ def _edges(grid: _Grid, points: DataFrame, cells: DataFrame, near: DataFrame) ->
         F.col("node").alias("cell"), F.col("k").alias("ak"), *[F.col(c).alias(f"a{c}") for c in grid.box_columns()]
     )
     boxes = cells.select("node", "k", *grid.box_columns())
-    pairs = near.filter(F.col("cell") != F.col("node")).join(boxes, "node").join(first, "cell")
+    pairs = near.filter(F.col("cell") != F.col("node")).join(boxes.hint("merge"), "node").join(first.hint("merge"), "cell")
     frontier = pairs.withColumns({"a": F.col("cell"), "b": F.col("node"), "na": F.col("cell")})
     low = [F.col(f"alo{i}") for i in grid.axes]
     high = [F.col(f"ahi{i}") for i in grid.axes]
@@ -253,7 +254,7 @@ def _edges(grid: _Grid, points: DataFrame, cells: DataFrame, near: DataFrame) ->
         )
         seen = materialize(seen)
         found.append(seen.filter("_whole").select("a", "b").distinct())
-        open_pairs = seen.join(found[-1], ["a", "b"], "left_anti")
+        open_pairs = seen.join(found[-1].hint("merge"), ["a", "b"], "left_anti")
         left = points.select(grid.cell(level).alias("na"), *[F.col(f"x{i}").alias(f"l{i}") for i in grid.axes])
         right = points.select(grid.cell(level).alias("nb"), *[F.col(f"x{i}").alias(f"r{i}") for i in grid.axes])
         apart = [F.col(f"l{i}") - F.col(f"r{i}") for i in grid.axes]
@@ -261,13 +262,13 @@ def _edges(grid: _Grid, points: DataFrame, cells: DataFrame, near: DataFrame) ->
         # At most LEAF comparisons per pair of small boxes.
         found.append(
             open_pairs.filter("_small")
-            .join(left, "na")
-            .join(right, "nb")
+            .join(left.hint("merge"), "na")
+            .join(right.hint("merge"), "nb")
             .filter(distance <= grid.eps2)
             .select("a", "b")
             .distinct()
         )
-        deep = materialize(open_pairs.filter(~F.col("_small")).join(found[-1], ["a", "b"], "left_anti"))
+        deep = materialize(open_pairs.filter(~F.col("_small")).join(found[-1].hint("merge"), ["a", "b"], "left_anti"))
         if deep.isEmpty():
             return _union(found).distinct()
         level += 1
@@ -288,13 +289,14 @@ def _edges(grid: _Grid, points: DataFrame, cells: DataFrame, near: DataFrame) ->
         )
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+def connected_components(vertices: DataFrame, edges: DataFrame, merged: bool = False) -> DataFrame:
     """Smallest vertex id of each vertex's component: (v, label).
 
     Randomised contraction (Boegeholz, Brand and Todor, 2019): in each round
     every vertex joins the one of lowest hash among itself and its neighbours,
     with a new hash each time. The vertices left shrink by a constant factor
-    per round whatever the shape of the graph, long chains included.
+    per round whatever the shape of the graph, long chains included. ``merged`` asks for merge joins, so that no
+    round's table passes through the driver.
     """
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     left = materialize(both.filter(F.col("u") != F.col("v")).distinct())
@@ -306,7 +308,8 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
             return F.struct(F.xxhash64(F.col(name), F.lit(seed)).alias("h"), F.col(name).alias("id"))
 
         lowest = left.groupBy("u").agg(F.min(priority("v")).alias("_low"))
-        step = materialize(lowest.select("u", F.least("_low", priority("u"))["id"].alias("to")))
+        lowered = materialize(lowest.select("u", F.least("_low", priority("u"))["id"].alias("to")))
+        step = lowered.hint("merge") if merged else lowered
         held = materialize(
             held.join(step.select(F.col("u").alias("label"), "to"), "label", "left").select(
                 "v", F.coalesce("to", "label").alias("label")
@@ -327,7 +330,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 def _core_points(grid: _Grid, points: DataFrame, cells: DataFrame, min_samples: int) -> DataFrame:
     """Points with a flag for enough weight within eps, themselves included."""
     weights = cells.select(F.col("node").alias("cell"), F.col("weight").alias("cell_weight"))
-    placed = points.withColumn("cell", grid.cell(0)).join(weights, "cell")
+    placed = points.withColumn("cell", grid.cell(0)).join(weights.hint("merge"), "cell")
     crowded = F.col("cell_weight") >= min_samples
     sparse = placed.filter(~crowded).select(
         "pid", "cell", *[F.col(f"x{i}").alias(f"q{i}") for i in grid.axes], F.lit(0).cast("bigint").alias("_near")
@@ -338,12 +341,12 @@ def _core_points(grid: _Grid, points: DataFrame, cells: DataFrame, min_samples:
         sparse = materialize(sparse)
         near = grid.neighbours(sparse.select("cell").distinct(), cells, ring)
         weight = _hits(grid, sparse.drop("_near"), near, points, min_samples).groupBy("pid").agg(F.sum("weight").alias("_more"))
-        summed = sparse.join(weight, "pid", "left").withColumn("_near", F.col("_near") + F.coalesce("_more", F.lit(0)))
+        summed = sparse.join(weight.hint("merge"), "pid", "left").withColumn("_near", F.col("_near") + F.coalesce("_more", F.lit(0)))
         summed = materialize(summed.drop("_more"))
         cored.append(summed.filter(F.col("_near") >= min_samples).select("pid"))
         sparse = summed.filter(F.col("_near") < min_samples)
     found = _union(cored).withColumn("_found", F.lit(True))
-    flagged = placed.join(found, "pid", "left").withColumn("core", crowded | F.coalesce("_found", F.lit(False)))
+    flagged = placed.join(found.hint("merge"), "pid", "left").withColumn("core", crowded | F.coalesce("_found", F.lit(False)))
     return materialize(flagged.select(*points.columns, "cell", "core"))
 
 
@@ -375,7 +378,7 @@ def dbscan_core(
     rows, points, axes = _weighted_points(customers, features, unique)
     grid = _Grid(eps, len(axes))
     flagged = _core_points(grid, points, materialize(grid.boxes(points)), min_samples)
-    return rows.join(flagged.select(*axes, "core"), axes).select("_row.*", F.col("core").alias("Is_Core"))
+    return rows.join(flagged.select(*axes, "core").hint("merge"), axes).select("_row.*", F.col("core").alias("Is_Core"))
 
 
 def dbscan_outliers(
@@ -403,12 +406,12 @@ def dbscan_outliers(
     for ring in grid.rings():
         touching = (
             _edges(grid, core, core_cells, grid.apart(parts, ring))
-            .join(parts.select(F.col("cell").alias("a"), F.col("part").alias("u")), "a")
-            .join(parts.select(F.col("cell").alias("b"), F.col("part").alias("v")), "b")
+            .join(parts.select(F.col("cell").alias("a"), F.col("part").alias("u")).hint("merge"), "a")
+            .join(parts.select(F.col("cell").alias("b"), F.col("part").alias("v")).hint("merge"), "b")
             .select("u", "v")
         )
-        components = connected_components(parts.select(F.col("part").alias("v")).distinct(), touching)
-        parts = materialize(parts.withColumnRenamed("part", "v").join(components, "v").select("cell", F.col("label").alias("part")))
+        components = connected_components(parts.select(F.col("part").alias("v")).distinct(), touching, merged=True)
+        parts = materialize(parts.withColumnRenamed("part", "v").join(components.hint("merge"), "v").select("cell", F.col("label").alias("part")))
     numbers = global_rank(parts.select("part").distinct(), ["part"], "_number")
     clusters = materialize(
         parts.join(numbers, "part").select(F.col("cell").alias("node"), (F.col("_number") - 1).cast("int").alias("cluster"))
@@ -420,12 +423,12 @@ def dbscan_outliers(
     near = grid.neighbours(rest.select("cell").distinct(), core_cells)
     border = (
         _hits(grid, rest, near, core, None)
-        .join(clusters.withColumnRenamed("node", "root"), "root")
+        .join(clusters.withColumnRenamed("node", "root").hint("merge"), "root")
         .groupBy("pid")
         .agg(F.min("cluster").alias("cluster"))
     )
-    inside = core.join(clusters.withColumnRenamed("node", "cell"), "cell").select("pid", "cluster")
-    labels = points.join(inside.unionByName(border), "pid", "left").select(
+    inside = core.join(clusters.withColumnRenamed("node", "cell").hint("merge"), "cell").select("pid", "cluster")
+    labels = points.join(inside.unionByName(border).hint("merge"), "pid", "left").select(
         *axes, F.coalesce("cluster", F.lit(NOISE)).alias("DBSCAN_Cluster")
     )
-    return rows.join(labels, axes).select("_row.*", "DBSCAN_Cluster")
+    return rows.join(labels.hint("merge"), axes).select("_row.*", "DBSCAN_Cluster")

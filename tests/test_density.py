@@ -127,6 +127,15 @@ def test_far_pairs_are_walked_only_where_they_matter(spark, monkeypatch):
     assert cells > 150 and max(sizes) < 60 * cells, (cells, max(sizes))
 
 
+def test_labels_are_not_broadcast(spark):
+    """Labels grow with the customers, so their joins do not pass through the driver, however small a table is."""
+    df = spark.createDataFrame(blobs("copies"))
+    for found in (density.dbscan_outliers(df, 0.3, 5, ["a", "b"]), density.dbscan_core(df, 0.3, 5, ["a", "b"])):
+        assert found.count() == 604
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_components_of_a_long_chain(spark):
     n = 200
     names = [f"v{i:04d}" for i in np.random.default_rng(5).permutation(n)]
