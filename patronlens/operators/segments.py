@@ -67,7 +67,11 @@ def segment_revenue(customers: DataFrame, segment: str = "Segment") -> DataFrame
 def ltv_by_segment(customers: DataFrame, segment: str = "Segment") -> DataFrame:
     """Mean, exact median and sum of the predicted value, by mean descending."""
     known = _known(customers, segment)
-    sums = known.groupBy(segment).agg(F.avg("Predicted_LTV").alias("_avg"), F.sum("Predicted_LTV").alias("_sum"))
+    # Added as decimals the sum does not depend on the order of the rows, which could move a mean that ends in half a cent.
+    value, exact = F.col("Predicted_LTV"), F.col("Predicted_LTV").try_cast("decimal(28,12)")
+    whole = F.count(exact) == F.count(value)
+    total = F.when(whole, F.sum(exact).cast("double")).otherwise(F.sum(value))
+    sums = known.groupBy(segment).agg((total / F.nullif(F.count(value), F.lit(0))).alias("_avg"), total.alias("_sum"))
     medians = exact_quantiles(known, "Predicted_LTV", {"_median": 0.5}, CUSTOMER, [segment], few_groups=True)
     return (
         sums.join(medians, segment, "left")
