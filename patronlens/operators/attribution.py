@@ -17,7 +17,7 @@ from math import factorial
 import numpy as np
 import pyarrow as pa
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from patronlens.functions.rounding import zero_if_missing
@@ -118,7 +118,7 @@ def shapley(tree: Tree, x: np.ndarray) -> np.ndarray:
     return out.T
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of ``BLOCK`` and a last one."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
@@ -133,28 +133,32 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.concat_batches(held)
 
 
+def saved_trees(stage) -> list[list[Row]]:
+    """The nodes of each tree of a fitted stage, by number, read from a saved copy; the driver holds as many as the model has."""
+    spark = SparkSession.getActiveSession()
+    path = scratch_path(spark, "trees")
+    stage.write().save(path)
+    trees: list[list[Row]] = [[] for _ in stage.treeWeights]
+    for n in spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").orderBy("treeID", "id").collect():
+        trees[n["treeID"]].append(n)
+    return trees
+
+
 def trees_of(model: PipelineModel) -> list[Tree]:
     """The trees of the last stage of ``model``, their values scaled so that they add up to its margin.
 
     The margin is the prediction of a regressor, the probability of class 1 of a forest of
-    classifiers, and the raw score of boosted classifiers. The model is read from a saved copy; the
-    driver holds its nodes, as many as the model has.
+    classifiers, and the raw score of boosted classifiers.
     """
-    from pyspark.sql import SparkSession
-
     stage = model.stages[-1]
     kind = type(stage).__name__
     if not hasattr(stage, "treeWeights"):
         raise ValueError(f"{kind} has no trees")
-    spark = SparkSession.getActiveSession()
-    path = scratch_path(spark, "trees")
-    stage.write().save(path)
-    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").orderBy("treeID", "id").collect()
     forest = "RandomForest" in kind
     classes = kind == "RandomForestClassificationModel"
     weights = stage.treeWeights
     rows: list[list[tuple]] = [[] for _ in weights]
-    for n in nodes:
+    for n in (n for nodes in saved_trees(stage) for n in nodes):
         stats, split = n["impurityStats"], n["split"]
         inner = n["leftChild"] >= 0
         if inner and split["numCategories"] >= 0:
@@ -178,7 +182,7 @@ def shap_of_trees(data: DataFrame, trees: Sequence[Tree], features: Sequence[str
     names = [unique, "base_value", "margin", *[f"shap_{f}" for f in features]]
 
     def explain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _blocks(batches):
+        for batch in blocks_of(batches):
             x = np.stack([batch.column(n + 1).to_numpy(zero_copy_only=False) for n in range(len(features))], axis=1)
             values, margin = np.zeros(x.shape), np.zeros(len(x))
             for tree in trees:

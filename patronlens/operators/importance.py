@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.ml import PipelineModel
@@ -9,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from patronlens.operators import permutation
 from patronlens.operators.estimators import model_features
 from patronlens.operators.metrics import roc_auc
 from patronlens.operators.ranking import global_rank
@@ -39,12 +41,32 @@ def feature_attribution(
 
     Permutation importance, not Shapley values. In each repeat every row gets a
     donor row: the row whose position by id equals the receiver's position by a
-    seeded hash, so the shuffle is one equi-join on unique positions. Each row
-    then appears once per feature, with that feature taken from its donor, and
-    all areas come from a single pass.
+    seeded hash, so the shuffle is one equi-join on unique positions. A forest for two classes
+    scores a row with each of its inputs exchanged in turn (``permutation``). For other models
+    each row appears once per feature, with that feature taken from its donor.
+    Either way all areas come from a single pass.
     """
     features = model_features(model)
     rows = data.select(unique, F.col(label).alias("label"), *features)
+    forest = permutation.forest_of(model)
+    if forest is None:
+        areas = _areas_of_variants(rows, model, features, repeats, seed, unique)
+    else:
+        areas = permutation.exchanged_areas(rows, model, forest, features, repeats, seed, unique)
+    intact = roc_auc(model.transform(rows).select("label", vector_to_array("probability")[1].alias("probability"))).scalar()
+    drop = intact - F.col("roc_auc")
+    return (
+        areas.groupBy("feature")
+        .agg(F.avg(drop).alias("auc_drop"), F.coalesce(F.stddev_samp(drop), F.lit(0.0)).alias("auc_drop_std"))
+        .orderBy(F.desc("auc_drop"), "feature")
+        .limit(top)
+    )
+
+
+def _areas_of_variants(
+    rows: DataFrame, model: PipelineModel, features: Sequence[str], repeats: int, seed: int, unique: str
+) -> DataFrame:
+    """(repeat, feature, roc_auc) for any model: each row once per feature and repeat, scored as a row of its own."""
     donors = global_rank(rows.select(unique, *features), [unique], "_position").select(
         "_position", F.struct(*features).alias("_donor")
     )
@@ -63,14 +85,5 @@ def feature_attribution(
         )
         return paired.select(F.lit(repeat).alias("repeat"), "label", F.inline(variants))
 
-    probability = vector_to_array("probability")[1].alias("probability")
     variants = model.transform(reduce(DataFrame.unionByName, [shuffled(i) for i in range(repeats)]))
-    areas = roc_auc(variants.select("repeat", "feature", "label", probability), by=["repeat", "feature"])
-    intact = roc_auc(model.transform(rows).select("label", probability)).scalar()
-    drop = intact - F.col("roc_auc")
-    return (
-        areas.groupBy("feature")
-        .agg(F.avg(drop).alias("auc_drop"), F.coalesce(F.stddev_samp(drop), F.lit(0.0)).alias("auc_drop_std"))
-        .orderBy(F.desc("auc_drop"), "feature")
-        .limit(top)
-    )
+    return roc_auc(variants.select("repeat", "feature", "label", vector_to_array("probability")[1].alias("probability")), by=["repeat", "feature"])

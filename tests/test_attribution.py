@@ -119,7 +119,7 @@ def test_rows_of_small_batches_share_one_block(monkeypatch):
     """The table of a leaf is made once for each block, so small Arrow batches are worked on together."""
     monkeypatch.setattr(attribution, "BLOCK", 100)
     batches = [pa.RecordBatch.from_pydict({"n": list(range(a, b))}) for a, b in ((0, 30), (30, 30), (30, 95), (95, 330), (330, 340))]
-    blocks = list(attribution._blocks(iter(batches)))
+    blocks = list(attribution.blocks_of(iter(batches)))
     assert [b.num_rows for b in blocks] == [100, 100, 100, 40]
     assert [n for b in blocks for n in b.column(0).to_pylist()] == list(range(340))
-    assert list(attribution._blocks(iter(batches[1:2]))) == []
+    assert list(attribution.blocks_of(iter(batches[1:2]))) == []
