@@ -7,7 +7,7 @@ from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 
 from patronlens.functions.rounding import zero_if_missing
 from patronlens.operators import mixture
-from patronlens.operators.silhouette import MEMBERS, euclidean_silhouette
+from patronlens.operators.estimators import partitions_for
+from patronlens.operators.kmeans import Clusters, fit_rounds
+from patronlens.operators.silhouette import euclidean_silhouette, euclidean_silhouettes
 from patronlens.schema import CUSTOMER, RFM
-from patronlens.session import for_iteration
+from patronlens.session import for_iteration, materialize
 
 SEED = 42
 #: A start of k-means ends when no centre moves by more deviations than this.
@@ -55,35 +57,29 @@ def _vectors(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 def _fit_starts(
     vectors: DataFrame, ks: Sequence[int], starts: int, seed: int, max_iter: int, parallelism: int, tol: float
-) -> dict[int, KMeansModel]:
-    """Per k, the model of lowest cost among several seeded starts, some fits at a time.
+) -> dict[int, Clusters]:
+    """Per k, the model of lowest cost among several seeded starts.
 
-    One fit on little data leaves a cluster idle between its iterations, so
-    several are submitted at once, as cross-validation does. A start stops when
-    no centre moves by more than ``tol`` deviations.
+    Spark's k-means draws the first centres, several fits at a time because one on little
+    data leaves a cluster idle. All models then take their rounds together; one ends
+    when no centre moves by more than ``tol`` deviations.
     """
 
-    def fit(task: tuple[int, int]) -> tuple[int, int, KMeansModel]:
+    def first(task: tuple[int, int]) -> list[np.ndarray]:
         k, start = task
-        estimator = KMeans(
-            k=k,
-            seed=seed + start,
-            maxIter=max_iter,
-            tol=tol,
-            solver="block",
-            featuresCol=_VECTOR,
-            predictionCol="KMeans_Cluster",
-        )
-        return k, start, estimator.fit(vectors)
-
-    vectors.count()  # fill the storage once, not in every thread
+        estimator = KMeans(k=k, seed=seed + start, maxIter=0, solver="block", featuresCol=_VECTOR)
+        return estimator.fit(vectors).clusterCenters()
+
+    rows = vectors.count()  # fill the storage once, not in every thread
     tasks = [(k, start) for k in ks for start in range(starts)]
     with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
-        fitted = pool.map(inheritable_thread_target(vectors.sparkSession)(fit), tasks)
-    best: dict[int, KMeansModel] = {}
-    for k, _, model in sorted(fitted, key=lambda f: f[:2]):
-        if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
-            best[k] = model
+        centres = pool.map(inheritable_thread_target(vectors.sparkSession)(first), tasks)
+    dealt = vectors.select(_VECTOR).repartition(partitions_for(rows))
+    fitted = fit_rounds(dealt, _VECTOR, dict(zip(tasks, map(np.array, centres), strict=True)), max_iter, tol)
+    best: dict[int, Clusters] = {}
+    for k, start in tasks:
+        if k not in best or fitted[k, start].cost < best[k].cost:
+            best[k] = fitted[k, start]
     return best
 
 
@@ -119,7 +115,7 @@ def kmeans_segments(
     max_iter: int = 300,
     parallelism: int = 8,
     tol: float = TOLERANCE,
-) -> tuple[DataFrame, KMeansModel]:
+) -> tuple[DataFrame, Clusters]:
     """Cluster and cluster rank (1 = highest mean monetary value) per customer, and the model."""
     vectors = _vectors(customers, features)
     model = _fit_starts(vectors, [clusters], starts, seed, max_iter, parallelism, tol)[clusters]
@@ -139,24 +135,30 @@ def silhouette_by_k(
     tol: float = TOLERANCE,
     squared: bool = False,
     unique: str = CUSTOMER,
-    members: int = MEMBERS,
+    members: int | None = None,
 ) -> DataFrame:
     """Silhouette per number of clusters and the error that sampling can add to it.
 
-    On plain Euclidean distance each customer is compared with at most
-    ``members`` of each cluster. ``squared`` takes squared distances instead,
-    which need only the sums of the clusters and have no error.
+    On plain Euclidean distance each customer is compared with all others, or with at most
+    ``members`` of each cluster where that is given. ``squared`` takes squared distances instead,
+    which need only the sums of the clusters.
     """
     vectors = _vectors(customers, features)
     models = _fit_starts(vectors, list(ks), starts, seed, max_iter, parallelism, tol)
-    scores = []
-    for k in ks:
-        clustered = models[k].transform(vectors)
-        if squared:
-            evaluator = ClusteringEvaluator(featuresCol=_VECTOR, predictionCol="KMeans_Cluster")
-            scores.append((k, float(evaluator.evaluate(clustered)), 0.0))
-        else:
-            scores.append((k, *euclidean_silhouette(clustered, vector_to_array(_VECTOR), "KMeans_Cluster", unique, members, seed)))
+    if squared:
+        evaluator = ClusteringEvaluator(featuresCol=_VECTOR, predictionCol="KMeans_Cluster")
+        scores = [(k, float(evaluator.evaluate(models[k].transform(vectors))), 0.0) for k in ks]
+    elif members is None:
+        placed = vectors.select(vector_to_array(_VECTOR).alias("_point"))
+        # Written, so that no later step takes the distances to the centres once more.
+        named = materialize(placed.select("_point", *[models[k].nearest(F.col("_point")).alias(f"k{k}") for k in ks]))
+        found = euclidean_silhouettes(named, F.col("_point"), [f"k{k}" for k in ks])
+        scores = [(k, *score) for k, score in zip(ks, found, strict=True)]
+    else:
+        point = vector_to_array(_VECTOR)
+        scores = [
+            (k, *euclidean_silhouette(models[k].transform(vectors), point, "KMeans_Cluster", unique, members, seed)) for k in ks
+        ]
     vectors.unpersist()
     return customers.sparkSession.createDataFrame(scores, "k int, silhouette double, error double")
 

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from patronlens.operators.silhouette import euclidean_silhouette
+from patronlens.operators import clustering, silhouette
+from patronlens.operators.silhouette import euclidean_silhouette, euclidean_silhouettes
 
 
 def brute(points, labels):
@@ -64,3 +65,50 @@ def test_edge_tables(spark):
     assert score(unassigned) == pytest.approx(score(df))
     same = spark.createDataFrame([(str(i), [1.0], i % 2) for i in range(6)], "CustomerID string, p array<double>, c int")
     assert score(same) == (0.0, 0.0)
+
+
+def test_every_member_counts(spark):
+    """More than 1,000 members a cluster, once the size of a sample."""
+    rng = np.random.default_rng(3)
+    labels = np.repeat([0, 1], [2600, 1400])
+    points = rng.normal(0, 1, (4000, 3)) + labels[:, None]
+    found = score(clustered(spark, points, labels))
+    assert found.value == pytest.approx(brute(points, labels), abs=1e-12) and found.error == 0.0
+
+
+def test_rows_in_many_shares_and_clusterings(spark, monkeypatch):
+    monkeypatch.setattr(silhouette, "_SHARE", 300)
+    monkeypatch.setattr(silhouette, "_BLOCK_ROWS", 90)
+    points, labels = blobs(n=1100)
+    other = np.arange(1100) % 7
+    rows = [
+        ([float(v) for v in p], int(a), None if i < 50 else int(b), 3)
+        for i, (p, a, b) in enumerate(zip(points + 1000.0, labels, other))
+    ]
+    df = spark.createDataFrame(rows, "p array<double>, a int, b int, one int")
+    first, second, third = euclidean_silhouettes(df, F.col("p"), ["a", "b", "one"])
+    assert first == (pytest.approx(brute(points, labels), abs=1e-10), 0.0)
+    assert second == (pytest.approx(brute(points[50:], other[50:]), abs=1e-10), 0.0)
+    assert third == (None, None)
+
+
+def test_near_rows_are_told_apart():
+    """Distances far below the rows' norms keep their digits."""
+    rng = np.random.default_rng(4)
+    left = rng.normal(0, 1, (40, 3))
+    right = np.vstack([left, left + 1e-7, left + 1e-12])
+    exact = np.sqrt(((left[:, None] - right[None]) ** 2).sum(2))
+    np.testing.assert_allclose(silhouette._distances(left, right), exact, rtol=1e-9)
+
+
+def test_choice_of_k_scores_every_customer(spark):
+    rng = np.random.default_rng(5)
+    rows = [(str(i), *(float(v) for v in rng.normal(i % 3 * 4.0, 1.0, 3))) for i in range(3600)]
+    customers = spark.createDataFrame(rows, "CustomerID string, Recency double, Frequency double, Monetary double")
+    scores = clustering.silhouette_by_k(customers, [2, 3], starts=2).collect()
+    assert [r.error for r in scores] == [0.0, 0.0]
+    found, _ = clustering.kmeans_segments(customers, 3, starts=2)
+    pdf = found.toPandas()
+    z = pdf[["Recency", "Frequency", "Monetary"]]
+    exact = brute(((z - z.mean()) / z.std(ddof=0)).to_numpy(), pdf.KMeans_Cluster.to_numpy())
+    assert scores[1].silhouette == pytest.approx(exact, abs=1e-9)

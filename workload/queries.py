@@ -599,10 +599,10 @@ def optimal_k(spark, folder):
 
 @register("C3_silhouette_given")
 def silhouette_given(spark, folder):
-    """Silhouette of given clusters, exact (as its SQL twin is) up to 5,000 customers a cluster."""
+    """Silhouette of given clusters, all pairs of customers."""
     z = [f"{c}_z" for c in RFM]
     scaled = clustering.standardize(_given_clusters(spark, folder), RFM, "_z")
-    found = euclidean_silhouette(scaled, F.array(*z), "KMeans_Cluster", CUSTOMER, members=5000)
+    found = euclidean_silhouette(scaled, F.array(*z), "KMeans_Cluster", CUSTOMER)
     return spark.createDataFrame([(round(found.value, 6), found.error)], "silhouette double, error double")
 
 
