@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from patronlens.functions.rounding import zero_if_missing
 from patronlens.operators import mixture
 from patronlens.operators.estimators import partitions_for
-from patronlens.operators.kmeans import Clusters, fit_rounds
+from patronlens.operators.kmeans import Clusters, fit_rounds, placed_by_all
 from patronlens.operators.silhouette import euclidean_silhouette, euclidean_silhouettes
 from patronlens.schema import CUSTOMER, RFM
-from patronlens.session import for_iteration, materialize
+from patronlens.session import for_iteration
 
 SEED = 42
 #: A start of k-means ends when no centre moves by more deviations than this.
@@ -149,10 +149,8 @@ def silhouette_by_k(
         evaluator = ClusteringEvaluator(featuresCol=_VECTOR, predictionCol="KMeans_Cluster")
         scores = [(k, float(evaluator.evaluate(models[k].transform(vectors))), 0.0) for k in ks]
     elif members is None:
-        placed = vectors.select(vector_to_array(_VECTOR).alias("_point"))
-        # Written, so that no later step takes the distances to the centres once more.
-        named = materialize(placed.select("_point", *[models[k].nearest(F.col("_point")).alias(f"k{k}") for k in ks]))
-        found = euclidean_silhouettes(named, F.col("_point"), [f"k{k}" for k in ks])
+        named = placed_by_all(vectors, _VECTOR, {f"k{k}": models[k] for k in ks})
+        found = euclidean_silhouettes(named, F.col("point"), [f"k{k}" for k in ks])
         scores = [(k, *score) for k, score in zip(ks, found, strict=True)]
     else:
         point = vector_to_array(_VECTOR)

@@ -112,3 +112,21 @@ def fit_rounds(
         moving = still
     blocks.unpersist()
     return {name: Clusters(c, costs[name], vector) for name, c in centres.items()}
+
+
+def placed_by_all(rows: DataFrame, vector: str, models: Mapping[str, Clusters]) -> DataFrame:
+    """(point, the nearest centre by each model, the lowest on ties, in a column of the model's name) for each row."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(first, _ROWS).column(0)
+                points = part.flatten().to_numpy(zero_copy_only=False).reshape(len(part), -1)
+                columns = [part]
+                for model in models.values():
+                    squared = sum((c[:, None] - x) ** 2 for c, x in zip(model.centres.T, points.T, strict=True))
+                    columns.append(pa.array(squared.argmin(axis=0), pa.int32()))
+                yield pa.RecordBatch.from_arrays(columns, names=["point", *models])
+
+    schema = ", ".join(["point array<double>", *[f"`{name}` int" for name in models]])
+    return rows.select(vector_to_array(F.col(vector)).alias("point")).mapInArrow(place, schema)

@@ -51,3 +51,12 @@ def test_ties_and_centres_without_rows(spark):
     assert [c[0] for c in found.clusterCenters()] == [0.5, 2.0, 50.0] and found.cost == 1.0
     placed = kmeans.Clusters(np.array([[0.0], [2.0]]), 0.0, "_scaled").transform(df)
     assert {r._scaled[0]: r.KMeans_Cluster for r in placed.collect()} == {0.0: 0, 2.0: 1, 1.0: 0}
+
+
+def test_rows_are_placed_by_all_models_at_once(spark):
+    df = vectors(spark, np.random.default_rng(3).normal(0, 1, (500, 3)))
+    models = {str(k): kmeans.Clusters(np.random.default_rng(k).normal(0, 1, (k, 3)), 0.0, "_scaled") for k in (2, 7)}
+    together = kmeans.placed_by_all(df, "_scaled", models).collect()
+    for name, model in models.items():
+        alone = {tuple(r._scaled): r.KMeans_Cluster for r in model.transform(df).collect()}
+        assert {tuple(r.point): r[name] for r in together} == alone
