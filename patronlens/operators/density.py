@@ -20,6 +20,7 @@ from math import sqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from patronlens.functions.rounding import zero_if_missing
 from patronlens.operators.clustering import standardize
@@ -31,8 +32,12 @@ LEAF = 64
 NOISE = -1
 #: Up to so many axes a cell asks for the cells around it by name; beyond, their number explodes and two trees are walked.
 LISTED_AXES = 4
-#: Axes that one step of the walk halves: a node has at most 2 ** 4 children.
+#: Halvings of one step of the walk, on the axes then longest: a node has at most 2 ** 4 children.
 HALVED_AT_ONCE = 4
+#: Halvings of the first step, where a table has one node.
+HALVED_FIRST = 9
+#: A graph of at most so many edges is finished on the driver.
+FEW_EDGES = 1 << 15
 
 
 class _Grid:
@@ -149,9 +154,13 @@ class _Grid:
             kept = kept & ((F.col("a") != F.col("b")) | (F.col("a_child") <= F.col("b_child")))
         root = F.array(*[F.lit(0).cast("bigint") for _ in self.axes])
         pairs = cells.sparkSession.range(1).select(root.alias("a"), root.alias("b"))
+        halvings = HALVED_FIRST
         while True:
-            longest = sorted(self.axes, key=lambda i: -shifts[i])[:HALVED_AT_ONCE]
-            halved = [max(s - 1, 0) if i in longest else s for i, s in enumerate(shifts)]
+            halved = list(shifts)
+            for _ in range(halvings):
+                longest = max(self.axes, key=lambda i: halved[i])
+                halved[longest] = max(halved[longest] - 1, 0)
+            halvings = HALVED_AT_ONCE
             pairs = materialize(
                 pairs.join(children(cells, "a", shifts, halved).hint("merge"), "a")
                 .join(children(others, "b", shifts, halved).hint("merge"), "b")
@@ -289,20 +298,44 @@ def _edges(grid: _Grid, points: DataFrame, cells: DataFrame, near: DataFrame) ->
         )
 
 
+def _last_steps(edges: DataFrame) -> DataFrame:
+    """(u, to): one and the same vertex for all of a component, for the vertices of at most ``FEW_EDGES`` edges."""
+    above: dict = {}
+
+    def top(v):
+        while above.setdefault(v, v) != v:
+            above[v] = v = above[above[v]]
+        return v
+
+    for u, v in edges.select("u", "v").collect():
+        above[top(u)] = top(v)
+    kind = edges.schema["u"].dataType
+    schema = StructType([StructField("u", kind), StructField("to", kind)])
+    return edges.sparkSession.createDataFrame([(v, top(v)) for v in list(above)], schema)
+
+
 def connected_components(vertices: DataFrame, edges: DataFrame, merged: bool = False) -> DataFrame:
     """Smallest vertex id of each vertex's component: (v, label).
 
     Randomised contraction (Boegeholz, Brand and Todor, 2019): in each round
     every vertex joins the one of lowest hash among itself and its neighbours,
     with a new hash each time. The vertices left shrink by a constant factor
-    per round whatever the shape of the graph, long chains included. ``merged`` asks for merge joins, so that no
-    round's table passes through the driver.
+    per round whatever the shape of the graph, long chains included. A graph that is down to ``FEW_EDGES`` edges is
+    finished in one step. ``merged`` asks for merge joins, so that no round's table passes through the driver.
     """
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     left = materialize(both.filter(F.col("u") != F.col("v")).distinct())
     held = vertices.select("v", F.col("v").alias("label"))
     turn = 0
-    while not left.isEmpty():
+    while edges_left := left.count():
+        if edges_left <= FEW_EDGES:
+            ends = _last_steps(left)
+            step = ends.hint("merge") if merged else ends
+            held = held.join(step.select(F.col("u").alias("label"), "to"), "label", "left").select(
+                "v", F.coalesce("to", "label").alias("label")
+            )
+            held = materialize(held)
+            break
 
         def priority(name: str, seed: int = turn) -> Column:
             return F.struct(F.xxhash64(F.col(name), F.lit(seed)).alias("h"), F.col(name).alias("id"))
