@@ -11,7 +11,7 @@ from patronlens.functions.rounding import at_least, zero_if_missing
 from patronlens.functions.timing import plus_days, whole_days
 from patronlens.operators.rfm import latest
 from patronlens.schema import CUSTOMER, DATE, INVOICE, REVENUE, STOCK
-from patronlens.session import materialize
+from patronlens.session import discard, materialize
 
 BEHAVIORAL_FEATURES = (
     "total_revenue",
@@ -114,6 +114,7 @@ def behavioral_features(df: DataFrame, churn_days: int | None = None) -> DataFra
     )
     # A null customer only matters to the last date.
     joined = materialize(through_orders.join(_distinct_counts(grain), CUSTOMER, "left"))
+    discard(grain)  # about as many rows as lines
     snapshot = plus_days(latest(joined), 1)
     spans = joined.filter(F.col(CUSTOMER).isNotNull()).select(
         "*",

@@ -70,6 +70,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Remove the files of a table from ``materialize`` that nothing reads any more, before the application ends."""
+    spark = table.sparkSession
+    jvm, own = spark.sparkContext._jvm, shared_folder(spark).rsplit("/", 1)[-1]
+    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        if path.getParent().getName() == own and path.getName().startswith("table-"):
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def for_iteration(df: DataFrame) -> DataFrame:
     """``df`` made ready for many passes: lineage cut first, then kept in storage.
 
